@@ -141,7 +141,8 @@ def stream_raw_lines(spark: SparkSession, sf_dir: str, log: str) -> DataFrame:
         path = f"{sf_dir}/{name}.parquet"
         table = spark.read.parquet(path)
         if name == grows:
-            table = spark.readStream.schema(table.schema).parquet(path)
+            # A streaming source takes a folder or a pattern, but not one plain file.
+            table = spark.readStream.schema(table.schema).parquet(f"{path[:-1]}[{path[-1]}]")
         tables[name] = table
     return raw_lines(spark.sql(VIEWS[log], **tables))
 

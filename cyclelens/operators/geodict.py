@@ -31,10 +31,12 @@ def geo_dictionary(points: DataFrame, replies: DataFrame) -> DataFrame:
     decides, so that the dictionary does not depend on the order of the rows.
     """
     answered = points.join(decode_replies(replies), ["latitude", "longitude"])
+    # A filter on the decoded column would be pushed down and decode every reply twice.
+    entry = F.when(F.col("business").isNotNull(), F.struct("latitude", "longitude", "business"))
     return (
-        answered.where(F.col("business").isNotNull())
-        .groupBy(geohash8(F.col("latitude"), F.col("longitude")).alias("geohash8"))
-        .agg(F.max(F.struct("latitude", "longitude", "business")).alias("last"))
+        answered.groupBy(geohash8(F.col("latitude"), F.col("longitude")).alias("geohash8"))
+        .agg(F.max(entry).alias("last"))
+        .where(F.col("last").isNotNull())
         .select("geohash8", "last.business")
     )
 
@@ -54,3 +56,11 @@ def geo_misses(points: DataFrame, dictionary: DataFrame) -> DataFrame:
     )
     known = dictionary.where(F.col("business") != "").select("geohash8")
     return cells.join(known, "geohash8", "left_anti")
+
+
+def merge_dictionary(known: DataFrame, fresh: DataFrame) -> DataFrame:
+    """`known` with the entries of `fresh` added; a fresh entry replaces a known one.
+
+    Both sides are unique on the cell, so no key is hot."""
+    both = known.withColumnRenamed("business", "old").join(fresh, "geohash8", "full")
+    return both.select("geohash8", F.coalesce("business", "old").alias("business"))

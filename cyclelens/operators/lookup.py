@@ -54,19 +54,18 @@ def lookup(
     if store_facts:
         facts = written(facts, "lookup-facts")
     hot = hottest(facts, key).withColumn("is_hot", F.lit(True))
-    row = F.xxhash64(*spread_by)
+    row, zero = F.xxhash64(*spread_by), F.lit(0).cast("bigint")
     part = (
         F.when(F.col(key).isNull(), row)
         .when(F.col("is_hot"), F.pmod(row, F.lit(SPREAD)))
-        .otherwise(F.lit(0).cast("bigint"))
-    )
-    copies = F.when(F.col("is_hot"), F.sequence(F.lit(0), F.lit(SPREAD - 1))).otherwise(
-        F.array(F.lit(0))
+        .otherwise(zero)
     )
+    every_part, first_part = [F.sequence(zero, F.lit(n)) for n in (SPREAD - 1, 0)]
+    copies = F.when(F.col("is_hot"), every_part).otherwise(first_part)
     left = facts.join(F.broadcast(hot), key, "left").withColumn("part", part).drop("is_hot")
     right = (
         dictionary.join(F.broadcast(hot), key, "left")
-        .withColumn("part", F.explode(copies).cast("bigint"))
+        .withColumn("part", F.explode(copies))
         .drop("is_hot")
     )
     return left.join(right, [key, "part"], "left").drop("part")

@@ -59,11 +59,11 @@ def district_tag_counts(
     Rides are first counted per key and cell, so a busy user or cell reaches the join as
     one row per user and cell.
     """
+    lat, lon = F.col("latitude"), F.col("longitude")
     visits = (
         named_users(rides)
-        .select(*keys, ride_cell().alias("geohash8"))
-        .where(F.col("geohash8").isNotNull())
-        .groupBy(*keys, "geohash8")
+        .where(in_bounds(lat, lon))
+        .groupBy(*keys, geohash8(lat, lon).alias("geohash8"))
         .agg(F.count(F.lit(1)).alias("rides"))
     )
     found = lookup(visits, dictionary, "geohash8", keys, broadcast_bytes, store_facts=True)
