@@ -11,13 +11,14 @@ from pyspark.sql import functions as F
 
 TABLES = ("lineitem", "orders", "customer", "nation", "region")
 
-_PEOPLE = """
+_ORDERS = """{orders}
     join {customer} on o_custkey = c_custkey
     join {nation} on c_nationkey = n_nationkey
     join {region} on n_regionkey = r_regionkey"""
 
-_FROM_LINES = "from {lineitem} join {orders} on l_orderkey = o_orderkey" + _PEOPLE
-_FROM_ORDERS = "from {orders}" + _PEOPLE
+_FROM_ORDERS = f"from {_ORDERS}"
+# Orders meet their customers first: the largest table then takes part in one join only.
+_FROM_LINES = f"from {{lineitem}} join ({_ORDERS}) on l_orderkey = o_orderkey"
 
 _LINE_SESSION = """concat('s', cast(l_orderkey as string), '-', cast(l_linenumber as string), '-',
         cast(l_partkey as string), '-', cast(l_suppkey as string)) as sessionid"""

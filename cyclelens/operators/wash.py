@@ -15,7 +15,7 @@ from cyclelens.functions.masking import blur_ip, pseudonym
 from cyclelens.schemas import schema_of
 
 REASON = "reject_reason"
-_PARSED, _BROKEN = "parsed_line", "broken_line"
+_BROKEN = "broken_line"
 _NESTED = ("latitude", "longitude")
 
 
@@ -28,37 +28,40 @@ def _line_schema(log: str) -> T.StructType:
     ])
 
 
-def _text_of(name: str) -> Column:
-    parsed = F.col(_PARSED)
-    return parsed["location"][name] if name in _NESTED else parsed[name]
+def _text_of(line: Column, name: str) -> Column:
+    return line["location"][name] if name in _NESTED else line[name]
+
+
+def _typed(line: Column, log: str) -> Column:
+    """Struct of the log's columns and the line's first fault."""
+    broken = line.isNull() | line[_BROKEN].isNotNull() | (F.trim(F.col("value")) == "")
+    reason = F.when(broken, "malformed").when(line["location"].isNull(), "missing_location")
+    columns = []
+    for field in schema_of(log):
+        text = _text_of(line, field.name)
+        value = to_type(text, field.dataType)
+        columns.append(value.alias(field.name))
+        if not isinstance(field.dataType, T.StringType):
+            reason = reason.when(unreadable(text, value), f"bad_value:{field.name}")
+    return F.struct(*columns, reason.alias(REASON))
 
 
 def parse_lines(raw: DataFrame, log: str) -> DataFrame:
     """Every line as typed columns plus `reject_reason`: its first fault, null if good.
 
     `raw` has the line in `value`; `value` and any other columns (an offset, a file
-    name) are kept in front. The parse runs inside a generator, so filters on the
-    result stay above it and each line is parsed once.
+    name) are kept in front. Parsing and typing happen inside a generator: filters on
+    the result stay above it, so each line is parsed once, and the long list of
+    conversions stays out of the generated method, which would grow past the size that
+    the JVM compiles (measured: twice as slow).
     """
-    schema = schema_of(log)
-    clash = sorted(set(raw.columns) & {*schema.names, REASON})
+    clash = sorted(set(raw.columns) & {*schema_of(log).names, REASON})
     if clash:
         raise ValueError(f"raw columns clash with the {log} log: {', '.join(clash)}")
     options = {"columnNameOfCorruptRecord": _BROKEN}
     parsed = F.from_json(F.col("value"), _line_schema(log), options)
-    lines = raw.withColumn(_PARSED, F.explode(F.array(parsed)))
-
-    line = F.col(_PARSED)
-    broken = line.isNull() | line[_BROKEN].isNotNull() | (F.trim("value") == "")
-    reason = F.when(broken, "malformed").when(line["location"].isNull(), "missing_location")
-    typed = []
-    for field in schema:
-        text = _text_of(field.name)
-        value = to_type(text, field.dataType)
-        typed.append(value.alias(field.name))
-        if not isinstance(field.dataType, T.StringType):
-            reason = reason.when(unreadable(text, value), f"bad_value:{field.name}")
-    return lines.select(*raw.columns, *typed, reason.alias(REASON))
+    typed = F.transform(F.array(parsed), lambda line: _typed(line, log))
+    return raw.select(*raw.columns, F.inline(typed))
 
 
 def split_valid(raw: DataFrame, log: str) -> tuple[DataFrame, DataFrame]:

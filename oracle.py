@@ -141,17 +141,17 @@ def _geo(views: str, ctes: str, body: str) -> str:
     return f"with {named}, {ctes} {body}"
 
 
-_FIXED_TAGS = """(
-        select sessionid, userid, date, case client when 1 then 'LNiphone' when 2 then 'LNandroid'
-            when 3 then 'LN小程序' end as tag, 1 as part from unlock_log
-        union all select sessionid, userid, date, case deviceType when 1 then 'LCiphone'
-            when 2 then 'LCandroid' when 3 then 'LCwp' end, 1 from unlock_log
-        union all select sessionid, userid, date, case networkingmannerid when 1 then 'LFwifi'
-            when 2 then 'LF4G' when 3 then 'LF3G' end, 1 from unlock_log
-        union all select sessionid, userid, date, case "unlock" when 1 then 'LS扫码'
-            when 2 then 'LS蓝牙' end, 2 from unlock_log
-        union all select sessionid, userid, date, case when distance <= 1000 then 'LA短程'
-            when distance < 2000 then 'LA中程' else 'LA长程' end, 2 from unlock_log)"""
+_CLIENT = "case client when 1 then 'LNiphone' when 2 then 'LNandroid' when 3 then 'LN小程序' end"
+_DEVICE = "case deviceType when 1 then 'LCiphone' when 2 then 'LCandroid' when 3 then 'LCwp' end"
+_NETWORK = "case networkingmannerid when 1 then 'LFwifi' when 2 then 'LF4G' when 3 then 'LF3G' end"
+_UNLOCK = "case \"unlock\" when 1 then 'LS扫码' when 2 then 'LS蓝牙' end"
+_TRIP = """case when distance <= 1000 then 'LA短程' when distance < 2000 then 'LA中程'
+    when distance >= 2000 then 'LA长程' end"""
+
+_FIXED_TAGS = "(" + " union all ".join(
+    f"select userid, date, {tag} as tag from unlock_log"
+    for tag in (_CLIENT, _DEVICE, _NETWORK, _UNLOCK, _TRIP)
+) + ")"
 
 _RIDE_DISTRICTS = f"""ride_districts as (
     select distinct r.rid, r.sessionid, r.userid, r.date, concat('BS', d.name) as tag
@@ -170,15 +170,14 @@ _PER_USER = "select userid, tag, count(*) as cnt from all_tags group by userid,
 
 
 def _tags() -> dict[str, str]:
-    def per_ride(part: int) -> str:
-        return _with("unlock", f"""select sessionid, userid,
-                string_agg(tag, ',' order by tag) as tags
-            from {_FIXED_TAGS} where part = {part} and tag is not null
-            group by sessionid, userid""")
+    def per_ride(*tags: str) -> str:
+        return _with("unlock", f"""select sessionid, userid, array_to_string(
+                list_sort(list_filter([{', '.join(tags)}], lambda t: t is not null)), ',') as tags
+            from unlock_log""")
 
     return {
-        "tags_client": per_ride(1),
-        "tags_bike": per_ride(2),
+        "tags_client": per_ride(_CLIENT, _DEVICE, _NETWORK),
+        "tags_bike": per_ride(_UNLOCK, _TRIP),
         "tags_business": _geo("unlock replies", f"{_DICTIONARY}, {_RIDE_DISTRICTS}",
             """select u.sessionid, u.userid, coalesce(t.tags, '') as tags
             from (select row_number() over () as rid, * from unlock_log) u
