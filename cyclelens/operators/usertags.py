@@ -39,13 +39,17 @@ def with_districts(
     ).drop("geohash8")
 
 
+def _fixed_counters(rides: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+    """One counter column per tag of the closed vocabulary, and one row per key."""
+    return named_users(rides).groupBy(*keys).agg(
+        *[F.count_if(hit).alias(tag) for tag, hit in fixed_tag_rules().items()]
+    )
+
+
 def fixed_tag_counts(rides: DataFrame, keys: tuple[str, ...] = ("userid",)) -> DataFrame:
     """(keys…, tag, cnt) for the closed vocabulary. One shuffle, one row per key and task."""
-    rules = fixed_tag_rules()
-    counted = named_users(rides).groupBy(*keys).agg(
-        *[F.count_if(hit).alias(tag) for tag, hit in rules.items()]
-    )
-    return counted.unpivot(list(keys), list(rules), "tag", "cnt").where(F.col("cnt") > 0)
+    counted = _fixed_counters(rides, keys)
+    return counted.unpivot(list(keys), list(fixed_tag_rules()), "tag", "cnt").where(F.col("cnt") > 0)
 
 
 def district_tag_counts(
@@ -88,16 +92,54 @@ def user_tags(
     return fixed.unionByName(district_tag_counts(rides, dictionary, keys, broadcast_bytes))
 
 
+def tag_lists(
+    rides: DataFrame,
+    dictionary: DataFrame,
+    keys: tuple[str, ...] = ("userid",),
+    broadcast_bytes: int = BROADCAST_BYTES,
+) -> DataFrame:
+    """(keys…, entries): the rows of `user_tags` gathered per key as (tag, cnt) structs.
+
+    The counters become an array where they are, already partitioned by key, and meet
+    the district entries in a join on the same key. Gathering the long table instead
+    would shuffle every tag of every user once more. A list holds distinct tags, so the
+    tag vocabulary bounds it.
+    """
+    counters = [
+        F.when(F.col(tag) > 0, F.struct(F.lit(tag).alias("tag"), F.col(tag).alias("cnt")))
+        for tag in fixed_tag_rules()
+    ]
+    fixed = _fixed_counters(rides, keys).select(
+        *keys, F.array_compact(F.array(*counters)).alias("fixed")
+    )
+    counts = district_tag_counts(rides, dictionary, keys, broadcast_bytes)
+    districts = _gathered(counts, keys).withColumnRenamed("entries", "districts")
+    nothing = F.array().cast("array<struct<tag:string,cnt:bigint>>")
+    # Every key with a district has a counter row, so a left join keeps all.
+    entries = F.concat("fixed", F.coalesce("districts", nothing))
+    return (
+        fixed.join(districts, list(keys), "left")
+        .select(*keys, entries.alias("entries"))
+        .where(F.size("entries") > 0)
+    )
+
+
+def _gathered(tags: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+    return tags.groupBy(*keys).agg(F.collect_list(F.struct("tag", "cnt")).alias("entries"))
+
+
 def tag_detail(daily_tags: DataFrame, day: str | None = None) -> DataFrame:
-    """(userid, day, tags) with tags as 'tag:n,tag:n' in tag order, from daily tags.
+    """(userid, day, tags) with tags as 'tag:n,tag:n' in tag order.
 
-    `day` keeps a single date; without it every date gets its own row. A row gathers
-    distinct tags only, and their number is bounded by the tag vocabulary.
+    `daily_tags` is the long table or the lists by user and date. `day` keeps a single
+    date; without it every date gets its own row.
     """
     if day is not None:
         daily_tags = daily_tags.where(F.col("date") == day)
-    return daily_tags.groupBy("userid", F.col("date").alias("day")).agg(
-        tag_text(F.collect_list(F.struct("tag", "cnt"))).alias("tags")
+    if "entries" not in daily_tags.columns:
+        daily_tags = _gathered(daily_tags, ("userid", "date"))
+    return daily_tags.select(
+        "userid", F.col("date").alias("day"), tag_text(F.col("entries")).alias("tags")
     )
 
 
@@ -116,11 +158,16 @@ def detail_wide(detail: DataFrame, days: list[str]) -> DataFrame:
 
 
 def tag_document(tags: DataFrame, now_ms: int) -> DataFrame:
-    """Search documents (id, timestamp, tags): all tags of a user as a map."""
-    entry = F.struct("tag", F.col("cnt").cast("int"))
-    return tags.groupBy(F.col("userid").alias("id")).agg(
+    """Search documents (id, timestamp, tags): all tags of a user as a map.
+
+    `tags` is the long table or the lists by user."""
+    if "entries" not in tags.columns:
+        tags = _gathered(tags, ("userid",))
+    entries = F.array_sort("entries").cast("array<struct<tag:string,cnt:int>>")
+    return tags.select(
+        F.col("userid").alias("id"),
         F.lit(now_ms).cast("bigint").alias("timestamp"),
-        F.map_from_entries(F.array_sort(F.collect_list(entry))).alias("tags"),
+        F.map_from_entries(entries).alias("tags"),
     )
 
 

@@ -59,8 +59,8 @@ def dictionary_job(spark: SparkSession, log: str, source: str, replies: DataFram
 def detail_job(spark: SparkSession, source: str, dictionary: DataFrame, target: str, day: str) -> None:
     """Tag detail of one day's rides."""
     rides = read_log(spark, source, "unlock").where(F.col("date") == day)
-    daily = usertags.user_tags(rides, dictionary, ("userid", "date"))
-    tables.write_detail(usertags.tag_detail(daily, day), target)
+    lists = usertags.tag_lists(rides, dictionary, ("userid", "date"))
+    tables.write_detail(usertags.tag_detail(lists, day), target)
 
 
 def tag_search_job(

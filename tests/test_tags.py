@@ -65,7 +65,13 @@ def test_daily_tags_detail_and_wide_form(rides, dictionary, expected):
         want.setdefault((user, day), []).append(f"{tag}:{n}")
     assert texts == {k: ",".join(v) for k, v in want.items()}
 
+    lists = usertags.tag_lists(rides, dictionary, ("userid", "date"))
+    assert rows(usertags.tag_detail(lists)) == rows(detail)
+    # Neither side of the join that builds the lists is shuffled again for it.
+    assert plan_of(lists).count("Exchange hashpartitioning(userid") == 4
+
     day = "2024-01-03"
+    assert rows(usertags.tag_detail(lists, day)) == rows(detail.where(F.col("day") == day))
     assert rows(usertags.tag_detail(daily, day)) == rows(detail.where(F.col("day") == day))
     wide = usertags.detail_wide(detail, ["2024-01-03", "2024-01-04"])
     assert wide.columns == ["userid", "day 2024-01-03", "day 2024-01-04"]
@@ -77,6 +83,8 @@ def test_daily_tags_detail_and_wide_form(rides, dictionary, expected):
 
 def test_documents(rides, dictionary, expected):
     documents = usertags.tag_document(usertags.user_tags(rides, dictionary), 123)
+    lists = usertags.tag_document(usertags.tag_lists(rides, dictionary), 123)
+    assert {r.id: r.tags for r in lists.collect()} == {r.id: r.tags for r in documents.collect()}
     want = {}
     for (user, tag), n in per_user(expected).items():
         want.setdefault(user, {})[tag] = n
@@ -201,3 +209,19 @@ def test_bounds_reach_the_scan(spark, sf_dir, tmp_path):
     tags = plan_of(usertags.fixed_tag_counts(spark.read.parquet(str(tmp_path / "log"))))
     assert "Not(EqualTo(userid,))" in tags and "latitude" not in tags
     assert tags.index("Expand") < tags.index("Exchange")  # rows are multiplied after the shuffle
+
+
+def test_one_busy_user_and_one_busy_cell(spark, rides, dictionary):
+    """A user with a third of all rides, and a cell with another third of them."""
+    place = rides.where(F.col("latitude") < 50).select("latitude", "longitude").first()
+    third = F.pmod(F.xxhash64("sessionid"), F.lit(3))
+    skewed = rides.withColumns({
+        "userid": F.when(third == 0, "busy").otherwise(F.col("userid")),
+        "latitude": F.when(third == 1, place.latitude).otherwise(F.col("latitude")),
+        "longitude": F.when(third == 1, place.longitude).otherwise(F.col("longitude")),
+    })
+    small = usertags.user_tags(skewed, dictionary)
+    large = usertags.user_tags(skewed, dictionary, broadcast_bytes=0)
+    assert rows(small) == rows(large)
+    ways = small.where("userid = 'busy' and tag like 'LS%'").agg(F.sum("cnt")).first()[0]
+    assert ways == skewed.where("userid = 'busy'").count() > rides.count() / 4
