@@ -103,17 +103,15 @@ def _user_tags(spark: SparkSession, sf_dir: str, keys: tuple[str, ...] = ("useri
     return usertags.user_tags(rides, _stored_dictionary(spark, sf_dir), keys)
 
 
-def _tag_lists(spark: SparkSession, sf_dir: str, keys: tuple[str, ...]) -> DataFrame:
-    rides = fixtures.load(spark, sf_dir, "unlock")
-    return usertags.tag_lists(rides, _stored_dictionary(spark, sf_dir), keys)
-
-
 def _detail(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return usertags.tag_detail(_tag_lists(spark, sf_dir, _DAILY))
+    rides = fixtures.load(spark, sf_dir, "unlock")
+    return usertags.tag_detail(
+        usertags.tag_lists(rides, _stored_dictionary(spark, sf_dir), _DAILY)
+    )
 
 
 def _document(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = usertags.tag_document(_tag_lists(spark, sf_dir, ("userid",)), _NOW_MS)
+    documents = usertags.tag_document(_user_tags(spark, sf_dir), _NOW_MS)
     # A map has no order, so it is shown as sorted text.
     text = F.map_entries("tags").cast("array<struct<tag:string,cnt:int>>")
     return documents.select("id", "timestamp", usertags.tag_text(text).alias("tags"))

@@ -119,8 +119,8 @@ def tag_lists(
     entries = F.concat("fixed", F.coalesce("districts", nothing))
     return (
         fixed.join(districts, list(keys), "left")
+        .where((F.size("fixed") > 0) | F.col("districts").isNotNull())
         .select(*keys, entries.alias("entries"))
-        .where(F.size("entries") > 0)
     )
 
 
