@@ -9,6 +9,10 @@ from pyspark.sql import functions as F
 LAT_MIN, LAT_MAX, LON_MIN, LON_MAX = 3.0, 54.0, 73.0, 136.0
 GEOHASH_ALPHABET = "0123456789bcdefghjkmnpqrstuvwxyz"
 
+# Form of a stored geocoder reply.
+REPLY_PATTERN = r"(?s)^renderReverse&&renderReverse\((.*)\)"
+DISTRICTS_PATH, FIRST_POI_TAG_PATH = "$.result.business", "$.result.pois[0].tag"
+
 _BITS = 20  # per axis; 8 characters of 5 bits hold 40 bits
 _CELLS = 1 << _BITS
 _BASE32_DIGITS = "0123456789ABCDEFGHIJKLMNOPQRSTUV"
@@ -58,7 +62,7 @@ def decode_reply(reply: Column) -> Column:
     The reply wraps a JSON document in a JSONP call. `result.business` wins; if it is
     empty the tag of the first point of interest is used.
     """
-    body = F.regexp_extract(reply, r"(?s)^renderReverse&&renderReverse\((.*)\)", 1)
-    business = F.get_json_object(body, "$.result.business")
-    tag = F.get_json_object(body, "$.result.pois[0].tag")
+    body = F.regexp_extract(reply, REPLY_PATTERN, 1)
+    business = F.get_json_object(body, DISTRICTS_PATH)
+    tag = F.get_json_object(body, FIRST_POI_TAG_PATH)
     return F.coalesce(F.nullif(business, F.lit("")), F.nullif(tag, F.lit("")))

@@ -1,4 +1,4 @@
-"""The 33 offline reports."""
+"""The 33 offline reports. Table and column names are fixed values."""
 
 from __future__ import annotations
 
