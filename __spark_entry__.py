@@ -12,10 +12,9 @@ from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-import oracle  # noqa: E402
-from cyclelens import fixtures  # noqa: E402
+from cyclelens import fixtures, oracle  # noqa: E402
 from cyclelens.functions.geo import geohash8  # noqa: E402
-from cyclelens.functions.tags import client_tags, ride_tags, business_tags  # noqa: E402
+from cyclelens.functions.tags import business_tags, client_tags, ride_tags  # noqa: E402
 from cyclelens.operators import geodict, usertags  # noqa: E402
 from cyclelens.operators.reports import ReportSpec, report  # noqa: E402
 from cyclelens.operators.wash import mask, split_valid, wash  # noqa: E402
