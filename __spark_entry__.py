@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import importlib
 import os
 import sys
 from collections.abc import Callable
@@ -23,6 +24,20 @@ from cyclelens.schemas import LOGS  # noqa: E402
 from cyclelens.session import work_folder, written  # noqa: E402
 from cyclelens.streaming.rollups import ROLLUPS, read_rollup, start_rollups  # noqa: E402
 
+
+
+def _training_data_queries():
+    """The queries of the training-data package, or None where its folders are absent."""
+    try:
+        importlib.import_module("corpus_pipeline")
+        return importlib.import_module("cyclelens.llm.entries")
+    except ModuleNotFoundError as missing:
+        if missing.name not in ("corpus_pipeline", "cyclelens.llm", "cyclelens.llm.entries"):
+            raise
+        return None
+
+
+_LLM = _training_data_queries()
 _STREAM_TIMEOUT = 3600  # seconds
 _NOW_MS = 1706745600000
 _AS_OF = "2024-02-01"
@@ -162,8 +177,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "users_by_tag": _users_by_tag,
         "tag_decay": _decayed,
         **{name: partial(_live, name) for name in ROLLUPS},
+        **(_LLM.queries() if _LLM else {}),
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracle.all_sql()
+    return oracle.all_sql() | (_LLM.oracle_sql() if _LLM else {})
