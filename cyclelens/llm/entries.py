@@ -7,13 +7,32 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cyclelens.llm import decontaminate, language_id, pieces, sql
+from cyclelens.llm import decontaminate, language_id, pieces, sharding, simhash, sql
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+SHARDS = 16
+
+
+def shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    dealt = sharding.by_bytes(_table(spark, sf_dir, "documents"), SHARDS)
+    return dealt.select(
+        F.col("row_id").alias("doc_id"), "size", "text_crc32", F.lit("bytes").alias("law"),
+        "shard", "slot", F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+def near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(_table(spark, sf_dir, "documents"))
+    return found.select(
+        F.col("row_id").alias("doc_id"),
+        F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"), "component_id",
+    )
+
+
 def decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contamination(
         _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
@@ -46,7 +65,9 @@ def sentencepieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_karmarkar_karp_shards": shards,
         "op4_benchmark_decontamination": decontamination,
+        "op5_simhash_ball": near_copies,
         "op7_sentencepiece": sentencepieces,
         "op9_language_id": language,
     }
