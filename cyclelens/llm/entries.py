@@ -7,7 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cyclelens.llm import decontaminate, language_id, pieces, sharding, simhash, sql
+from cyclelens.llm import (
+    decontaminate,
+    host_rules,
+    language_id,
+    pieces,
+    secrets_scan,
+    sharding,
+    simhash,
+    sql,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,6 +34,14 @@ def shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = host_rules.judge(_table(spark, sf_dir, "documents"))
+    return judged.select(
+        F.col("row_id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines",
+        "n_repeat_words", "base_failed", "kept",
+    )
+
+
 def near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(_table(spark, sf_dir, "documents"))
     return found.select(
@@ -63,15 +80,33 @@ def sentencepieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets_scan.scan(_table(spark, sf_dir, "documents"))
+    counts = [
+        F.size(F.filter("base", lambda s: s["rank"] == rank)).cast("long").alias(f"n_{kind}")
+        for rank, kind in enumerate(secrets_scan.KINDS[:3])
+    ]
+    return found.select(
+        F.col("row_id").alias("doc_id"), *counts,
+        F.sha2(secrets_scan.span_text(F.col("base")), 256).alias("base_sha256"),
+        secrets_scan.span_text(F.col("spans")).alias("spans"),
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_karmarkar_karp_shards": shards,
+        "op2_host_quality_rules": quality,
         "op4_benchmark_decontamination": decontamination,
         "op5_simhash_ball": near_copies,
         "op7_sentencepiece": sentencepieces,
         "op9_language_id": language,
+        "op10_randomness_secret_scan": secrets,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_benchmark_decontamination": sql.DECONTAMINATION}
+    return {
+        "op2_host_quality_rules": sql.HOST_RULES,
+        "op4_benchmark_decontamination": sql.DECONTAMINATION,
+    }

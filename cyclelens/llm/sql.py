@@ -33,3 +33,51 @@ select doc_id, cast(len(w) as bigint) as n_words, cast(coalesce(n_hit, 0) as big
     coalesce(n_hit, 0) > 0 and 20 * coalesce(n_hit, 0) >= len(w) as contaminated
 from words left join hits using (row_no) left join named using (row_no)
 """
+
+# The measures of each document, the failure rates of hosts shrunk by a beta prior, and
+# the verdicts. The host limit is 0.5.
+HOST_RULES = r"""
+with docs as (
+    select row_number() over () as r, doc_id, source as host, text,
+        coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) as w,
+        coalesce([x for x in string_split(text, chr(10)) if regexp_matches(x, '[^\x20\x09-\x0D]')], []) as l
+    from documents),
+spots as (
+    select r, i, array_to_string(w[i:i + 7], ' ') as win
+    from (select r, w, unnest(range(1, len(w) - 6)) as i from docs)),
+again as (select r, win from spots group by r, win having count(*) > 1),
+repeats as (
+    select r, count(distinct p) as n
+    from (select r, unnest(range(i, i + 8)) as p from spots join again using (r, win)) group by r),
+measured as (
+    select doc_id, host, len(w) as n_words, length(array_to_string(w, '')) as word_chars,
+        coalesce(len(regexp_extract_all(text, '[#*$%&|<>]')), 0) as n_symbols,
+        len(l) - len(list_distinct(l)) as n_dup_lines, coalesce(n, 0) as n_repeat_words, len(l) as n_lines
+    from docs left join repeats using (r)),
+failed as (
+    select host, rule, cast(f as bigint) as f from (
+        select host, unnest([
+            {'rule': 'short', 'f': n_words < 20},
+            {'rule': 'repeats', 'f': n_repeat_words * 100 > n_words * 30},
+            {'rule': 'symbols', 'f': n_symbols * 100 > n_words * 10},
+            {'rule': 'lines', 'f': n_dup_lines * 100 > n_lines * 30}], recursive := true)
+        from measured where host is not null)),
+rates as (select host, rule, count(*) as n, sum(f) as f from failed group by host, rule),
+means as (
+    select rule, count(*) as hosts, sum(n) as docs, sum(f) / sum(n) as mean, sum(f * f / n) / sum(n) as squares
+    from rates group by rule),
+priors as (
+    select rule, mean, case when spread > 0
+            then least(1e6, greatest(1.0, mean * (1 - mean) / spread - 1)) else 1e6 end as strength
+    from (select *, squares - mean * mean - mean * (1 - mean) * hosts / docs as spread from means)),
+bad as (
+    select distinct host from rates join priors using (rule)
+    where (f + strength * mean) / (n + strength) > 0.5),
+judged as (
+    select *, n_words < 20 or 100 * n_repeat_words > 30 * n_words as base_failed from measured)
+select doc_id, cast(n_words as bigint) as n_words, cast(word_chars as bigint) as word_chars,
+    cast(n_symbols as bigint) as n_symbols, cast(n_dup_lines as bigint) as n_dup_lines,
+    cast(n_repeat_words as bigint) as n_repeat_words, base_failed,
+    not base_failed and bad.host is null as kept
+from judged left join bad on judged.host = bad.host
+"""
