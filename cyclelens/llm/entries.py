@@ -11,11 +11,13 @@ from cyclelens.llm import (
     decontaminate,
     host_rules,
     language_id,
+    phrases,
     pieces,
     secrets_scan,
     sharding,
     simhash,
     sql,
+    suffixes,
 )
 
 
@@ -72,6 +74,23 @@ def language(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _removed():
+    return F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"]).alias("n_removed")
+
+
+def repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = suffixes.remove_repeats(_table(spark, sf_dir, "documents"))
+    return left.select(
+        F.col("row_id").alias("doc_id"), "n_bytes", _removed(),
+        F.size("spans").cast("long").alias("n_spans"), "kept_sha256",
+    )
+
+
+def repeated_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = phrases.remove_repeats(_table(spark, sf_dir, "documents"))
+    return left.select(F.col("row_id").alias("doc_id"), "n_words", _removed(), "kept_sha256")
+
+
 def sentencepieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     encoded = pieces.encode(_table(spark, sf_dir, "documents"), pieces.read_model())
     return encoded.select(
@@ -99,7 +118,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_host_quality_rules": quality,
         "op4_benchmark_decontamination": decontamination,
         "op5_simhash_ball": near_copies,
+        "op6_suffix_bucket_pointers": repeated_strings,
         "op7_sentencepiece": sentencepieces,
+        "op8_phrase_automata": repeated_phrases,
         "op9_language_id": language,
         "op10_randomness_secret_scan": secrets,
     }
@@ -109,4 +130,6 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op2_host_quality_rules": sql.HOST_RULES,
         "op4_benchmark_decontamination": sql.DECONTAMINATION,
+        "op6_suffix_bucket_pointers": sql.REPEATED_STRINGS,
+        "op8_phrase_automata": sql.REPEATED_PHRASES,
     }

@@ -81,3 +81,51 @@ select doc_id, cast(n_words as bigint) as n_words, cast(word_chars as bigint) as
     not base_failed and bad.host is null as kept
 from judged left join bad on judged.host = bad.host
 """
+
+# Bytes as pairs of hex digits. A byte goes when a 50-byte string over it also starts in a
+# document with a smaller id.
+REPEATED_STRINGS = r"""
+with docs as (select row_number() over () as r, doc_id, hex(encode(coalesce(text, ''))) as h from documents),
+spots as (
+    select r, doc_id, i, substr(h, 2 * i + 1, 100) as win
+    from (select r, doc_id, h, unnest(range(0, cast(length(h) / 2 as bigint) - 49)) as i from docs)),
+later as (
+    select r, i from spots join (select win, min(doc_id) as first from spots group by win having count(*) > 1) using (win)
+    where first < doc_id),
+gone as (select distinct r, unnest(range(i, i + 50)) as p from later),
+places as (
+    select r, p, substr(h, 2 * p + 1, 2) as b, gone.p is not null as g
+    from (select r, h, unnest(range(0, cast(length(h) / 2 as bigint))) as p from docs) left join gone using (r, p)),
+runs as (
+    select r, p, b, g, g and not coalesce(lag(g) over (partition by r order by p), false) as opens from places),
+totals as (
+    select r, count_if(g) as n_removed, count_if(opens) as n_spans,
+        coalesce(string_agg(b, '' order by p) filter (not g), '') as kept
+    from runs group by r)
+select doc_id, cast(length(h) / 2 as bigint) as n_bytes, cast(coalesce(n_removed, 0) as bigint) as n_removed,
+    cast(coalesce(n_spans, 0) as bigint) as n_spans, sha256(unhex(coalesce(kept, ''))) as kept_sha256
+from docs left join totals using (r)
+"""
+
+# A word goes when a window of 13 words over it also starts in a document with a smaller id.
+REPEATED_PHRASES = r"""
+with docs as (
+    select row_number() over () as r, doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) as w
+    from documents),
+spots as (
+    select r, doc_id, i, array_to_string(w[i:i + 12], ' ') as win
+    from (select r, doc_id, w, unnest(range(1, len(w) - 11)) as i from docs)),
+later as (
+    select r, i from spots join (select win, min(doc_id) as first from spots group by win having count(*) > 1) using (win)
+    where first < doc_id),
+gone as (select distinct r, unnest(range(i, i + 13)) as p from later),
+words as (
+    select r, p, word, gone.p is not null as g
+    from (select r, unnest(w) as word, unnest(range(1, len(w) + 1)) as p from docs) left join gone using (r, p)),
+totals as (
+    select r, count_if(g) as n_removed, string_agg(word, ' ' order by p) filter (not g) as kept
+    from words group by r)
+select doc_id, cast(len(w) as bigint) as n_words, cast(coalesce(n_removed, 0) as bigint) as n_removed,
+    sha256(coalesce(kept, '')) as kept_sha256
+from docs left join totals using (r)
+"""
