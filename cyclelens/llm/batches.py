@@ -7,6 +7,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 # Texts are worked on in groups of about this many bytes, so that the arrays made for
 # them stay small. One text is never divided: a longer one forms its own group.
@@ -18,8 +19,18 @@ def id_and_text(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return df.select(F.col(id_col).alias("row_id"), F.col(text_col).cast("string").alias("text"))
 
 
-def id_type(df: DataFrame, id_col: str) -> str:
-    return df.schema[id_col].dataType.simpleString()
+def output_schema(df: DataFrame, id_col: str, more: str) -> StructType:
+    """`row_id` with the type of the id column, and the fields of `more`."""
+    return StructType([StructField("row_id", df.schema[id_col].dataType), *StructType.fromDDL(more).fields])
+
+
+def with_rows(df: DataFrame) -> DataFrame:
+    """`df` with a column `whole` that holds the row. As an id it brings every column
+    through an operator, whatever the columns are called."""
+    if "whole" in df.columns:
+        df, inner = df.withColumnRenamed("whole", "whole kept"), df
+        return df.withColumn("whole", F.struct(*[F.col(f"`{'whole kept' if c == 'whole' else c}`").alias(c) for c in inner.columns]))
+    return df.withColumn("whole", F.struct(*[F.col(f"`{c}`") for c in df.columns]))
 
 
 def text_groups(

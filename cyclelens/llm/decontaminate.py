@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cyclelens.llm.batches import id_and_text, id_type, text_groups
+from cyclelens.llm.batches import id_and_text, output_schema, text_groups
 from cyclelens.session import written
 
 NGRAM = 13
@@ -196,7 +196,7 @@ def contamination(
     """One row per document: `row_id`, `n_words`, `spans` (maximal runs of hit words, as
     word positions, end exclusive), `items` (ids found, as sorted strings) and, with
     `cut`, `clean_text`, the text without its hit spans."""
-    schema = f"row_id {id_type(documents, id_col)}, {_HITS}" + ", clean_text string" * cut
+    schema = output_schema(documents, id_col, _HITS + ", clean_text string" * cut)
     passes = []
     source = id_and_text(documents, id_col, text_col)
     for windows in _blocks(benchmark, item_col, item_text_col, ngram, block_bytes):
@@ -207,7 +207,7 @@ def contamination(
         raise ValueError("cut the spans of a test set of one block, or by the spans of several")
     # Repeated rows would meet under one id, so each row gets a name of its own.
     named = written(source.withColumn("row_id", F.struct(F.uuid().alias("row"), "row_id")), "decontaminate-rows")
-    by_row = f"row_id struct<row:string,row_id:{id_type(documents, id_col)}>, {_HITS}"
+    by_row = output_schema(named, "row_id", _HITS)
     hits = [
         written(named.mapInArrow(_scanner(windows, False), by_row), "decontaminate-pass")
         for _, windows in passes

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from cyclelens.llm import (
     decontaminate,
     host_rules,
@@ -123,6 +124,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_phrase_automata": repeated_phrases,
         "op9_language_id": language,
         "op10_randomness_secret_scan": secrets,
+        "pipeline": corpus_pipeline.run,
     }
 
 

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cyclelens.llm.batches import id_and_text, id_type, text_groups
+from cyclelens.llm.batches import id_and_text, output_schema, text_groups
 
 SAMPLE_PER_LANGUAGE = 1000
 WINDOWS_PER_DOCUMENT = 4
@@ -216,5 +216,5 @@ def _predictor(network: Network | None):
 
 def predict(df: DataFrame, network: Network | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """`row_id`, `lang_pred` and `score` for every row."""
-    schema = f"row_id {id_type(df, id_col)}, lang_pred string, score double"
+    schema = output_schema(df, id_col, "lang_pred string, score double")
     return id_and_text(df, id_col, text_col).mapInArrow(_predictor(network), schema)

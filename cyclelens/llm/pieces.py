@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from sentencepiece import sentencepiece_model_pb2 as pb
 from tokenizers import Regex, Tokenizer, decoders, models, normalizers
 
-from cyclelens.llm.batches import id_and_text, id_type, text_groups
+from cyclelens.llm.batches import id_and_text, output_schema, text_groups
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MAX_MODEL_BYTES = 64 << 20
@@ -190,7 +190,7 @@ def _encoder(data: bytes):
 def encode(df: DataFrame, data: bytes, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """`row_id`, `ids`, `decoded`, `round_trip` (decoding gives the text, or what the
     normaliser made of it) and `parity` (the other library has the same ids)."""
-    schema = f"row_id {id_type(df, id_col)}, ids array<int>, decoded string, round_trip boolean, parity boolean"
+    schema = output_schema(df, id_col, "ids array<int>, decoded string, round_trip boolean, parity boolean")
     return id_and_text(df, id_col, text_col).mapInArrow(_encoder(data), schema)
 
 
@@ -211,4 +211,4 @@ def _decoder(data: bytes):
 def decode(df: DataFrame, data: bytes, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
     """`row_id` and `text` from lists of ids."""
     lists = df.selectExpr(f"`{id_col}` as row_id", f"cast(`{ids_col}` as array<int>) as ids")
-    return lists.mapInArrow(_decoder(data), f"row_id {id_type(df, id_col)}, text string")
+    return lists.mapInArrow(_decoder(data), output_schema(df, id_col, "text string"))

@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cyclelens.llm.batches import id_and_text, id_type, text_groups
+from cyclelens.llm.batches import id_and_text, output_schema, text_groups, with_rows
 from cyclelens.session import written
 
 SHINGLE = 3
@@ -68,7 +68,7 @@ def _printer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """`row_id` and `print`, the fingerprint as a signed long."""
-    schema = f"row_id {id_type(df, id_col)}, print long"
+    schema = output_schema(df, id_col, "print long")
     return id_and_text(df, id_col, text_col).mapInArrow(_printer, schema)
 
 
@@ -184,3 +184,17 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     smallest = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
     named = written(rooted.join(smallest, "root").select("print", "root", "component_id"), "simhash-components")
     return prints.join(named, "print").select("row_id", "print", "root", "component_id")
+
+
+def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of `df` of which one stays for each component: the smallest id's.
+
+    Rows that share an id are one document, of which one row stays. A row with a null id
+    stays only if its component has no id at all, and then as the only one."""
+    found = near_duplicates(df, id_col, text_col)
+    first = found.where("row_id = component_id").select(F.col("row_id").alias("first id")).distinct()
+    named = df.join(first, F.col(id_col) == F.col("`first id`"), "left_semi").dropDuplicates([id_col])
+    unnamed = with_rows(df.where(F.col(id_col).isNull()))
+    alone = found.where("component_id is null").select("print", "root").distinct()
+    unnamed = fingerprints(unnamed, "whole", text_col).join(alone, "print").dropDuplicates(["root"])
+    return named.unionByName(unnamed.select("row_id.*"))
