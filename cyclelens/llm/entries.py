@@ -14,6 +14,7 @@ from cyclelens.llm import (
     language_id,
     phrases,
     pieces,
+    quotes,
     secrets_scan,
     sharding,
     simhash,
@@ -45,6 +46,12 @@ def quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def quotations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The turns hold no quotes, so they are first written as mails that quote."""
+    mails = quotes.as_mails(_table(spark, sf_dir, "conversations"))
+    return quotes.conversations(mails, "msg_id", "turn", "text", "conv_id").drop("sent")
+
+
 def near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(_table(spark, sf_dir, "documents"))
     return found.select(
@@ -117,6 +124,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_karmarkar_karp_shards": shards,
         "op2_host_quality_rules": quality,
+        "op3_quotation_linking": quotations,
         "op4_benchmark_decontamination": decontamination,
         "op5_simhash_ball": near_copies,
         "op6_suffix_bucket_pointers": repeated_strings,
@@ -131,6 +139,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def oracle_sql() -> dict[str, str]:
     return {
         "op2_host_quality_rules": sql.HOST_RULES,
+        "op3_quotation_linking": sql.QUOTATIONS,
         "op4_benchmark_decontamination": sql.DECONTAMINATION,
         "op6_suffix_bucket_pointers": sql.REPEATED_STRINGS,
         "op8_phrase_automata": sql.REPEATED_PHRASES,

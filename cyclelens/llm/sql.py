@@ -129,3 +129,53 @@ select doc_id, cast(len(w) as bigint) as n_words, cast(coalesce(n_removed, 0) as
     sha256(coalesce(kept, '')) as kept_sha256
 from docs left join totals using (r)
 """
+
+# Turns as mails that quote two turns back, their lines by quote level, the earliest writer
+# of each line in the conversation, replies by most quoted characters, and their roots.
+QUOTATIONS = r"""
+with recursive said as (select conv_id, turn, min(text) as t from conversations group by conv_id, turn),
+mails as (
+    select row_number() over () as r, c.conv_id, c.turn,
+        cast(c.conv_id as varchar) || ':' || cast(c.turn as varchar) as msg_id,
+        concat_ws(chr(10), '> > ' || replace(b.t, chr(10), chr(10) || '> > '),
+            '> ' || replace(a.t, chr(10), chr(10) || '> '), c.text) as body
+    from conversations c left join said a on a.conv_id = c.conv_id and a.turn = c.turn - 1
+        left join said b on b.conv_id = c.conv_id and b.turn = c.turn - 2),
+raw as (
+    select r, conv_id, turn, msg_id, unnest(string_split(body, chr(10))) as line,
+        unnest(range(1, len(string_split(body, chr(10))) + 1)) as p
+    from mails),
+marked as (select *, regexp_extract(line, '^((?:>[\x20\x09]?)+)', 1) as marks from raw),
+parsed as (
+    select r, conv_id, turn, msg_id, p, length(regexp_replace(marks, '[^>]', '', 'g')) as level,
+        substr(line, length(marks) + 1) as content
+    from marked),
+lines as (
+    select *, lower(trim(regexp_replace(content, '[\x20\x09-\x0D]+', ' ', 'g'), ' ')) as plain
+    from parsed where msg_id is not null),
+origins as (
+    select conv_id, plain, min({'sent': turn, 'msg_id': msg_id}) as o
+    from lines where level = 0 and plain <> '' group by conv_id, plain),
+votes as (
+    select q.msg_id, level, o.msg_id as origin, sum(length(q.plain)) as weight, max(o.sent) as sent
+    from lines q join origins using (conv_id, plain)
+    where level > 0 and o.sent < q.turn group by q.msg_id, level, o.msg_id),
+links as (
+    select msg_id, origin as parent
+    from (select *, row_number() over (partition by msg_id order by level, weight desc, sent desc, origin desc) as k from votes)
+    where k = 1),
+up as (
+    select msg_id, parent as root, 1 as depth from links
+    union all
+    select up.msg_id, links.parent, depth + 1 from up join links on up.root = links.msg_id),
+roots as (
+    select msg_id, max(depth) as depth, arg_max(root, depth) as root from up group by msg_id),
+texts as (
+    select r, count_if(level > 0) as n_quoted,
+        coalesce(string_agg(content, chr(10) order by p) filter (level = 0), '') as t
+    from parsed group by r)
+select coalesce(root, msg_id) as conversation, cast(coalesce(depth, 0) as bigint) as depth, msg_id, parent,
+    regexp_replace(regexp_replace(t, '^(?:[\x20\x09-\x0D]*\n)+', ''), '(?:\n[\x20\x09-\x0D]*)+$', '') as text,
+    cast(n_quoted as bigint) as n_quoted
+from mails join texts using (r) left join links using (msg_id) left join roots using (msg_id)
+"""
