@@ -4,9 +4,11 @@ A window is a run of `size` tokens (bytes or words). Its anchor is the q-gram in
 hash is smallest, the leftmost of equal ones, so equal windows have equal anchors at equal
 places, and neighbouring windows mostly share one. Only the anchors are shuffled:
 
-1. `repeated`: anchors (hash, id) are sorted by hash; those seen in two documents are
-   reported to their documents.
-2. `stretches`: a document sends, for each such anchor, the stretch of text that all its
+0. `originals`: equal texts are one text, that of the smallest id. The others lose all
+   their windows, and take no part in what follows.
+1. `repeated`: anchors (hash, text) are sorted by hash; those seen in two different texts
+   are reported to their texts.
+2. `stretches`: a text sends, for each such anchor, the stretch of text that all its
    windows with this anchor cover, to the task of the anchor. Equal windows of different
    documents meet there. What happens there is the operator's method.
 3. `spans_removed`: the token ranges found are gathered for each document.
@@ -18,8 +20,8 @@ bounds, are decided where the text is read. Their q-grams are the last choice as
 so windows that only overlap a hot passage are sent by their own words. The sample decides
 where a window is handled, never what the answer is.
 
-Anchors and hot windows are compared by 64-bit hashes; what meets at an anchor is compared
-by its text. Ids must be integers. Documents with a null id neither lose nor cause
+Anchors and hot windows are compared by 64-bit hashes, equal texts by MD5; what meets at
+an anchor is compared by its text. Ids must be integers. Documents with a null id neither lose nor cause
 anything; rows with one id count as one document.
 """
 
@@ -144,6 +146,11 @@ class Scheme:
     hot_first: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
     hot_grams: np.ndarray = field(default_factory=lambda: np.zeros(0, np.uint64))
 
+    def places(self, tokens: Tokens) -> np.ndarray:
+        """Where windows start: none crosses the end of a text."""
+        n = max(0, len(tokens.hashes) - self.size + 1)
+        return np.flatnonzero(tokens.owner[:n] == tokens.owner[len(tokens.owner) - n :])
+
     def windows(self, tokens: Tokens) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Places of the windows, and for each the place and hash of its anchor."""
         n = len(tokens.hashes) - self.size + 1
@@ -155,22 +162,32 @@ class Scheme:
         if len(self.hot_grams):
             rank[_is_in(grams, self.hot_grams)] |= _U(1 << 63)
         least = _sliding_min(rank | np.arange(len(grams), dtype=np.uint64), self.size - self.q + 1)
-        places = np.flatnonzero(tokens.owner[:n] == tokens.owner[self.size - 1 :])
+        places = self.places(tokens)
         anchors = (least[places] & _LOW).astype(np.int64)
         return places, anchors, grams[anchors]
 
     def hot_at(self, tokens: Tokens, places: np.ndarray) -> np.ndarray:
         """For each window, its row in the table of hot windows, or -1."""
-        if not len(self.hot_windows) or not len(places):
-            return np.full(len(places), -1)
-        sums = gram_hashes(tokens.hashes, self.size)[places]
-        at = np.minimum(np.searchsorted(self.hot_windows, sums), len(self.hot_windows) - 1)
-        return np.where(self.hot_windows[at] == sums, at, -1)
+        at = np.full(len(places), -1)
+        if len(self.hot_windows) and len(places):
+            sums = gram_hashes(tokens.hashes, self.size)[places]
+            hit = np.flatnonzero(_is_in(sums, self.hot_windows))
+            at[hit] = np.searchsorted(self.hot_windows, sums[hit])
+        return at
 
 
 def _is_in(values: np.ndarray, table: np.ndarray) -> np.ndarray:
-    at = np.minimum(np.searchsorted(table, values), len(table) - 1)
-    return table[at] == values
+    """Membership in a sorted table; a sieve of bits answers for most values."""
+    if not len(table):
+        return np.zeros(len(values), bool)
+    shift = _U(max(44, 64 - 4 - len(table).bit_length()))
+    sieve = np.zeros(1 << (64 - int(shift)), bool)
+    sieve[table >> shift] = True
+    found = sieve[values >> shift]
+    likely = np.flatnonzero(found)
+    at = np.minimum(np.searchsorted(table, values[likely]), len(table) - 1)
+    found[likely] = table[at] == values[likely]
+    return found
 
 
 def _groups(batches, scheme: Scheme):
@@ -185,13 +202,27 @@ def _signed(values: np.ndarray) -> pa.Array:
 
 def _anchor_rows(scheme: Scheme):
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, ids, tokens in _groups(batches, scheme):
+        for rows, _, tokens in _groups(batches, scheme):
             places, anchors, hashes = scheme.windows(tokens)
             free = scheme.hot_at(tokens, places) < 0
             anchors, hashes = anchors[free], hashes[free]
             new = np.flatnonzero(np.concatenate(([True], anchors[1:] != anchors[:-1]))[: len(anchors)])
             owner = tokens.owner[anchors[new]]
-            yield pa.RecordBatch.from_pydict({"anchor": _signed(hashes[new]), "row_id": pa.array(ids[owner])})
+            texts = rows.column("text_hash").to_numpy()
+            yield pa.RecordBatch.from_pydict({"anchor": _signed(hashes[new]), "text_hash": pa.array(texts[owner])})
+
+    return emit
+
+
+def _document_anchors(scheme: Scheme):
+    """As `_anchor_rows`, but copies count as documents."""
+
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, ids, tokens in _groups(batches, scheme):
+            _, anchors, hashes = scheme.windows(tokens)
+            new = np.flatnonzero(np.concatenate(([True], anchors[1:] != anchors[:-1]))[: len(anchors)])
+            owner = tokens.owner[anchors[new]]
+            yield pa.RecordBatch.from_pydict({"anchor": _signed(hashes[new]), "document": pa.array(ids[owner])})
 
     return emit
 
@@ -217,7 +248,7 @@ def _hot_rows(scheme: Scheme, anchors: np.ndarray):
 def _first_rows(scheme: Scheme):
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, ids, tokens in _groups(batches, scheme):
-            places = scheme.windows(tokens)[0]
+            places = scheme.places(tokens)
             at = scheme.hot_at(tokens, places)
             hit = at >= 0
             if hit.any():
@@ -238,7 +269,9 @@ def find_hot(rows: DataFrame, scheme: Scheme) -> None:
         share = SAMPLE_DOCUMENTS / n
         sample = rows.where(F.pmod(F.xxhash64("row_id", "text_hash"), F.lit(1 << 30)) < int(share * (1 << 30)))
     least = max(HOT_LEAST, int(HOT_SHARE * min(n, SAMPLE_DOCUMENTS)))
-    seen = sample.mapInArrow(_anchor_rows(scheme), "anchor long, row_id long").distinct()
+    rows_of = "row_id", "text_hash", "text"
+    sample, rows = sample.select(*rows_of), rows.select(*rows_of)
+    seen = sample.mapInArrow(_document_anchors(scheme), "anchor long, document long").distinct()
     hot = seen.groupBy("anchor").count().where(F.col("count") >= least).select("anchor").collect()
     if not hot:
         return
@@ -285,20 +318,28 @@ def sorted_runs(batches, column: str, chunk_bytes: int = CHUNK_BYTES) -> Iterato
 
 def _repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for table in sorted_runs(batches, "anchor"):
-        anchor, ids = table.column("anchor").to_numpy(), table.column("row_id").to_numpy()
+        anchor, ids = table.column("anchor").to_numpy(), table.column("text_hash").to_numpy()
         new = np.concatenate(([True], anchor[1:] != anchor[:-1]))
         start = np.flatnonzero(new)
         two = np.minimum.reduceat(ids, start) != np.maximum.reduceat(ids, start)
         keep = two[np.cumsum(new) - 1]
-        yield pa.RecordBatch.from_pydict({"anchor": pa.array(anchor[keep]), "row_id": pa.array(ids[keep])})
+        yield pa.RecordBatch.from_pydict({"anchor": pa.array(anchor[keep]), "text_hash": pa.array(ids[keep])})
+
+
+def originals(rows: DataFrame) -> DataFrame:
+    """`row_id`, `text_hash` and `first_id`, the smallest id with the same text."""
+    keys = rows.select("row_id", "text_hash", F.unhex(F.md5(F.coalesce("text", F.lit("")))).alias("digest"))
+    keys = keys.distinct()
+    first = keys.groupBy("digest").agg(F.min("row_id").alias("first_id"))
+    return keys.join(first, "digest").select("row_id", "text_hash", "first_id")
 
 
 def repeated(rows: DataFrame, scheme: Scheme) -> DataFrame:
-    """`row_id` and `anchors`: the anchors of a document that other documents have too."""
-    anchors = rows.mapInArrow(_anchor_rows(scheme), "anchor long, row_id long")
+    """`text_hash` and `anchors`: the anchors of a text that other texts have too."""
+    anchors = rows.select("row_id", "text_hash", "text").mapInArrow(_anchor_rows(scheme), "anchor long, text_hash long")
     dealt = anchors.repartition("anchor").sortWithinPartitions("anchor")
-    found = dealt.mapInArrow(_repeats, "anchor long, row_id long")
-    return found.groupBy("row_id").agg(F.collect_set("anchor").alias("anchors"))
+    found = dealt.mapInArrow(_repeats, "anchor long, text_hash long")
+    return found.groupBy("text_hash").agg(F.collect_set("anchor").alias("anchors"))
 
 
 _STRETCH = "anchor long, row_id long, text_hash long, place int, n_windows int, body binary"
@@ -336,7 +377,7 @@ def _stretch_rows(scheme: Scheme):
 
 def stretches(rows: DataFrame, flagged: DataFrame, scheme: Scheme) -> DataFrame:
     """The stretches of text around repeated anchors, sorted by anchor in partitions."""
-    texts = rows.join(flagged, "row_id")
+    texts = rows.join(flagged, ["row_id", "text_hash"])
     sent = texts.select("row_id", "text_hash", "text", "anchors").mapInArrow(_stretch_rows(scheme), _STRETCH)
     return sent.repartition("anchor").sortWithinPartitions("anchor")
 
@@ -367,14 +408,19 @@ def later_spans(table: pa.Table, window_row: np.ndarray, window_at: np.ndarray,
 
 
 def spans_removed(rows: DataFrame, scheme: Scheme, method: Callable, label: str) -> DataFrame:
-    """`row_id`, `text_hash` and `found`: token ranges covered by windows that a document
-    with a smaller id has too. `method` turns sorted stretches into such ranges."""
+    """`row_id`, `text_hash`, `is_copy` (a smaller id has the same text, so every window
+    goes) and `found`: token ranges covered by windows that a smaller id has too. Rows that
+    lose nothing may be missing. `method` turns sorted stretches into such ranges."""
     known = rows.where("row_id is not null")
     find_hot(known, scheme)
-    flagged = written(repeated(known, scheme), f"{label}-anchors")
+    firsts = written(originals(known), f"{label}-originals")
+    own = firsts.where("row_id = first_id").select("row_id", "text_hash")
+    flagged = written(own.join(repeated(known, scheme), "text_hash"), f"{label}-anchors")
     found = stretches(known, flagged, scheme).mapInArrow(method, SPANS)
     ranges = F.struct("first", "last")
-    return written(found.groupBy("row_id", "text_hash").agg(F.collect_list(ranges).alias("found")), f"{label}-spans")
+    found = found.groupBy("row_id", "text_hash").agg(F.collect_list(ranges).alias("found"))
+    copies = firsts.where("row_id > first_id").select("row_id", "text_hash", F.lit(True).alias("is_copy"))
+    return written(found.withColumn("is_copy", F.lit(False)).unionByName(copies, allowMissingColumns=True), f"{label}-spans")
 
 
 def hashed_rows(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -382,15 +428,23 @@ def hashed_rows(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return df.select(F.col(id_col).cast("long").alias("row_id"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
 
 
-def cover(tokens: Tokens, scheme: Scheme, ids: np.ndarray, found: list, known: np.ndarray) -> np.ndarray:
-    """Which tokens go: those in a range found, or in a hot window of an earlier document."""
+def cover(tokens: Tokens, scheme: Scheme, rows: pa.RecordBatch) -> np.ndarray:
+    """Which tokens go: those in a range found, in a hot window of an earlier document, or
+    in any window of a copy."""
+    known = rows.column("row_id").is_valid().to_numpy(zero_copy_only=False)
+    ids = rows.column("row_id").fill_null(0).to_numpy()
     change = np.zeros(len(tokens.hashes) + 1, dtype=np.int32)
-    for k, ranges in enumerate(found):
+    ends = np.append(tokens.first[1:], len(tokens.hashes))
+    copies = rows.column("is_copy").to_pylist()
+    for k, ranges in enumerate(rows.column("found").to_pylist()):
+        if copies[k] and ends[k] - tokens.first[k] >= scheme.size:
+            change[tokens.first[k]] += 1
+            change[ends[k]] -= 1
         for r in ranges or ():
             change[tokens.first[k] + r["first"]] += 1
             change[tokens.first[k] + r["last"]] -= 1
     if len(scheme.hot_windows):
-        places = scheme.windows(tokens)[0]
+        places = scheme.places(tokens)
         at = scheme.hot_at(tokens, places)
         hit = (at >= 0) & known[tokens.owner[places]]
         hit[hit] = scheme.hot_first[at[hit]] < ids[tokens.owner[places[hit]]]

@@ -75,9 +75,7 @@ def _cutter(scheme: anchors.Scheme):
         for rows, texts in text_groups(batches):
             plain = [t or b"" for t in texts]
             tokens = anchors.word_tokens(plain)
-            known = rows.column("row_id").is_valid().to_numpy(zero_copy_only=False)
-            ids = rows.column("row_id").fill_null(0).to_numpy()
-            gone = anchors.cover(tokens, scheme, ids, rows.column("found").to_pylist(), known)
+            gone = anchors.cover(tokens, scheme, rows)
             n_words, kept, spans = [], [], []
             for k, text in enumerate(plain):
                 words = text.split()
@@ -102,6 +100,6 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     scheme = anchors.Scheme(anchors.word_tokens, SIZE, ANCHOR)
     rows = anchors.hashed_rows(df, id_col, text_col)
     found = anchors.spans_removed(rows, scheme, _locator, "phrases")
-    met = rows.join(found, ["row_id", "text_hash"], "left").select("row_id", "text", "found")
+    met = rows.join(found, ["row_id", "text_hash"], "left").select("row_id", "text", "found", "is_copy")
     schema = "row_id long, n_words long, spans array<struct<start:long,end:long>>, kept string, kept_sha256 string"
     return met.mapInArrow(_cutter(scheme), schema)

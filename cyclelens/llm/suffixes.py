@@ -21,6 +21,7 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
@@ -69,14 +70,34 @@ def equal_strings(data: np.ndarray, bounds: np.ndarray, size: int = SIZE) -> tup
 
 def _refiner(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for table in anchors.sorted_runs(batches, "anchor"):
-        bodies = table.column("body").to_pylist()
-        data = np.frombuffer(b"".join(bodies), np.uint8)
-        bounds = np.cumsum([len(b) for b in bodies])
-        places, label = equal_strings(data, bounds)
-        row = np.searchsorted(bounds, places, side="right")
-        at = places - (bounds[row] - np.array([len(b) for b in bodies])[row])
-        classes = np.unique(label, return_inverse=True)[1]
-        yield anchors.later_spans(table, row, at, classes, SIZE)
+        # Equal stretches are one stretch with the smallest of their ids. Where all
+        # stretches of an anchor are equal, that id decides, and nothing is sorted.
+        code, bodies = pd.factorize(np.array([*table.column("body").to_pylist(), None], dtype=object)[:-1])
+        anchor = pd.factorize(table.column("anchor").to_numpy())[0]
+        anchor_of = np.zeros(len(bodies), np.int64)
+        anchor_of[code] = anchor
+        several = np.bincount(anchor_of)[anchor_of] > 1
+        size = np.array([len(b) for b in bodies])
+        windows = size - SIZE + 1
+        # Windows by themselves: one class for each window of each distinct stretch …
+        begin = np.cumsum(windows) - windows
+        classes = np.arange(windows.sum())
+        # … which equal windows of different stretches then share.
+        chosen = np.flatnonzero(several)
+        if len(chosen):
+            data = np.frombuffer(b"".join(bodies[chosen]), np.uint8)
+            bounds = np.cumsum(size[chosen])
+            places, label = equal_strings(data, bounds)
+            body = np.searchsorted(bounds, places, side="right")
+            at = places - (bounds[body] - size[chosen][body])
+            mine = begin[chosen[body]] + at
+            least = np.full(int(label.max(initial=-1)) + 1, len(classes))
+            np.minimum.at(least, label, mine)
+            classes[mine] = least[label]
+        count = windows[code]
+        row = np.repeat(np.arange(len(code)), count)
+        at = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
+        yield anchors.later_spans(table, row, at, classes[begin[code][row] + at], SIZE)
 
 
 def _cutter(scheme: anchors.Scheme):
@@ -84,9 +105,7 @@ def _cutter(scheme: anchors.Scheme):
         for rows, texts in text_groups(batches):
             plain = [t or b"" for t in texts]
             tokens = anchors.byte_tokens(plain)
-            known = rows.column("row_id").is_valid().to_numpy(zero_copy_only=False)
-            ids = rows.column("row_id").fill_null(0).to_numpy()
-            gone = anchors.cover(tokens, scheme, ids, rows.column("found").to_pylist(), known)
+            gone = anchors.cover(tokens, scheme, rows)
             kept, spans = [], []
             for k, text in enumerate(plain):
                 mine = gone[tokens.first[k] : tokens.first[k] + len(text)]
@@ -109,6 +128,6 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     scheme = anchors.Scheme(anchors.byte_tokens, SIZE, ANCHOR)
     rows = anchors.hashed_rows(df, id_col, text_col)
     found = anchors.spans_removed(rows, scheme, _refiner, "suffixes")
-    met = rows.join(found, ["row_id", "text_hash"], "left").select("row_id", "text", "found")
+    met = rows.join(found, ["row_id", "text_hash"], "left").select("row_id", "text", "found", "is_copy")
     schema = "row_id long, n_bytes long, spans array<struct<start:long,end:long>>, kept binary, kept_sha256 string"
     return met.mapInArrow(_cutter(scheme), schema)
