@@ -17,12 +17,13 @@ from cyclelens import fixtures, oracle  # noqa: E402
 from cyclelens.functions.geo import geohash8  # noqa: E402
 from cyclelens.functions.tags import business_tags, client_tags, ride_tags  # noqa: E402
 from cyclelens.operators import geodict, usertags  # noqa: E402
-from cyclelens.operators.reports import ReportSpec, report  # noqa: E402
+from cyclelens.operators.reports import ReportSpec, report, report_suite  # noqa: E402
 from cyclelens.operators.wash import mask, split_valid, wash  # noqa: E402
-from cyclelens.plans.catalog import REPORTS  # noqa: E402
+from cyclelens.plans.catalog import REPORTS, reports_of  # noqa: E402
 from cyclelens.schemas import LOGS  # noqa: E402
 from cyclelens.session import work_folder, written  # noqa: E402
-from cyclelens.streaming.rollups import ROLLUPS, read_rollup, start_rollups  # noqa: E402
+from cyclelens.sources.logs import stream_lines  # noqa: E402
+from cyclelens.streaming.rollups import ROLLUPS, read_rejects, read_rollup, start_rollups  # noqa: E402
 
 
 
@@ -38,7 +39,6 @@ def _training_data_queries():
 
 
 _LLM = _training_data_queries()
-_STREAM_TIMEOUT = 3600  # seconds
 _NOW_MS = 1706745600000
 _AS_OF = "2024-02-01"
 _HALF_LIFE_DAYS = 7.0
@@ -55,7 +55,7 @@ def _report(spec: ReportSpec, spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _wash(log: str, spark: SparkSession, sf_dir: str) -> DataFrame:
-    washed = wash(fixtures.raw_lines(fixtures.load(spark, sf_dir, log)), log)
+    washed = wash(fixtures.rough_lines(fixtures.load(spark, sf_dir, log)), log)
     if log == "lock":  # shown as an epoch, which reads the same in every engine
         washed = washed.withColumn("timestamp", F.unix_millis("timestamp"))
     return washed
@@ -67,7 +67,7 @@ def _rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _masked(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rides = fixtures.load(spark, sf_dir, "unlock")
+    rides = fixtures.addresses(fixtures.load(spark, sf_dir, "unlock"))
     return mask(rides, salt="fixture-salt").select("sessionid", "userid", "ip", "mac")
 
 
@@ -85,15 +85,22 @@ def _decoded(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return geodict.geo_dictionary(
-        fixtures.load(spark, sf_dir, "points"), fixtures.load(spark, sf_dir, "replies")
-    )
+    points = written(_points(spark, sf_dir), "points")
+    return geodict.geo_dictionary(points, fixtures.replies_to(spark, points))
 
 
 def _misses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return geodict.geo_misses(_points(spark, sf_dir), _dictionary(spark, sf_dir))
 
 
+def _merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A dictionary of the eastern points, completed with the replies to its misses."""
+    points = written(_points(spark, sf_dir), "points")
+    replies = fixtures.replies_to(spark, points)
+    known = written(geodict.geo_dictionary(points.where("longitude >= 100"), replies), "dictionary")
+    return geodict.completed_dictionary(points, known, replies)
+
+
 def _stored_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return written(_dictionary(spark, sf_dir), "dictionary")
 
@@ -103,18 +110,18 @@ def _ride_tags(tags: Callable, spark: SparkSession, sf_dir: str) -> DataFrame:
     return rides.select("sessionid", "userid", F.array_join(F.array_sort(tags()), ",").alias("tags"))
 
 
-def _district_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _district_tags(spark: SparkSession, sf_dir: str, **how) -> DataFrame:
     rides = fixtures.load(spark, sf_dir, "unlock").select(
         "sessionid", "userid", "latitude", "longitude"
     )
-    placed = usertags.with_districts(rides, _stored_dictionary(spark, sf_dir))
+    placed = usertags.with_districts(rides, _stored_dictionary(spark, sf_dir), **how)
     tags = F.array_join(F.array_sort(business_tags(F.col("business"))), ",")
     return placed.select("sessionid", "userid", tags.alias("tags"))
 
 
-def _user_tags(spark: SparkSession, sf_dir: str, keys: tuple[str, ...] = ("userid",)) -> DataFrame:
+def _user_tags(spark: SparkSession, sf_dir: str, keys: tuple[str, ...] = ("userid",), **how) -> DataFrame:
     rides = fixtures.load(spark, sf_dir, "unlock")
-    return usertags.user_tags(rides, _stored_dictionary(spark, sf_dir), keys)
+    return usertags.user_tags(rides, _stored_dictionary(spark, sf_dir), keys, **how)
 
 
 def _detail(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -141,20 +148,35 @@ def _decayed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return weights.withColumn("weight", F.round("weight", 6))
 
 
+def _suite(log: str, spark: SparkSession, sf_dir: str) -> DataFrame:
+    shared = [s for s in reports_of(log) if s.additive]
+    return report_suite(fixtures.load(spark, sf_dir, log), shared)
+
+
+def _streamed(lines: DataFrame, label: str, log: str) -> str:
+    """Raw lines streamed in four batches; the folder with the totals. The job packs the
+    first two batches on its way."""
+    spark = lines.sparkSession
+    folder = work_folder(spark, label)
+    lines.select("value").repartition(4).write.text(f"{folder}/in")
+    start_rollups(
+        stream_lines(spark, f"{folder}/in", 1), log, f"{folder}/totals", f"{folder}/checkpoint",
+        available_now=True, pack_every=2,
+    ).awaitTermination()
+    return f"{folder}/totals"
+
+
 def _live(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
     log = ROLLUPS[name].log
-    folder = work_folder(spark, name)
-    job = start_rollups(
-        fixtures.stream_raw_lines(spark, sf_dir, log),
-        log,
-        path=f"{folder}/totals",
-        checkpoint=f"{folder}/checkpoint",
-        available_now=True,
-    )
-    if not job.awaitTermination(_STREAM_TIMEOUT):
-        job.stop()
-        raise TimeoutError(f"{name}: the stream did not finish in {_STREAM_TIMEOUT} s")
-    return read_rollup(spark, name, f"{folder}/totals")
+    lines = fixtures.raw_lines(fixtures.load(spark, sf_dir, log))
+    return read_rollup(spark, name, _streamed(lines, name, log))
+
+
+def _live_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = fixtures.damaged_lines(fixtures.load(spark, sf_dir, "unlock"))
+    rejects = read_rejects(spark, _streamed(lines, "live-rejects", "unlock"))
+    line_id = F.regexp_extract("value", '"sessionid":"([^"]*)"', 1).alias("line_id")
+    return rejects.select(line_id, "reject_reason")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -170,13 +192,18 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "geo_misses": _misses,
         "tags_client": partial(_ride_tags, client_tags),
         "tags_bike": partial(_ride_tags, ride_tags),
+        "geo_dictionary_merged": _merged,
         "tags_business": _district_tags,
+        "tags_business_shuffled": partial(_district_tags, broadcast_bytes=0),
         "user_tags": _user_tags,
+        "user_tags_shuffled": partial(_user_tags, broadcast_bytes=0),
         "user_tag_detail": _detail,
         "user_tag_document": _document,
         "users_by_tag": _users_by_tag,
         "tag_decay": _decayed,
+        **{f"report_suite_{log}": partial(_suite, log) for log in ("unlock", "order", "recharge", "repair")},
         **{name: partial(_live, name) for name in ROLLUPS},
+        "live_rejects": _live_rejects,
         **(_LLM.queries() if _LLM else {}),
     }
 

@@ -6,7 +6,9 @@ the table: a Parquet path in Spark, a view name in the oracle. See FIXTURES.md.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import uuid
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 TABLES = ("lineitem", "orders", "customer", "nation", "region")
@@ -74,12 +76,10 @@ VIEWS = {
     "recharge": f"""select {_ORDER_HEAD}, {_ORDER_TIME} as timestamp,
         {_ORDER_PLACE}, {_ORDER_NET}, {_MONEY},
         cast(1 + (o_orderkey * 17 % 997) % 3 as int) as rechargesource
-    {_FROM_ORDERS}
-    where o_orderstatus <> 'P'""",
+    {_FROM_ORDERS}""",
     "repair": f"""select {_LINE_SESSION}, {_USER}, {_BIKE}, {_LINE_TIME} as timestamp,
         {_LINE_PLACE}, {_LINE_NET}, cast(1 + l_linenumber % 4 as int) as repairtype
-    {_FROM_LINES}
-    where l_returnflag = 'R'""",
+    {_FROM_LINES}""",
 }
 
 POINTS = """select distinct latitude, longitude from ({unlock})
@@ -124,6 +124,13 @@ def load(spark: SparkSession, sf_dir: str, view: str) -> DataFrame:
     return spark.sql(sql_for(view, tables))
 
 
+def replies_to(spark: SparkSession, points: DataFrame) -> DataFrame:
+    """The reply table for stored points."""
+    view = f"points_{uuid.uuid4().hex}"
+    points.createTempView(view)
+    return spark.sql(_fill(REPLIES, {"points": f"select * from {view}"}))
+
+
 def raw_lines(log_df: DataFrame) -> DataFrame:
     """The log as raw JSON lines: column `value`, with coordinates nested in `location`."""
     fields = [F.col(c) for c in log_df.columns if c not in ("latitude", "longitude")]
@@ -131,30 +138,39 @@ def raw_lines(log_df: DataFrame) -> DataFrame:
     return log_df.select(F.to_json(F.struct(*fields, place)).alias("value"))
 
 
-def stream_raw_lines(spark: SparkSession, sf_dir: str, log: str) -> DataFrame:
-    """A stream of the log's raw lines, fed by the driver table that the log grows with.
+# How a rough line differs from a plain one, by remainder: 1 quotes its numbers, 2 has a
+# blank instead of the client, 3 has its fields in another order and no device type.
+ROUGHNESS = 4
+ROUGH_KIND = "(length(sessionid) + client * 3 + deviceType * 7) % 4"
+
 
-    Stands in for the log's message topic: the large table is read as a stream, the
-    others are joined as static tables."""
-    grows = "lineitem" if "{lineitem}" in VIEWS[log] else "orders"
-    tables = {}
-    for name in TABLES:
-        path = f"{sf_dir}/{name}.parquet"
-        table = spark.read.parquet(path)
-        if name == grows:
-            # A streaming source takes a folder or a pattern, but not one plain file.
-            table = spark.readStream.schema(table.schema).parquet(f"{path[:-1]}[{path[-1]}]")
-        tables[name] = table
-    return raw_lines(spark.sql(VIEWS[log], **tables))
+def rough_lines(log_df: DataFrame) -> DataFrame:
+    """The log as raw lines of different manners, which washing must read alike."""
+    kind = F.expr(ROUGH_KIND)
+    numbers = [c for c, t in log_df.dtypes if t != "string"]
+    flat = [c for c in log_df.columns if c not in ("latitude", "longitude")]
 
+    def line(names: list[str], change: dict) -> Column:
+        place = F.struct(*[change.get(c, F.col(c)).alias(c) for c in ("latitude", "longitude")])
+        return F.to_json(F.struct(*[change.get(c, F.col(c)).alias(c) for c in names], place.alias("location")))
 
-# Faults that `damaged_lines` plants, by remainder of the ride's begin second. Every
-# other line stays good, one kind of them with a quoted number.
-FAULTS = 11
+    quoted = {c: F.col(c).cast("string") for c in numbers}
+    reordered = [c for c in reversed(flat) if c != "deviceType"]
+    return log_df.select(
+        F.when(kind == 1, line(flat, quoted))
+        .when(kind == 2, line(flat, {"client": F.lit("")}))
+        .when(kind == 3, line(reordered, {}))
+        .otherwise(line(flat, {})).alias("value")
+    )
+
+
+# Faults that `damaged_lines` plants, by remainder of the ride's begin second. The upper
+# half of the remainders stays good, and so does one kind with a quoted number.
+FAULTS = 22
 
 
 def damaged_lines(unlock: DataFrame) -> DataFrame:
-    """Raw ride lines with their key in `line_id`, five in eleven of them damaged."""
+    """Raw ride lines with their key in `line_id`, ten in twenty-two of them damaged."""
     place = F.struct("latitude", "longitude").alias("location")
     fields = [F.col(c) for c in unlock.columns if c not in ("latitude", "longitude")]
     lines = unlock.select(
@@ -170,6 +186,27 @@ def damaged_lines(unlock: DataFrame) -> DataFrame:
         .when(F.col("kind") == 3, F.regexp_replace(text, r'"btimestamp":\d+', '"btimestamp":"soon"'))
         .when(F.col("kind") == 4, F.regexp_replace(text, r'"client":(\d+)', '"client":"$1"'))
         .when(F.col("kind") == 5, F.regexp_replace(text, r'"latitude":[0-9.]+', '"latitude":"north"'))
+        .when(F.col("kind") == 6, F.regexp_replace(text, r'"distance":[0-9.]+', '"distance":"NaN"'))
+        .when(F.col("kind") == 7, F.regexp_replace(text, r'"btimestamp":\d+', '"btimestamp":9223372036854775807'))
+        .when(F.col("kind") == 8, F.concat(text, F.lit(" junk")))
+        .when(F.col("kind") == 9, F.concat(text, text))
+        .when(F.col("kind") == 10, F.regexp_replace(text, r'"etimestamp":\d+', '"etimestamp":-99999999999999999'))
         .otherwise(text)
     )
     return lines.select("line_id", damaged.alias("value"))
+
+
+def addresses(unlock: DataFrame) -> DataFrame:
+    """The rides with addresses of many forms in `ip`, by remainder of the begin second."""
+    kind = F.pmod(F.call_function("div", F.col("btimestamp"), F.lit(1000)), F.lit(8))
+    forms = (
+        F.when(kind == 1, F.concat("ip", F.lit(":8080")))
+        .when(kind == 2, F.concat(F.lit(" "), "ip", F.lit(" ")))
+        .when(kind == 3, F.concat(F.lit("fe80::"), F.col("client").cast("string")))
+        .when(kind == 4, F.concat(F.lit("2001:db8:7:"), F.col("client").cast("string"), F.lit("::9")))
+        .when(kind == 5, "::1")
+        .when(kind == 6, F.concat(F.lit("host-"), "ip"))
+        .when(kind == 7, "")
+        .otherwise(F.col("ip"))
+    )
+    return unlock.withColumn("ip", forms)

@@ -26,10 +26,10 @@ def utc_hour(epoch: Column, unit: str = "ms") -> Column:
 
 
 def utc_date(epoch: Column, unit: str = "ms") -> Column:
-    """Calendar date as 'yyyy-MM-dd'."""
+    """Calendar date as 'yyyy-MM-dd'; null for an epoch beyond any calendar."""
     day = 24 * _ticks(unit)
-    days = F.call_function("div", epoch - F.pmod(epoch, F.lit(day)), F.lit(day))
-    return F.date_from_unix_date(days.cast("int")).cast("string")
+    days = F.call_function("div", F.try_subtract(epoch, F.pmod(epoch, F.lit(day))), F.lit(day))
+    return F.date_from_unix_date(days.try_cast("int")).cast("string")
 
 
 def ride_hours(begin: Column, end: Column) -> Column:

@@ -13,23 +13,38 @@ from pyspark.sql import types as T
 # Texts that stand for "no value".
 _BLANKS = ("", "null", "NULL")
 
+# Epoch milliseconds that are dates of four-digit years.
+EPOCH_MIN, EPOCH_MAX = -62_135_596_800_000, 253_402_300_799_999
+
 
 def to_type(text: Column, dtype: T.DataType) -> Column:
     if isinstance(dtype, T.StringType):
         return text
     if isinstance(dtype, T.DoubleType):
-        return text.try_cast("double")
+        return _finite(text)
     if isinstance(dtype, (T.IntegerType, T.LongType)):
         whole = text.try_cast(dtype)
-        return F.coalesce(whole, text.try_cast("double").try_cast(dtype))
+        return F.coalesce(whole, _finite(text).try_cast(dtype))
     if isinstance(dtype, T.TimestampType):
-        millis = F.timestamp_millis(text.try_cast("bigint"))
+        millis = F.timestamp_millis(to_epoch(text))
         with_time = F.concat(text, F.lit("Z")).try_cast("timestamp")
         date_only = F.concat(text, F.lit(" 00:00:00Z")).try_cast("timestamp")
         return F.coalesce(millis, with_time, date_only)
     raise TypeError(f"no coercion to {dtype.simpleString()}")
 
 
+def _finite(text: Column) -> Column:
+    """A double; NaN and infinities are no numbers here, they would spoil every sum."""
+    number = text.try_cast("double")
+    return F.when(F.abs(number) < F.lit(float("inf")), number)
+
+
+def to_epoch(text: Column) -> Column:
+    """Epoch milliseconds within the years 1 to 9999, which no later step overflows on."""
+    millis = to_type(text, T.LongType())
+    return F.when(millis.between(EPOCH_MIN, EPOCH_MAX), millis)
+
+
 def unreadable(text: Column, typed: Column) -> Column:
     """True where a value was given but could not be read."""
     return text.isNotNull() & ~text.isin(*_BLANKS) & typed.isNull()

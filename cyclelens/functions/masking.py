@@ -12,9 +12,24 @@ def pseudonym(value: Column, salt: str) -> Column:
     return F.when(value == "", value).otherwise(F.sha2(F.concat(F.lit(salt), value), 256))
 
 
+_V4 = r"^([0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3})\.[0-9]{1,3}(?::[0-9]+)?$"
+# An IPv6 address, perhaps in brackets, with a zone or a port.
+_V6 = r"^\[?(?=[^\]%]*:[^\]%]*:)([0-9A-Fa-f:.]+)(?:%[^\]]*)?(?:\](?::[0-9]+)?)?$"
+_V6_LONG = r"^((?:[0-9A-Fa-f]{1,4}:){3}).*$"
+_V6_SHORT = r"^((?:[0-9A-Fa-f]{1,4}:){0,2}):.*$"
+
+
 def blur_ip(ip: Column) -> Column:
     """Hide the host part: the last octet of an IPv4 address, or everything after the
-    third group of an IPv6 address."""
-    v6 = F.regexp_replace(ip, r"^((?:[0-9A-Fa-f]*:){3}).*$", "$1*")
-    v4 = F.regexp_replace(ip, r"\.[0-9]+$", ".*")
-    return F.when(ip.contains(":"), v6).otherwise(v4)
+    third group (or the gap before it) of an IPv6 address. Ports and zones go. What is no
+    address is hidden as a whole; '' stays '' and null stays null."""
+    text = F.trim(ip)
+    v6 = F.regexp_extract(text, _V6, 1)
+    return (
+        F.when(text == "", "")
+        .when(text.rlike(_V4), F.regexp_replace(text, _V4, "$1.*"))
+        .when(v6.rlike(_V6_LONG), F.regexp_replace(v6, _V6_LONG, "$1*"))
+        .when(v6.startswith("::"), "::*")
+        .when(v6.rlike(_V6_SHORT), F.regexp_replace(v6, _V6_SHORT, "$1:*"))
+        .when(ip.isNotNull(), "*")
+    )

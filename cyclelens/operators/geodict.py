@@ -64,3 +64,10 @@ def merge_dictionary(known: DataFrame, fresh: DataFrame) -> DataFrame:
     Both sides are unique on the cell, so no key is hot."""
     both = known.withColumnRenamed("business", "old").join(fresh, "geohash8", "full")
     return both.select("geohash8", F.coalesce("business", "old").alias("business"))
+
+
+def completed_dictionary(points: DataFrame, known: DataFrame, replies: DataFrame) -> DataFrame:
+    """`known` with entries for the cells it misses, from stored replies to one point of
+    each missing cell. Cells whose reply names no district stay missing."""
+    misses = geo_misses(points, known).select("latitude", "longitude")
+    return merge_dictionary(known, geo_dictionary(misses, replies))

@@ -1,7 +1,7 @@
 """Key lookup of a large fact table in a dictionary of unknown size.
 
 A dictionary whose size was measured and is small is broadcast. A larger one is joined
-by shuffle, with the fact rows of the hottest keys spread over many tasks.
+by shuffle; adaptive execution divides the fact rows of hot keys by their measured size.
 """
 
 from __future__ import annotations
@@ -9,11 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cyclelens.session import written
-
 BROADCAST_BYTES = 64 << 20
-HOT_KEYS = 1000
-SPREAD = 64
 
 
 def text_bytes(df: DataFrame) -> int:
@@ -25,50 +21,15 @@ def text_bytes(df: DataFrame) -> int:
     return df.agg(F.coalesce(F.sum(per_row.cast("bigint")), F.lit(0))).first()[0]
 
 
-def hottest(facts: DataFrame, key: str) -> DataFrame:
-    """The keys with most fact rows. At most HOT_KEYS rows, so it may be broadcast; a
-    key left out holds less than one row in HOT_KEYS.
-
-    A null key may take a place in the list, where it matches nothing. Filtering it out
-    would be pushed into the scan and compute the key of every row twice."""
-    counts = facts.groupBy(key).agg(F.count(F.lit(1)).alias("rows"))
-    return counts.orderBy(F.desc("rows"), key).limit(HOT_KEYS).select(key)
-
-
 def lookup(
-    facts: DataFrame,
-    dictionary: DataFrame,
-    key: str,
-    spread_by: tuple[str, ...],
-    broadcast_bytes: int = BROADCAST_BYTES,
-    store_facts: bool = False,
+    facts: DataFrame, dictionary: DataFrame, key: str, broadcast_bytes: int = BROADCAST_BYTES
 ) -> DataFrame:
     """`facts` left-joined to `dictionary` (unique on `key`) by `key`.
 
-    `spread_by` names fact columns that tell rows of one key apart. They decide which
-    copy of a hot dictionary entry a row meets. Rows with a null key match nothing and
-    are spread over all tasks. Pass a stored dictionary: it is read once to be measured
-    and once to be joined. `store_facts` writes the facts to the work folder before the
-    shuffle join, for facts that cost more to compute than to read.
+    Pass a stored dictionary: it is read once to be measured and once to be joined. In
+    the shuffle join the engine splits a key (null included) whose measured size is far
+    above the others', so no list of hot keys is needed.
     """
     if text_bytes(dictionary) <= broadcast_bytes:
         return facts.join(F.broadcast(dictionary), key, "left")
-
-    if store_facts:
-        facts = written(facts, "lookup-facts")
-    hot = hottest(facts, key).withColumn("is_hot", F.lit(True))
-    row, zero = F.xxhash64(*spread_by), F.lit(0).cast("bigint")
-    part = (
-        F.when(F.col(key).isNull(), row)
-        .when(F.col("is_hot"), F.pmod(row, F.lit(SPREAD)))
-        .otherwise(zero)
-    )
-    every_part, first_part = [F.sequence(zero, F.lit(n)) for n in (SPREAD - 1, 0)]
-    copies = F.when(F.col("is_hot"), every_part).otherwise(first_part)
-    left = facts.join(F.broadcast(hot), key, "left").withColumn("part", part).drop("is_hot")
-    right = (
-        dictionary.join(F.broadcast(hot), key, "left")
-        .withColumn("part", F.explode(copies))
-        .drop("is_hot")
-    )
-    return left.join(right, [key, "part"], "left").drop("part")
+    return facts.join(dictionary.hint("merge"), key, "left")

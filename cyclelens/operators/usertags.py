@@ -34,8 +34,7 @@ def with_districts(
         rides.withColumn("geohash8", ride_cell()),
         dictionary,
         "geohash8",
-        spread_by=("sessionid",),
-        broadcast_bytes=broadcast_bytes,
+        broadcast_bytes,
     ).drop("geohash8")
 
 
@@ -70,7 +69,7 @@ def district_tag_counts(
         .groupBy(*keys, geohash8(lat, lon).alias("geohash8"))
         .agg(F.count(F.lit(1)).alias("rides"))
     )
-    found = lookup(visits, dictionary, "geohash8", keys, broadcast_bytes, store_facts=True)
+    found = lookup(visits, dictionary, "geohash8", broadcast_bytes)
     tagged = found.select(*keys, "rides", F.explode(business_tags(F.col("business"))).alias("tag"))
     return tagged.groupBy(*keys, "tag").agg(F.sum("rides").alias("cnt"))
 
@@ -163,7 +162,7 @@ def tag_document(tags: DataFrame, now_ms: int) -> DataFrame:
     `tags` is the long table or the lists by user."""
     if "entries" not in tags.columns:
         tags = _gathered(tags, ("userid",))
-    entries = F.array_sort("entries").cast("array<struct<tag:string,cnt:int>>")
+    entries = F.array_sort("entries")
     return tags.select(
         F.col("userid").alias("id"),
         F.lit(now_ms).cast("bigint").alias("timestamp"),

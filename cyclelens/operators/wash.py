@@ -1,7 +1,8 @@
 """Washing: raw JSON lines to flat, typed, masked rows; bad lines set aside.
 
-A line is set aside when it is not a JSON object, has no `location` object, or holds a
-value that cannot be read as its column's type. A missing value is only null.
+A line is set aside when it is not one JSON object and nothing else, has no `location`
+object, or holds a value that cannot be read as its column's type: a number must be
+finite, an epoch a date of the years 1 to 9999. A missing value is only null.
 """
 
 from __future__ import annotations
@@ -10,22 +11,36 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cyclelens.functions.coerce import to_type, unreadable
+from cyclelens.functions.coerce import to_epoch, to_type, unreadable
 from cyclelens.functions.masking import blur_ip, pseudonym
-from cyclelens.schemas import schema_of
+from cyclelens.schemas import EPOCHS, schema_of
 
 REASON = "reject_reason"
-_BROKEN = "broken_line"
 _NESTED = ("latitude", "longitude")
 
 
+def one_object(value: Column, schema: T.StructType) -> Column:
+    """An array with the JSON object that a line consists of; its one element is null if
+    the line is anything else.
+
+    Read as an array, a line with a second object or trailing text is malformed or has
+    two elements. Only what follows a bracket that closes this array early goes unseen, so
+    lines with such a bracket are also read as the field of an object."""
+    parsed = F.from_json(F.concat(F.lit("["), value, F.lit("]")), T.ArrayType(schema))
+    field = T.StructType([T.StructField(n, T.StringType()) for n in ("line", "broken")])
+    as_field = F.from_json(
+        F.concat(F.lit('{"line":'), value, F.lit("}")), field, {"columnNameOfCorruptRecord": "broken"}
+    )
+    unclear = value.rlike(r"\}\s*\]")
+    whole = F.startswith(F.trim(value), F.lit("{")) & (~unclear | as_field["broken"].isNull())
+    return F.transform(F.array(parsed), lambda p: F.when(whole & (F.size(p) == 1), F.get(p, F.lit(0))))
+
+
 def _line_schema(log: str) -> T.StructType:
     # Leaves are read as text: a typed leaf would turn the quoted number "2" into null.
     text = [T.StructField(f.name, T.StringType()) for f in schema_of(log) if f.name not in _NESTED]
     place = T.StructType([T.StructField(n, T.StringType()) for n in _NESTED])
-    return T.StructType([
-        *text, T.StructField("location", place), T.StructField(_BROKEN, T.StringType()),
-    ])
+    return T.StructType([*text, T.StructField("location", place)])
 
 
 def _text_of(line: Column, name: str) -> Column:
@@ -34,12 +49,12 @@ def _text_of(line: Column, name: str) -> Column:
 
 def _typed(line: Column, log: str) -> Column:
     """Struct of the log's columns and the line's first fault."""
-    broken = line.isNull() | line[_BROKEN].isNotNull() | (F.trim(F.col("value")) == "")
-    reason = F.when(broken, "malformed").when(line["location"].isNull(), "missing_location")
+    reason = F.when(line.isNull(), "malformed").when(line["location"].isNull(), "missing_location")
     columns = []
     for field in schema_of(log):
         text = _text_of(line, field.name)
-        value = to_type(text, field.dataType)
+        epoch = field.name in EPOCHS and isinstance(field.dataType, T.LongType)
+        value = to_epoch(text) if epoch else to_type(text, field.dataType)
         columns.append(value.alias(field.name))
         if not isinstance(field.dataType, T.StringType):
             reason = reason.when(unreadable(text, value), f"bad_value:{field.name}")
@@ -58,9 +73,8 @@ def parse_lines(raw: DataFrame, log: str) -> DataFrame:
     clash = sorted(set(raw.columns) & {*schema_of(log).names, REASON})
     if clash:
         raise ValueError(f"raw columns clash with the {log} log: {', '.join(clash)}")
-    options = {"columnNameOfCorruptRecord": _BROKEN}
-    parsed = F.from_json(F.col("value"), _line_schema(log), options)
-    typed = F.transform(F.array(parsed), lambda line: _typed(line, log))
+    parsed = one_object(F.col("value"), _line_schema(log))
+    typed = F.transform(parsed, lambda line: _typed(line, log))
     return raw.select(*raw.columns, F.inline(typed))
 
 

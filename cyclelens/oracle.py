@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from cyclelens.fixtures import sql_for
+from cyclelens.fixtures import ROUGH_KIND, sql_for
+from cyclelens.operators.reports import set_id
+from cyclelens.plans.catalog import reports_of
 
 _G3 = "date, province, city"
 
@@ -69,6 +71,29 @@ def _reports() -> dict[str, str]:
     return sql
 
 
+def _suites() -> dict[str, str]:
+    """Every grouping of a suite by itself, over the keys of all."""
+    sql = {}
+    for log in ("unlock", "order", "recharge", "repair"):
+        specs = [s for s in reports_of(log) if s.additive]
+        sets = {}
+        for spec in specs:
+            extra = [spec.where[0]] if spec.where and spec.where[0] not in spec.keys else []
+            sets.setdefault((*spec.keys, *extra), set_id(specs, spec))
+        keys = list(dict.fromkeys(k for names in sets for k in names))
+        measure = {"unlock": "distance", "repair": None}.get(log, "amount")
+        time = "btimestamp" if log == "unlock" else "timestamp"
+        total = f", sum({measure}) as sum_{measure}" if measure else ""
+        rows = f'(select * replace ({_hour(time)} as "hour") from (select *, 0 as "hour" from {log}_log))'
+        sql[f"report_suite_{log}"] = _with(log, " union all ".join(
+            "select " + ", ".join(f'"{k}"' if k in names else f'null as "{k}"' for k in keys)
+            + f", cast({number} as bigint) as set_id, count(*) as n{total} from {rows} group by "
+            + ", ".join(f'"{k}"' for k in names)
+            for names, number in sets.items()
+        ))
+    return sql
+
+
 def _live() -> dict[str, str]:
     """Live rollups as the batch form of the same grouping."""
     hours = "sum(etimestamp - btimestamp) / 3600000.0"
@@ -194,6 +219,7 @@ def _tags() -> dict[str, str]:
             f"""select userid as id, cast(1706745600000 as bigint) as timestamp,
                 string_agg(concat(tag, ':', cast(cnt as varchar)), ',' order by tag) as tags
             from ({_PER_USER}) group by userid"""),
+        "user_tags_shuffled": _geo("unlock replies", _ALL_TAGS, _PER_USER),
         "users_by_tag": _geo("unlock replies", _ALL_TAGS,
             """select userid from all_tags where tag in ('LNiphone', 'LS蓝牙', 'BSd3')
             group by userid having count(distinct tag) = 3"""),
@@ -218,24 +244,39 @@ def _geography() -> dict[str, str]:
                     partition by geohash8 order by latitude desc, longitude desc) as place
                 from (select *, {_geohash('latitude', 'longitude')} as geohash8 from points_log))
             where place = 1 and geohash8 not in (select geohash8 from dictionary)"""),
+        # Cells of eastern points first, then what is missing: here the whole dictionary.
+        "geo_dictionary_merged": _geo("replies", _DICTIONARY, "select geohash8, business from dictionary"),
     }
 
 
 def _washing() -> dict[str, str]:
-    sql = {f"wash_{log}": _with(log, f"select * from {log}_log")
-           for log in ("lock", "unlock", "order", "recharge", "repair")}
+    # Rough lines of kind 2 have a blank client, of kind 3 no device type.
+    sql = {f"wash_{log}": _with(log, f"""select * replace (
+            case when {ROUGH_KIND} = 2 then null else client end as client,
+            case when {ROUGH_KIND} = 3 then null else deviceType end as deviceType)
+        from {log}_log""") for log in ("lock", "unlock", "order", "recharge", "repair")}
     sql["mask_sensitive"] = _with("unlock", """select sessionid,
             case when userid = '' then '' else sha256(concat('fixture-salt', userid)) end as userid,
-            regexp_replace(ip, '[0-9]+$', '*') as ip,
+            case btimestamp // 1000 % 8 when 3 then 'fe80::*' when 4 then '2001:db8:7:*'
+                when 5 then '::*' when 6 then '*' when 7 then ''
+                else regexp_replace(ip, '[0-9]+$', '*') end as ip,
             sha256(concat('fixture-salt', mac)) as mac
         from unlock_log""")
     sql["wash_rejects"] = _with("unlock", """select sessionid as line_id,
-            case btimestamp // 1000 % 11 when 0 then 'malformed' when 1 then 'missing_location'
-                when 2 then 'bad_value:client' when 3 then 'bad_value:btimestamp'
-                else 'bad_value:latitude' end as reject_reason
-        from unlock_log where btimestamp // 1000 % 11 in (0, 1, 2, 3, 5)""")
+            case btimestamp // 1000 % 22 when 1 then 'missing_location' when 2 then 'bad_value:client'
+                when 3 then 'bad_value:btimestamp' when 5 then 'bad_value:latitude'
+                when 6 then 'bad_value:distance' when 7 then 'bad_value:btimestamp'
+                when 10 then 'bad_value:etimestamp' else 'malformed' end as reject_reason
+        from unlock_log where btimestamp // 1000 % 22 in (0, 1, 2, 3, 5, 6, 7, 8, 9, 10)""")
+    sql["live_rejects"] = _with("unlock", """select sessionid as line_id,
+            case btimestamp // 1000 % 22 when 3 then 'bad_value:btimestamp'
+                when 6 then 'bad_value:distance' when 7 then 'bad_value:btimestamp'
+                when 10 then 'bad_value:etimestamp' else 'malformed' end as reject_reason
+        from unlock_log where btimestamp // 1000 % 22 in (0, 3, 6, 7, 8, 9, 10)""")
     return sql
 
 
 def all_sql() -> dict[str, str]:
-    return {**_reports(), **_washing(), **_geography(), **_tags(), **_live()}
+    tags = _tags()
+    tags["tags_business_shuffled"] = tags["tags_business"]
+    return {**_reports(), **_suites(), **_washing(), **_geography(), **tags, **_live()}

@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from cyclelens.operators import geodict, usertags
 from cyclelens.operators.reports import ReportSpec, report, report_from_suite, report_suite
 from cyclelens.plans.catalog import reports_of
-from cyclelens.session import written
+from cyclelens.session import scratch, written
 from cyclelens.sinks import tables
 from cyclelens.sources.kafka import kafka_lines
 from cyclelens.sources.logs import read_lines, read_log
@@ -45,9 +45,11 @@ def report_job(
     sink: Callable[[DataFrame, ReportSpec], None],
     epoch_unit: str = "ms",
 ) -> None:
-    """All reports of a washed log, each handed to `sink` with its spec."""
-    for spec, rows in all_reports(read_log(spark, source, log), log, epoch_unit).items():
-        sink(rows, spec)
+    """All reports of a washed log, each handed to `sink` with its spec. `sink` must have
+    stored the rows when it returns: the shared table they come from is then removed."""
+    with scratch(spark):
+        for spec, rows in all_reports(read_log(spark, source, log), log, epoch_unit).items():
+            sink(rows, spec)
 
 
 def dictionary_job(spark: SparkSession, log: str, source: str, replies: DataFrame, target: str) -> None:
@@ -56,6 +58,15 @@ def dictionary_job(spark: SparkSession, log: str, source: str, replies: DataFram
     tables.write_dictionary(geodict.geo_dictionary(points, replies), target)
 
 
+def completion_job(
+    spark: SparkSession, log: str, source: str, known: DataFrame, replies: DataFrame, target: str
+) -> None:
+    """A new dictionary at `target`: the stored one `known`, completed for the points of a
+    washed log. `target` must not be where `known` is read from."""
+    points = geodict.distinct_points(read_log(spark, source, log))
+    tables.write_dictionary(geodict.completed_dictionary(points, known, replies), target)
+
+
 def detail_job(spark: SparkSession, source: str, dictionary: DataFrame, target: str, day: str) -> None:
     """Tag detail of one day's rides."""
     rides = read_log(spark, source, "unlock").where(F.col("date") == day)
@@ -67,9 +78,10 @@ def tag_search_job(
     spark: SparkSession, source: str, dictionary: DataFrame, target: str, now_ms: int
 ) -> None:
     """Tag index and search documents of all rides, under `<target>`."""
-    tags = written(usertags.user_tags(read_log(spark, source, "unlock"), dictionary), "user-tags")
-    tables.write_tag_index(tags, f"{target}/index")
-    tables.write_documents(usertags.tag_document(tags, now_ms), f"{target}/documents")
+    with scratch(spark):
+        tags = written(usertags.user_tags(read_log(spark, source, "unlock"), dictionary), "user-tags")
+        tables.write_tag_index(tags, f"{target}/index")
+        tables.write_documents(usertags.tag_document(tags, now_ms), f"{target}/documents")
 
 
 def live_job(

@@ -42,6 +42,9 @@ LOGS = tuple(_COLUMNS)
 EVENT_TIME = {"lock": "timestamp", "unlock": "btimestamp", "order": "timestamp",
               "recharge": "timestamp", "repair": "timestamp"}
 
+# Columns that hold epoch milliseconds in raw lines.
+EPOCHS = ("timestamp", "btimestamp", "etimestamp")
+
 # Tag text per code. An unknown or null code carries no tag.
 CLIENT_TAGS = {1: "LNiphone", 2: "LNandroid", 3: "LN小程序"}
 DEVICE_TAGS = {1: "LCiphone", 2: "LCandroid", 3: "LCwp"}

@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+# Matches a salt where plans show it: in front of the column it is hashed with.
+SALT_IN_PLAN = r"(?<=sha2\((?:cast\(|')?concat\().*?(?=, [\w'#]+\)(?: as binary\))?, 256)"
+
+
 def session(app: str = "cyclelens", **settings: str) -> SparkSession:
     """A session with this project's settings. The master is left to spark-submit."""
     builder = (
@@ -15,7 +22,8 @@ def session(app: str = "cyclelens", **settings: str) -> SparkSession:
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
+        # Keeps the salt of masked columns out of plans that are shown.
+        .config("spark.sql.redaction.string.regex", SALT_IN_PLAN)
     )
     for key, value in settings.items():
         builder = builder.config(key, value)
@@ -25,15 +33,40 @@ def session(app: str = "cyclelens", **settings: str) -> SparkSession:
 def work_folder(spark: SparkSession, label: str) -> str:
     """A fresh folder under `spark.checkpoint.dir`, which every executor can reach.
 
-    Only a local session may go without the setting; it then uses a temporary folder.
+    That setting is taken as it is: whether its folder is shared cannot be seen from its
+    name. Only a session whose executors are threads of the driver may go without it; it
+    then uses a temporary folder.
     """
     context = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
     if not root:
-        if not context.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", context.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         root = tempfile.mkdtemp(prefix="cyclelens-")
-    return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    folder = f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    for folders in _open_scopes[-1:]:
+        folders.append(folder)
+    return folder
+
+
+_open_scopes: list[list[str]] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Removes the work folders made inside the block when it ends.
+
+    For jobs whose result is stored by then; a table handed on must not be read from a
+    folder that goes."""
+    folders: list[str] = []
+    _open_scopes.append(folders)
+    try:
+        yield
+    finally:
+        _open_scopes.remove(folders)
+        for folder in folders:
+            path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def written(df: DataFrame, label: str, partition_by: str | None = None) -> DataFrame:

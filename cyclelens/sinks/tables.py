@@ -18,7 +18,8 @@ def write_log(
     rebalanced by date first: a small date gets one file, a large one is split."""
     if by_date:
         df = df.hint("rebalance", "date")
-    writer = df.write.mode(mode).option("compression", codec)
+    # An overwrite replaces the whole table, whatever the session's setting is.
+    writer = df.write.mode(mode).option("compression", codec).option("partitionOverwriteMode", "static")
     if by_date:
         writer = writer.partitionBy("date")
     writer.parquet(path)
@@ -34,20 +35,22 @@ def write_washed(
 ) -> None:
     """Wash raw lines into `<path>/status=good` and `<path>/status=rejected` in one pass.
 
-    Good rows have the log's columns and a null `value`; rejects keep the raw line there
-    and their reason. With a `salt` the columns are masked. Raw lines are not: guard the
+    Good rows have the log's columns and a null `value`; rejects keep the raw line there,
+    their reason, and what else `raw` tells about them (an offset, a file name). With a `salt` the columns are masked. Raw lines are not: guard the
     rejects like the raw logs."""
     bad = F.col(REASON).isNotNull()
-    lines = parse_lines(raw.select("value"), log)
+    lines = parse_lines(raw, log)
     if salt is not None:
         lines = mask(lines, salt)
     rows = lines.select(
         *schema_of(log).names,
         F.when(bad, F.col("value")).alias("value"),
+        *[c for c in raw.columns if c != "value"],
         REASON,
         F.when(bad, "rejected").otherwise("good").alias("status"),
     )
-    rows.write.mode(mode).option("compression", codec).partitionBy("status").parquet(path)
+    writer = rows.write.mode(mode).option("compression", codec).option("partitionOverwriteMode", "static")
+    writer.partitionBy("status").parquet(path)
 
 
 def _replace_days(df: DataFrame, path: str, day: str) -> None:

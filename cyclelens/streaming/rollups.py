@@ -10,6 +10,10 @@ read by summing partials over its own, coarser keys.
 * There is no watermark: a late record adds to the keys of its own date.
 * A key that was not written for two days expires; if it is written again later, its
   totals start anew.
+* Lines are held to the rules of washing, for the fields that the rollups read: what is
+  not one JSON object, or holds an unreadable value, or has no event time, is written to
+  `<path>/rejected/batch_id=N` with its reason.
+* The job packs old partials by itself, so that the number of folders stays bounded.
 """
 
 from __future__ import annotations
@@ -24,13 +28,16 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from cyclelens.functions.clock import utc_date, utc_hour
-from cyclelens.functions.coerce import to_type
-from cyclelens.schemas import EVENT_TIME, schema_of
+from cyclelens.functions.coerce import to_epoch, to_type, unreadable
+from cyclelens.operators.wash import REASON, one_object
+from cyclelens.schemas import EPOCHS, EVENT_TIME, schema_of
 
 # Batch interval and idle expiry.
 BATCH_INTERVAL = "5 seconds"
 IDLE_SECONDS = 172_800
 
+PACK_EVERY = 500  # batches
+
 
 @dataclass(frozen=True)
 class Rollup:
@@ -82,32 +89,49 @@ def _partial_schema(log: str) -> T.StructType:
     ])
 
 
-def events(lines: DataFrame, log: str) -> DataFrame:
-    """The fields that the rollups need, from raw lines in `value`.
-
-    Lines without a readable event time belong to no date and are dropped."""
+def parsed(lines: DataFrame, log: str) -> DataFrame:
+    """Every raw line in `value` as the fields that the rollups need, plus `date`, `hour`
+    and `reject_reason`, null if the line is good. `value` is kept."""
     time = EVENT_TIME[log]
     types = {f.name: f.dataType for f in schema_of(log)}
     wanted = ["province", "city", *_TEXTS[log], time]
     wanted += ["etimestamp", "distance"] if log == "unlock" else []
     wanted += ["amount"] if "amount" in _MEASURES[log] else []
-
     text = T.StructType([T.StructField(name, T.StringType()) for name in wanted])
-    # The generator keeps the filter below from repeating the parse.
-    parsed = lines.select(F.explode(F.array(F.from_json("value", text))).alias("j"))
-    # Epochs stay numbers here, also where the stored log has a timestamp.
-    typed = parsed.select(*[
-        to_type(F.col("j")[n], T.LongType() if n == time else types[n]).alias(n) for n in wanted
-    ]).where(F.col(time).isNotNull())
+
+    def typed(line: Column) -> Column:
+        reason = F.when(line.isNull(), "malformed")
+        columns = []
+        for name in wanted:
+            # Epochs stay numbers here, also where the stored log has a timestamp.
+            value = to_epoch(line[name]) if name in EPOCHS else to_type(line[name], types[name])
+            columns.append(value.alias(name))
+            if name in EPOCHS or not isinstance(types[name], T.StringType):
+                reason = reason.when(unreadable(line[name], value), f"bad_value:{name}")
+            if name == time:
+                reason = reason.when(value.isNull(), f"missing_value:{time}")
+        return F.struct(*columns, reason.alias(REASON))
+
+    # The generator keeps filters on the result from repeating the parse.
+    rows = lines.select("value", F.inline(F.transform(one_object(F.col("value"), text), typed)))
     made = {"date": utc_date(F.col(time)), "hour": utc_hour(F.col(time))}
     if log == "unlock":
-        made["ride_ms"] = F.col("etimestamp") - F.col(time)
-    return typed.withColumns(made)
+        made["ride_ms"] = F.try_subtract("etimestamp", time)
+    return rows.withColumns(made)
+
+
+def events(lines: DataFrame, log: str) -> DataFrame:
+    """The fields that the rollups need, of the good lines among raw lines in `value`."""
+    return parsed(lines, log).where(F.col(REASON).isNull()).drop("value", REASON)
 
 
 def partial(lines: DataFrame, log: str) -> DataFrame:
-    """Totals of one micro-batch at the finest grain."""
-    return events(lines, log).groupBy(*grain(log)).agg(
+    """Totals of one micro-batch of raw lines at the finest grain."""
+    return _totals(events(lines, log), log)
+
+
+def _totals(good: DataFrame, log: str) -> DataFrame:
+    return good.groupBy(*grain(log)).agg(
         F.count(F.lit(1)).alias("total"), *[F.sum(m).alias(m) for m in _MEASURES[log]]
     )
 
@@ -128,19 +152,34 @@ def start_rollups(
     checkpoint: str,
     available_now: bool = False,
     clock: Callable[[], datetime] = _utc_now,
+    pack_every: int = PACK_EVERY,
 ) -> StreamingQuery:
     """Start the live job of one log: `lines` is a stream with raw lines in `value`.
 
-    Partials go to `<path>/live/batch_id=N`; progress is kept in `checkpoint`. Both must
-    be folders that all executors share. `available_now` stops after the waiting data.
+    Partials go to `<path>/live/batch_id=N`, bad lines to `<path>/rejected/batch_id=N`;
+    progress is kept in `checkpoint`. All must be folders that all executors share.
+    `available_now` stops after the waiting data. Every `pack_every` batches the older
+    ones, which can no longer be replayed, are packed. What a pack replaced is removed one
+    pack later, so a reader has that long to finish.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        now = _micros(clock())
-        stamped = partial(batch, log).select(
+        spark, now = batch.sparkSession, _micros(clock())
+        if batch_id and batch_id % pack_every == 0:
+            replaced = packed_upto(spark, path)
+            if replaced is None or replaced < batch_id - 1:
+                pack(spark, log, path, batch_id - 1, clock())
+                if replaced is not None:
+                    drop_packed(spark, path, replaced)
+        lines = parsed(batch, log).persist()  # read once for both writes
+        good = lines.where(F.col(REASON).isNull())
+        stamped = _totals(good, log).select(
             "*", now.alias("first_written"), now.alias("last_written")
         )
         stamped.write.mode("overwrite").parquet(f"{path}/live/batch_id={batch_id}")
+        bad = lines.where(F.col(REASON).isNotNull()).select("value", REASON)
+        bad.write.mode("overwrite").parquet(f"{path}/rejected/batch_id={batch_id}")
+        lines.unpersist()
 
     trigger = {"availableNow": True} if available_now else {"processingTime": BATCH_INTERVAL}
     return (
@@ -153,16 +192,35 @@ def start_rollups(
 
 
 def read_partials(spark: SparkSession, log: str, path: str) -> DataFrame:
-    """All partials of a log: the newest packed table and the batches after it."""
+    """All partials of a log: the newest packed table and the complete batches after it.
+
+    A batch that is being written, or written again, is left out until it is complete."""
     schema = _partial_schema(log)
     columns = [*schema.names, "batch_id"]
     with_batch = T.StructType([*schema.fields, T.StructField("batch_id", T.LongType())])
     upto = packed_upto(spark, path)
-    live = spark.read.schema(with_batch).parquet(f"{path}/live").select(*columns)
+    numbers = _folders(spark, f"{path}/live", "batch_id", finished=True)
+    folders = [f"{path}/live/batch_id={n}" for n in numbers if upto is None or n > upto]
+    live = _read_batches(spark, with_batch, f"{path}/live", folders).select(*columns)
     if upto is None:
         return live
     packed = spark.read.schema(with_batch).parquet(f"{path}/packed/upto={upto}").select(*columns)
-    return live.where(F.col("batch_id") > upto).unionByName(packed)
+    return live.unionByName(packed)
+
+
+def _read_batches(spark: SparkSession, schema: T.StructType, base: str, folders: list[str]) -> DataFrame:
+    if not folders:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("basePath", base).parquet(*folders)
+
+
+def read_rejects(spark: SparkSession, path: str) -> DataFrame:
+    """The lines that the live job set aside: `value`, `reject_reason`, `batch_id`."""
+    fields = [("value", T.StringType()), (REASON, T.StringType()), ("batch_id", T.LongType())]
+    schema = T.StructType([T.StructField(n, t) for n, t in fields])
+    numbers = _folders(spark, f"{path}/rejected", "batch_id", finished=True)
+    folders = [f"{path}/rejected/batch_id={n}" for n in numbers]
+    return _read_batches(spark, schema, f"{path}/rejected", folders).select(*schema.names)
 
 
 def read_rollup(
@@ -220,16 +278,10 @@ def _file_system(spark: SparkSession, path: str):
 
 def _folders(spark: SparkSession, path: str, prefix: str, finished: bool = False) -> list[int]:
     """Numbers N of the folders `<path>/<prefix>=N`; only completed writes if `finished`."""
-    files, base = _file_system(spark, path)
-    if not files.exists(base):
-        return []
-    found = []
-    for status in files.listStatus(base):
-        name = status.getPath().getName()
-        _, done = _file_system(spark, f"{path}/{name}/_SUCCESS")
-        if name.startswith(f"{prefix}=") and (not finished or files.exists(done)):
-            found.append(int(name.split("=", 1)[1]))
-    return sorted(found)
+    files, found = _file_system(spark, f"{path}/{prefix}=*" + "/_SUCCESS" * finished)
+    statuses = files.globStatus(found) or []
+    paths = [s.getPath().getParent() if finished else s.getPath() for s in statuses]
+    return sorted(int(p.getName().split("=", 1)[1]) for p in paths)
 
 
 def packed_upto(spark: SparkSession, path: str) -> int | None:
@@ -259,15 +311,17 @@ def pack(
     ).write.mode("overwrite").parquet(f"{path}/packed/upto={upto}")
 
 
-def drop_packed(spark: SparkSession, path: str) -> None:
-    """Remove batches and packed tables that the newest packed table replaced.
+def drop_packed(spark: SparkSession, path: str, upto: int | None = None) -> None:
+    """Remove the batches up to `upto` and the packed tables up to it, all of which the
+    newest packed table replaced; without `upto`, everything that it replaced.
 
     Queries that still read the old files must have ended."""
-    upto = packed_upto(spark, path)
-    if upto is None:
+    newest = packed_upto(spark, path)
+    if newest is None:
         return
+    upto = newest if upto is None else min(upto, newest)
     old = [f"{path}/live/batch_id={n}" for n in _folders(spark, f"{path}/live", "batch_id") if n <= upto]
-    old += [f"{path}/packed/upto={n}" for n in _folders(spark, f"{path}/packed", "upto") if n < upto]
+    old += [f"{path}/packed/upto={n}" for n in _folders(spark, f"{path}/packed", "upto") if n <= upto and n < newest]
     for folder in old:
         files, target = _file_system(spark, folder)
         files.delete(target, True)

@@ -156,3 +156,45 @@ def test_masking(spark):
     assert [r[0] for r in got[2:]] == ["", None]
     assert [r[1] for r in got] == ["10.0.3.*", "2001:db8:1:*", "", None]
     assert df.select(masking.pseudonym(F.col("u"), "other")).first()[0] != got[0][0]
+
+
+@pytest.mark.parametrize("ip, blurred", [
+    ("10.0.3.7", "10.0.3.*"), (" 10.0.3.7 ", "10.0.3.*"), ("10.0.0.7:80", "10.0.0.*"),
+    ("fe80::1", "fe80::*"), ("::1", "::*"), ("::ffff:10.0.0.7", "::*"), ("fe80::1%eth0", "fe80::*"),
+    ("[2001:db8:1:2::9]:443", "2001:db8:1:*"), ("2001:db8:1:2:3:4:5:6", "2001:db8:1:*"),
+    ("2001:db8::9", "2001:db8::*"), ("host-7", "*"), ("10.0.0", "*"), ("1.2.3.4.5", "*"),
+    ("fe80", "*"), ("", ""), ("  ", ""), (None, None),
+])
+def test_no_address_stays_whole(spark, ip, blurred):
+    df = spark.createDataFrame([(ip,)], "ip string")
+    assert df.select(masking.blur_ip(F.col("ip"))).first()[0] == blurred
+
+
+def test_salt_is_not_shown_in_plans(spark, capsys):
+    from cyclelens.session import SALT_IN_PLAN
+    spark.conf.set("spark.sql.redaction.string.regex", SALT_IN_PLAN)
+    try:
+        df = spark.range(3).select(F.col("id").cast("string").alias("u"))
+        masked = df.select(masking.pseudonym(F.col("u"), "top-secret-salt"))
+        for mode in ("simple", "extended", "formatted"):
+            masked.explain(mode)
+        shown = capsys.readouterr().out
+        assert "sha2" in shown and "top-secret-salt" not in shown
+    finally:
+        spark.conf.unset("spark.sql.redaction.string.regex")
+
+
+@pytest.mark.parametrize("epoch", [9223372036854775807, -9223372036854775808, 253402300800000])
+def test_extreme_epochs_do_not_fail(spark, epoch):
+    df = spark.createDataFrame([(epoch,)], "t long")
+    df.select(clock.utc_date(F.col("t")), clock.utc_hour(F.col("t"))).collect()
+
+
+@pytest.mark.parametrize("text", ["NaN", "Infinity", "-Infinity", "1e999", "nan"])
+def test_numbers_are_finite(spark, text):
+    from pyspark.sql import types as T
+    from cyclelens.functions.coerce import to_type, unreadable
+    df = spark.createDataFrame([(text,)], "v string")
+    for kind in (T.DoubleType(), T.LongType(), T.IntegerType()):
+        value = to_type(F.col("v"), kind)
+        assert tuple(df.select(value, unreadable(F.col("v"), value)).first()) == (None, True)

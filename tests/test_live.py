@@ -8,8 +8,8 @@ from cyclelens import fixtures
 from cyclelens.sources.kafka import TOPICS, kafka_lines, kafka_options
 from cyclelens.sources.logs import stream_lines
 from cyclelens.streaming.rollups import (
-    IDLE_SECONDS, ROLLUPS, drop_packed, events, pack, packed_upto, read_partials, read_rollup,
-    start_rollups,
+    IDLE_SECONDS, ROLLUPS, drop_packed, events, pack, packed_upto, read_partials, read_rejects,
+    read_rollup, start_rollups,
 )
 from tests.conftest import rows
 
@@ -175,3 +175,48 @@ def test_kafka_settings(spark):
     assert options["maxOffsetsPerTrigger"] == "10"
     with pytest.raises(Exception, match="(?i)kafka"):  # the connector is not installed here
         kafka_lines(spark, "host:1", "order")
+
+
+def test_no_line_stops_the_stream_or_spoils_a_sum(spark, tmp_path):
+    folder = str(tmp_path)
+    bad = {
+        ride(begin=9223372036854775807, minutes=0): "bad_value:btimestamp",
+        ride(distance='"NaN"'): "bad_value:distance",
+        ride(distance='"Infinity"'): "bad_value:distance",
+        ride() + " junk": "malformed", ride() + ride(): "malformed", "": "malformed",
+        '{"btimestamp":"soon"}': "bad_value:btimestamp", '{"city":"c"}': "missing_value:btimestamp",
+    }
+    send(spark, folder, ride(), *bad)
+    run(spark, "unlock", folder)
+    assert rows(read_rollup(spark, "live_ride_total", f"{folder}/out", NOW)) == [("2024-01-01", 1, 100.0, 0.5)]
+    assert rows(read_rejects(spark, f"{folder}/out")) == sorted(
+        ((line, why, 0) for line, why in bad.items()), key=repr)
+    code = '{"province":"p","city":"c","timestamp":1704067200000,"repairtype":"broken"}'
+    send(spark, f"{folder}/repair", code)
+    run(spark, "repair", f"{folder}/repair")
+    assert rows(read_rejects(spark, f"{folder}/repair/out")) == [(code, "bad_value:repairtype", 0)]
+    assert rows(read_rollup(spark, "live_repair_type", f"{folder}/repair/out", NOW)) == []
+
+
+def test_incomplete_batch_is_not_read(spark, tmp_path):
+    folder = str(tmp_path)
+    for _ in range(2):
+        send(spark, folder, ride())
+        run(spark, "unlock", folder)
+    os.remove(f"{folder}/out/live/batch_id=1/_SUCCESS")
+    assert rows(read_rollup(spark, "live_ride_total", f"{folder}/out", NOW)) == [("2024-01-01", 1, 100.0, 0.5)]
+    os.remove(f"{folder}/out/live/batch_id=0/_SUCCESS")
+    assert rows(read_rollup(spark, "live_ride_total", f"{folder}/out", NOW)) == []
+
+
+def test_live_job_packs_by_itself(spark, tmp_path):
+    folder = str(tmp_path)
+    for _ in range(7):
+        send(spark, folder, ride())
+    job = start_rollups(
+        stream_lines(spark, f"{folder}/in", 1), "unlock", f"{folder}/out", f"{folder}/checkpoint",
+        available_now=True, clock=lambda: NOW, pack_every=2)
+    job.awaitTermination()
+    assert packed_upto(spark, f"{folder}/out") == 5
+    assert batches(folder) == [4, 5, 6]  # what the last pack replaced goes with the next one
+    assert rows(read_rollup(spark, "live_ride_total", f"{folder}/out", NOW)) == [("2024-01-01", 7, 700.0, 3.5)]

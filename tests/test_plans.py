@@ -5,7 +5,8 @@ import pytest
 import __spark_entry__ as entry_module
 from tests.conftest import plan_of
 
-BATCH = sorted(n for n in entry_module.queries() if not n.startswith("live_"))
+OTHERS = entry_module._LLM.queries() if entry_module._LLM else {}
+BATCH = sorted(n for n in entry_module.queries() if not n.startswith("live_") and n not in OTHERS)
 PYTHON = ("PythonUDF", "ArrowEvalPython", "BatchEvalPython", "MapInPandas", "FlatMapGroupsInPandas")
 
 

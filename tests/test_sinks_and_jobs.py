@@ -55,8 +55,8 @@ def test_wash_job(spark, rides, tmp_path, compression):
     rejected = spark.read.parquet(str(tmp_path / "washed/status=rejected"))
     assert good.count() + rejected.count() == rides.count()
     assert rejected.where("reject_reason is null or value is null").isEmpty()
-    kind = F.expr("btimestamp div 1000 % 11")
-    same(good, mask(rides.where(~kind.isin(0, 1, 2, 3, 5)), "s"))
+    kind = F.expr("btimestamp div 1000 % 22")
+    same(good, mask(rides.where(~kind.isin(0, 1, 2, 3, 5, 6, 7, 8, 9, 10)), "s"))
     assert read_lines(spark, str(tmp_path / "raw")).columns == ["value"]
 
 
@@ -148,6 +148,52 @@ def test_work_folder_needs_a_shared_root_on_a_cluster(spark, monkeypatch):
     class Session:
         conf, sparkContext = Conf(), Context()
 
-    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        settings.work_folder(Session(), "x")
+    for master in ("spark://host:7077", "yarn", "local-cluster[2,1,1024]"):
+        Context.master = master
+        with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+            settings.work_folder(Session(), "x")
     assert settings.work_folder(spark, "x") != settings.work_folder(spark, "x")
+
+
+def test_scratch_removes_what_was_written(spark):
+    with settings.scratch(spark):
+        folder = settings.work_folder(spark, "x")
+        spark.range(3).write.parquet(folder)
+        assert os.path.exists(folder)
+    assert not os.path.exists(folder)
+    kept = settings.written(spark.range(3), "y")
+    assert kept.count() == 3
+
+
+@pytest.mark.parametrize("mode", ["dynamic", "static"])
+def test_overwrite_leaves_nothing_behind(spark, rides, tmp_path, mode):
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", mode)
+    try:
+        path, log = str(tmp_path / "washed"), str(tmp_path / "log")
+        lines = fixtures.damaged_lines(rides).select("value")
+        tables.write_washed(lines, "unlock", path)
+        tables.write_washed(fixtures.raw_lines(rides), "unlock", path, mode="overwrite")
+        assert spark.read.parquet(path).where("status = 'rejected'").isEmpty()
+        tables.write_log(rides, log, by_date=True)
+        one_day = rides.where("date = '2024-01-03'")
+        tables.write_log(one_day, log, mode="overwrite", by_date=True)
+        same(read_log(spark, log, "unlock"), one_day)
+    finally:
+        spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
+
+
+def test_rejects_keep_their_origin(spark, tmp_path):
+    raw = spark.createDataFrame([("{bad", 7, "f")], "value string, offset long, file string")
+    tables.write_washed(raw, "unlock", str(tmp_path / "w"))
+    got = spark.read.parquet(str(tmp_path / "w")).select("value", "offset", "file", "reject_reason").first()
+    assert tuple(got) == ("{bad", 7, "f", "malformed")
+
+
+def test_completion_job(spark, rides, sf_dir, tmp_path):
+    log, target = str(tmp_path / "log"), str(tmp_path / "dictionary")
+    tables.write_log(rides, log)
+    replies = fixtures.load(spark, sf_dir, "replies")
+    whole = geodict.geo_dictionary(geodict.distinct_points(rides), replies)
+    known = whole.where("geohash8 < 'w'").withColumn("business", F.concat(F.lit("old-"), "business"))
+    jobs.completion_job(spark, "unlock", log, known, replies, target)
+    same(spark.read.parquet(target), known.unionByName(whole.where("geohash8 >= 'w'")))
