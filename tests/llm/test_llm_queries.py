@@ -157,6 +157,5 @@ def test_pipeline(spark, sf_dir, documents):
         assert not brute_base(row.text)
         if row.text != before[i].text:
             assert "[SECRET]" in row.text
-    assert any("[SECRET]" in row.text for row in clean.values())
     for i, row in at["SentencePiece encoding"].items():
         assert row.text == clean[i].text and row.n_pieces == len(row.ids) and row.round_trip and row.parity
