@@ -8,8 +8,8 @@ Where no piece holds the space marker behind another character, no merge and no
 crosses a place where a word begins. Then a text is encoded as its words, which are sent
 to the library in batches that it spreads over threads, and each distinct word is encoded
 once for each worker while a bounded memo holds it. With other models whole texts are
-encoded. Parity is verified against the `sentencepiece` library on every word (or text)
-that is encoded, and decoding is verified against the text on every row.
+encoded. Parity with the `sentencepiece` library and the way back by decoding are verified
+on every word (or text) that is encoded, and hold for a text if they hold for its words.
 
 One narrow stage, no shuffle. The model is read once by the driver (its size is checked)
 and travels with the tasks. A null text has null ids and a null decoded text; an empty
@@ -19,10 +19,13 @@ named columns are read, so further columns of any name do no harm.
 
 from __future__ import annotations
 
+import os
 import re
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame
@@ -33,8 +36,8 @@ from cyclelens.llm.batches import id_and_text, output_schema, text_groups
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MAX_MODEL_BYTES = 64 << 20
-MEMO_WORDS = 100_000  # words that a worker remembers
-MEMO_CHARS = 64  # longer words are not remembered
+THREADS = 2  # of each library, in each task
+MEMO_WORDS = 200_000  # a worker forgets its words when it holds more
 
 # Fixed values of the model format: the space marker, model kinds and piece kinds.
 MARKER = "▁"
@@ -117,7 +120,9 @@ class Codec:
         self.plain = not spec.precompiled_charsmap and not spec.remove_extra_whitespaces
         self.prefix = MARKER if spec.add_dummy_prefix else ""
         self.normaliser = _normaliser(model)
-        self.memo: dict[str, tuple[list[int], bool]] = {}
+        self.memo: dict[str, bytes] = {}  # unit -> its ids, four bytes each
+        self.no_parity: set[str] = set()
+        self.no_return: set[str] = set()
 
     def normalise(self, text: str) -> str:
         if not text:
@@ -130,37 +135,53 @@ class Codec:
         """The pieces of normalised text that are encoded on their own."""
         return _WORD.findall(text) if self.by_word else [text] if text else []
 
-    def _other_ids(self, units: list[str]) -> list[list[int]]:
+    def _plain(self, unit: str) -> str:
+        """The unit as it is given to, or comes from, a library by itself."""
+        return unit.removeprefix(self.prefix).replace(MARKER, " ")
+
+    def _other_ids(self, units: list[str], plain: list[str]) -> list[list[int]]:
         """Ids by the other library, which adds the dummy prefix by itself."""
-        wants = [u.removeprefix(self.prefix).replace(MARKER, " ") for u in units]
-        ids = self.other.encode(wants, num_threads=-1)
-        for i, unit in enumerate(units):
-            # It cannot be asked for a unit that starts without the marker: encode the
-            # unit behind a line break instead, and take that away again.
-            if self.prefix and not unit.startswith(self.prefix):
-                lead = self.other.encode("\n")
-                ids[i] = self.other.encode("\n" + wants[i])[len(lead):]
+        ids = self.other.encode(plain, num_threads=THREADS)
+        if self.prefix:
+            for i, unit in enumerate(units):
+                # It cannot be asked for a unit without the marker, or for the marker alone:
+                # encode the unit behind a line break instead, and take that away again.
+                if not unit.startswith(self.prefix) or unit == self.prefix:
+                    behind = self.other.encode("\n" + unit.replace(MARKER, " "))
+                    ids[i] = behind[len(self.other.encode("\n")) :]
         return ids
 
-    def encode(self, texts: list[str]) -> tuple[list[list[int]], list[bool]]:
-        """Ids of each text, and whether both libraries agree on all of it."""
-        split = [self._units(self.normalise(text)) for text in texts]
-        now = {u for units in split for u in units}
-        new = sorted(now - self.memo.keys())
-        mine = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
-        known = {u: (e.ids, e.ids == ids) for u, e, ids in zip(new, mine, self._other_ids(new))}
-        known.update((u, self.memo[u]) for u in now - known.keys())
+    def _learn(self, units: list[str]) -> list[bytes]:
+        """Encode units, and note those on which the libraries differ or that do not come
+        back from decoding."""
+        mine = [e.ids for e in self.tokenizer.encode_batch_fast(units, add_special_tokens=False)]
+        plain = [self._plain(u) for u in units]
+        other, back = self._other_ids(units, plain), self.decode(mine)
+        if mine != other:
+            self.no_parity.update(u for u, x, y in zip(units, mine, other) if x != y)
+        if back != plain:
+            self.no_return.update(u for u, x, y in zip(units, back, plain) if x != y)
+        return [array("i", ids).tobytes() for ids in mine]
+
+    def encode(self, texts: list[str]) -> tuple[list[bytes], list[bool], list[str]]:
+        """For each text its ids (four bytes each), whether both libraries agree on all of
+        it, and what its ids decode to."""
+        normal = [self.normalise(text) for text in texts]
+        split = [self._units(text) for text in normal]
+        new = list(set().union(*split).difference(self.memo))
+        self.memo.update(zip(new, self._learn(new)))
+        ids = [b"".join(map(self.memo.__getitem__, units)) for units in split]
+        parity = [not self.no_parity or self.no_parity.isdisjoint(units) for units in split]
+        decoded = [
+            self._plain(text) if not self.no_return or self.no_return.isdisjoint(units)
+            else self.decode([np.frombuffer(x, np.int32).tolist()])[0]
+            for text, units, x in zip(normal, split, ids)
+        ]
         if len(self.memo) > MEMO_WORDS:
             self.memo.clear()
-        self.memo.update((u, known[u]) for u in new if len(u) <= MEMO_CHARS)
-        all_ids, parity = [], []
-        for units in split:
-            ids: list[int] = []
-            for unit in units:
-                ids += known[unit][0]
-            all_ids.append(ids)
-            parity.append(all(known[u][1] for u in units))
-        return all_ids, parity
+            self.no_parity.clear()
+            self.no_return.clear()
+        return ids, parity, decoded
 
     def decode(self, ids: list[list[int]]) -> list[str]:
         return self.tokenizer.decode_batch(ids, skip_special_tokens=False)
@@ -168,18 +189,22 @@ class Codec:
 
 def _encoder(data: bytes):
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        os.environ["RAYON_NUM_THREADS"] = str(THREADS)  # read when the library first runs
         codec = Codec(data)
         for rows, texts in text_groups(batches):
             plain = [(text or b"").decode() for text in texts]
-            ids, parity = codec.encode(plain)
-            decoded = codec.decode(ids)
+            ids, parity, decoded = codec.encode(plain)
             faithful = [
-                back == (text if codec.plain else codec.normalise(text).replace(MARKER, " ").removeprefix(" " * bool(codec.prefix)))
+                back == (text if codec.plain else codec._plain(codec.normalise(text)))
                 for back, text in zip(decoded, plain)
             ]
+            ends = np.cumsum([0, *(len(x) // 4 for x in ids)], dtype=np.int32)
+            lists = pa.ListArray.from_arrays(
+                pa.array(ends), pa.array(np.frombuffer(b"".join(ids), np.int32)),
+                mask=pa.array([t is None for t in texts]),
+            )
             yield pa.RecordBatch.from_pydict({
-                "row_id": rows.column("row_id"),
-                "ids": pa.array([None if t is None else x for x, t in zip(ids, texts)], pa.list_(pa.int32())),
+                "row_id": rows.column("row_id"), "ids": lists,
                 "decoded": pa.array([None if t is None else x for x, t in zip(decoded, texts)], pa.string()),
                 "round_trip": pa.array(faithful, pa.bool_()), "parity": pa.array(parity, pa.bool_()),
             })
