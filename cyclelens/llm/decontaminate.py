@@ -171,21 +171,29 @@ def _scanner(windows: WindowSet, cut: bool):
     return scan
 
 
-def _blocks(benchmark: DataFrame, item_col: str, text_col: str, ngram: int, block_bytes: int) -> Iterator[WindowSet]:
-    """The test items as window sets of bounded size."""
-    items = benchmark.select(
-        F.col(item_col).cast("string").alias("item"), F.col(text_col).cast("string").alias("text")
-    ).where("item is not null and text is not null")
-    size = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-    n = max(1, -(-size // block_bytes))
-    block_of = F.pmod(F.xxhash64("item", "text"), F.lit(n))
-    for k in range(n):
-        windows, hasher = WindowSet(ngram), _Hasher()
-        part = items if n == 1 else items.where(block_of == k)
-        for item, text in part.toLocalIterator():
-            windows.add(item, text.encode(), hasher)
-        windows.seal(hasher)
-        yield windows
+def _without_spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Cut word spans that are already known out of the texts."""
+    hasher = _Hasher()
+    for rows, texts in text_groups(batches):
+        clean = []
+        for text, spans in zip(texts, rows.column("spans").to_pylist()):
+            if text and spans:
+                starts, ends, _ = hasher.words(text.translate(_LOWER))
+                edges = [0, *(int(x) for s in spans for x in (starts[s["start"]], ends[s["end"] - 1])), len(text)]
+                text = b"".join(text[i:j] for i, j in zip(edges[0::2], edges[1::2]))
+            clean.append(text)
+        kept = {c: rows.column(c) for c in ("row_id", "n_words", "spans", "items")}
+        yield pa.RecordBatch.from_pydict(kept | {"clean_text": pa.array(clean, pa.binary()).cast(pa.string())})
+
+
+def _window_set(items: DataFrame, ngram: int, block: int, blocks: int) -> WindowSet:
+    """The windows of the items of one block, which the driver gathers row by row."""
+    windows, hasher = WindowSet(ngram), _Hasher()
+    part = items if blocks == 1 else items.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == block)
+    for item, text in part.toLocalIterator():
+        windows.add(item, text.encode(), hasher)
+    windows.seal(hasher)
+    return windows
 
 
 def contamination(
@@ -196,31 +204,33 @@ def contamination(
     """One row per document: `row_id`, `n_words`, `spans` (maximal runs of hit words, as
     word positions, end exclusive), `items` (ids found, as sorted strings) and, with
     `cut`, `clean_text`, the text without its hit spans."""
-    schema = output_schema(documents, id_col, _HITS + ", clean_text string" * cut)
-    passes = []
+    clean = ", clean_text string" * cut
     source = id_and_text(documents, id_col, text_col)
-    for windows in _blocks(benchmark, item_col, item_text_col, ngram, block_bytes):
-        passes.append((source, windows))
-    if len(passes) == 1:
-        return source.mapInArrow(_scanner(passes[0][1], cut), schema)
-    if cut:
-        raise ValueError("cut the spans of a test set of one block, or by the spans of several")
+    items = benchmark.select(
+        F.col(item_col).cast("string").alias("item"), F.col(item_text_col).cast("string").alias("text")
+    ).where("item is not null and text is not null")
+    size = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    blocks = max(1, -(-size // block_bytes))
+    if blocks == 1:
+        windows = _window_set(items, ngram, 0, 1)
+        return source.mapInArrow(_scanner(windows, cut), output_schema(documents, id_col, _HITS + clean))
     # Repeated rows would meet under one id, so each row gets a name of its own.
     named = written(source.withColumn("row_id", F.struct(F.uuid().alias("row"), "row_id")), "decontaminate-rows")
     by_row = output_schema(named, "row_id", _HITS)
-    hits = [
-        written(named.mapInArrow(_scanner(windows, False), by_row), "decontaminate-pass")
-        for _, windows in passes
-    ]
-    merged = hits[0]
-    for more in hits[1:]:
-        merged = merged.unionByName(more)
-    grouped = merged.groupBy("row_id").agg(
+    merged = None
+    for block in range(blocks):
+        scanner = _scanner(_window_set(items, ngram, block, blocks), False)
+        hits = written(named.mapInArrow(scanner, by_row), "decontaminate-pass")
+        merged = hits if merged is None else merged.unionByName(hits)
+    found = merged.groupBy("row_id").agg(
         F.max("n_words").alias("n_words"),
         F.flatten(F.collect_list("spans")).alias("spans"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
-    )
-    return grouped.select("row_id.row_id", "n_words", _merge_spans(F.col("spans")).alias("spans"), "items")
+    ).withColumn("spans", _merge_spans(F.col("spans")))
+    if cut:
+        met = named.join(found, "row_id").select("row_id", "text", "n_words", "spans", "items")
+        found = met.mapInArrow(_without_spans, output_schema(named, "row_id", _HITS + clean))
+    return found.select("row_id.row_id", *[c for c in found.columns if c != "row_id"])
 
 
 def _merge_spans(spans):

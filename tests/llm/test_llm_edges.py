@@ -220,6 +220,8 @@ def test_contamination_in_blocks_and_cut_spans(spark):
     assert by_id[2, 4]["items"] == ["1"] and by_id[3, 2]["items"] == [] and by_id[4, 0].spans == []
     cut = decontaminate.contamination(docs, bench, cut=True).where("row_id = 2").first()
     assert cut.clean_text == "a  b"
+    both = [decontaminate.contamination(docs, bench, cut=True, block_bytes=n).select(*key, "clean_text") for n in (40, 10**6)]
+    assert sorted(map(repr, both[0].collect())) == sorted(map(repr, both[1].collect()))
 
 
 def test_quality_prior():
