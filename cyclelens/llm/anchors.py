@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cyclelens.llm.batches import text_groups
+from cyclelens.llm.batches import small_batches, text_groups
 from cyclelens.session import written
 
 SAMPLE_DOCUMENTS = 20_000
@@ -424,6 +424,7 @@ def spans_removed(rows: DataFrame, scheme: Scheme, method: Callable, label: str)
 
 
 def hashed_rows(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    small_batches(df)
     text = F.col(text_col).cast("string")
     return df.select(F.col(id_col).cast("long").alias("row_id"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
 

@@ -5,17 +5,33 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructField, StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 # Texts are worked on in groups of about this many bytes, so that the arrays made for
 # them stay small. One text is never divided: a longer one forms its own group.
 GROUP_BYTES = 1 << 20
 
+# Texts are long, so fewer rows than usual travel in one Arrow batch.
+BATCH_ROWS, _BATCH_SETTING = 1000, "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def small_batches(df: DataFrame) -> None:
+    """Lower the session's Arrow batch size to what suits long texts."""
+    conf = df.sparkSession.conf
+    if not 0 < int(conf.get(_BATCH_SETTING)) <= BATCH_ROWS:
+        conf.set(_BATCH_SETTING, BATCH_ROWS)
+
 
 def id_and_text(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Only the two columns that matter, as `row_id` and `text`."""
+    """Only the two columns that matter, as `row_id` and `text`. Where the id is a whole
+    row with its text in it (see `with_rows`), the text is not sent a second time."""
+    small_batches(df)
+    kind = df.schema[id_col].dataType
+    if isinstance(kind, StructType) and text_col == "text" and StructField("text", StringType()) in kind.fields:
+        return df.select(F.col(id_col).alias("row_id"))
     return df.select(F.col(id_col).alias("row_id"), F.col(text_col).cast("string").alias("text"))
 
 
@@ -38,14 +54,14 @@ def text_groups(
 ) -> Iterator[tuple[pa.RecordBatch, list[bytes | None]]]:
     """Slices of the batches with about `limit` bytes of `text`, and the texts as UTF-8."""
     for batch in batches:
-        column = batch.column(batch.schema.get_field_index("text"))
-        texts = column.cast(pa.binary()).to_pylist()
+        at = batch.schema.get_field_index("text")
+        column = batch.column(at) if at >= 0 else pc.struct_field(batch.column("row_id"), "text")
+        column = column.cast(pa.binary())
         start = size = 0
-        for i, text in enumerate(texts):
-            more = len(text) if text else 0
+        for i, more in enumerate(pc.binary_length(column).fill_null(0).to_pylist()):
             if i > start and size + more > limit:
-                yield batch.slice(start, i - start), texts[start:i]
+                yield batch.slice(start, i - start), column.slice(start, i - start).to_pylist()
                 start, size = i, 0
             size += more
-        if start < len(texts):
-            yield batch.slice(start), texts[start:]
+        if start < len(column):
+            yield batch.slice(start), column.slice(start).to_pylist()

@@ -37,7 +37,8 @@ from cyclelens.llm.batches import id_and_text, output_schema, text_groups
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MAX_MODEL_BYTES = 64 << 20
 THREADS = 2  # of each library, in each task
-MEMO_WORDS = 200_000  # a worker forgets its words when it holds more
+GROUP_BYTES = 1 << 18  # of texts encoded at once
+MEMO_WORDS = 120_000  # a worker forgets its words when it holds more
 
 # Fixed values of the model format: the space marker, model kinds and piece kinds.
 MARKER = "▁"
@@ -187,11 +188,11 @@ class Codec:
         return self.tokenizer.decode_batch(ids, skip_special_tokens=False)
 
 
-def _encoder(data: bytes):
+def _encoder(data: bytes, with_decoded: bool):
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ["RAYON_NUM_THREADS"] = str(THREADS)  # read when the library first runs
         codec = Codec(data)
-        for rows, texts in text_groups(batches):
+        for rows, texts in text_groups(batches, GROUP_BYTES):
             plain = [(text or b"").decode() for text in texts]
             ids, parity, decoded = codec.encode(plain)
             faithful = [
@@ -203,20 +204,24 @@ def _encoder(data: bytes):
                 pa.array(ends), pa.array(np.frombuffer(b"".join(ids), np.int32)),
                 mask=pa.array([t is None for t in texts]),
             )
-            yield pa.RecordBatch.from_pydict({
+            columns = {
                 "row_id": rows.column("row_id"), "ids": lists,
-                "decoded": pa.array([None if t is None else x for x, t in zip(decoded, texts)], pa.string()),
                 "round_trip": pa.array(faithful, pa.bool_()), "parity": pa.array(parity, pa.bool_()),
-            })
+            }
+            if with_decoded:
+                shown = [None if t is None else x for x, t in zip(decoded, texts)]
+                columns["decoded"] = pa.array(shown, pa.string())
+            yield pa.RecordBatch.from_pydict(columns)
 
     return encode
 
 
-def encode(df: DataFrame, data: bytes, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """`row_id`, `ids`, `decoded`, `round_trip` (decoding gives the text, or what the
-    normaliser made of it) and `parity` (the other library has the same ids)."""
-    schema = output_schema(df, id_col, "ids array<int>, decoded string, round_trip boolean, parity boolean")
-    return id_and_text(df, id_col, text_col).mapInArrow(_encoder(data), schema)
+def encode(df: DataFrame, data: bytes, id_col: str = "doc_id", text_col: str = "text",
+           with_decoded: bool = True) -> DataFrame:
+    """`row_id`, `ids`, `round_trip` (decoding gives the text, or what the normaliser made
+    of it), `parity` (the other library has the same ids) and, on request, `decoded`."""
+    schema = output_schema(df, id_col, "ids array<int>, round_trip boolean, parity boolean" + ", decoded string" * with_decoded)
+    return id_and_text(df, id_col, text_col).mapInArrow(_encoder(data, with_decoded), schema)
 
 
 def _decoder(data: bytes):
