@@ -70,19 +70,21 @@ def _links(lines: DataFrame) -> DataFrame:
 
 
 def _roots(links: DataFrame) -> DataFrame:
-    """`msg_id`, `root` and `depth` of every message that replies to another one."""
-    up = written(links.select("msg_id", F.col("parent").alias("root"), F.lit(1).cast("long").alias("depth")), "quote-steps")
-    total = None
+    """`msg_id`, `root` and `depth` of every message that replies to another one. Messages
+    that have reached their root take no part in further rounds."""
+    going = written(links.select("msg_id", F.col("parent").alias("root"), F.lit(1).cast("long").alias("depth")), "quote-steps")
+    ended = None
     while True:
-        state = up.agg(F.coalesce(F.sum("depth"), F.lit(0))).first()[0]
-        if state == total:
-            return up
-        total = state
-        above = up.select(F.col("msg_id").alias("root"), F.col("root").alias("higher"), F.col("depth").alias("more"))
-        up = written(up.join(above, "root", "left").select(
-            "msg_id", F.coalesce("higher", "root").alias("root"),
-            (F.col("depth") + F.coalesce("more", F.lit(0))).alias("depth"),
-        ), "quote-steps")
+        every = going if ended is None else going.unionByName(ended)
+        above = every.select(F.col("msg_id").alias("root"), F.col("root").alias("higher"), F.col("depth").alias("more"))
+        met = written(going.join(above, "root", "left"), "quote-steps")
+        arrived = met.where("higher is null").select("msg_id", "root", "depth")
+        ended = arrived if ended is None else ended.unionByName(arrived)
+        going = met.where("higher is not null").select(
+            "msg_id", F.col("higher").alias("root"), (F.col("depth") + F.col("more")).alias("depth")
+        )
+        if going.isEmpty():
+            return ended
 
 
 def conversations(df: DataFrame, id_col: str, order_col: str, text_col: str, scope_col: str | None = None) -> DataFrame:
