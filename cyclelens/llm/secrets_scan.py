@@ -11,8 +11,9 @@ over the whole table: random tokens have even p-values, structured ones pile up
 zero, so the upper half of the histogram shows how many random tokens there are, and the
 cutoff is the lowest at which the estimated share of structured tokens among the accepted
 ones stays within `FALSE_SHARE`. Short tokens, which structure hides in, thus face a
-stricter cutoff than long ones. The histogram is summed before the shuffle and has at
-most 16 rows; the cutoffs travel as constants.
+stricter cutoff than long ones. The histogram counts distinct tokens (by a 64-bit hash),
+so copies of one token do not decide about others; copies are merged before the shuffle.
+The cutoffs travel as constants.
 
 Offsets are code points, end exclusive. A null text counts as empty. A random span inside
 a base span is not repeated. Repeated rows get equal answers; null ids are carried along;
@@ -188,7 +189,7 @@ def randomness(token: Column, encoding: str) -> Column:
 
 
 def _candidates(text: Column) -> Column:
-    """The tokens in an encoding: start, end, class of encoding and length, and p."""
+    """The tokens in an encoding: start, end, class of encoding and length, p and a hash."""
 
     def judged(token: Column) -> Column:
         length = token["end"] - token["start"]
@@ -202,6 +203,7 @@ def _candidates(text: Column) -> Column:
             return F.struct(
                 token["start"].alias("start"), token["end"].alias("end"),
                 F.concat_ws("-", encoding, class_no.cast("string")).alias("class"), p.alias("p"),
+                F.xxhash64(token["token"]).alias("hash"),
             )
 
         return let(_encoding(token["token"]), of)
@@ -211,7 +213,9 @@ def _candidates(text: Column) -> Column:
 
 def cutoffs(scanned: DataFrame) -> dict[str, float]:
     """Class -> the least p that counts as random there."""
-    found = scanned.select(F.explode("candidates").alias("c")).select("c.class", F.floor(F.least(F.col("c.p"), F.lit(0.999999)) * BINS).alias("bin"))
+    at = F.floor(F.least(F.col("c.p"), F.lit(0.999999)) * BINS)
+    every = scanned.select(F.explode("candidates").alias("c")).select("c.class", "c.hash", at.alias("bin"))
+    found = every.groupBy("class", "hash").agg(F.min("bin").alias("bin"))  # a token once
     counts: dict[str, list[int]] = {}
     for name, at, n in found.groupBy("class", "bin").count().collect():  # at most 16 x BINS rows
         counts.setdefault(name, [0] * BINS)[at] = n
