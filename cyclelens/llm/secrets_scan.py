@@ -2,7 +2,7 @@
 
 Base spans come from three patterns. The method adds spans of kind `random`: long tokens
 whose characters look drawn at random from the alphabet of the encoding they seem to be
-in (hex, base32, base62, base64). Three tests give a p-value each under randomness: chi-
+in (hex, also with dashes as in UUIDs, base32 and base36 in either case, base62, base64). Three tests give a p-value each under randomness: chi-
 squared uniformity over eight equal cells of the alphabet, runs above and below its
 middle, and serial correlation of neighbours. Fisher's method combines them.
 
@@ -98,11 +98,17 @@ def _tokens(text: Column) -> Column:
 
 
 def _encoding(token: Column) -> Column:
-    """The encoding a token seems to be in; null for what is no encoding, such as words."""
+    """The encoding a token seems to be in; null for what is no encoding, such as words.
+    Letters of one case are one only with digits among them; then they have classes of
+    their own, whose cutoffs keep words with digits out."""
     digit, lower, upper = (token.rlike(f"[{c}]") for c in ("0-9", "a-z", "A-Z"))
     return (
         F.when(token.rlike("^([0-9a-f]+|[0-9A-F]+)$") & digit & (lower | upper), "hex")
         .when(token.rlike("^[A-Z2-7]+=*$") & digit & upper, "base32")
+        .when(token.rlike("^([0-9a-f-]+|[0-9A-F-]+)$") & digit & (lower | upper), "dashed")
+        .when(token.rlike("^[a-z2-7]+=*$") & digit & lower, "lower32")
+        .when(token.rlike("^[a-z0-9]+$") & digit & lower, "lower36")
+        .when(token.rlike("^[A-Z0-9]+$") & digit & upper, "upper36")
         .when(token.rlike("^[A-Za-z0-9]+$") & digit & lower & upper, "base62")
         .when(digit & lower & upper, "base64")
     )
@@ -113,14 +119,22 @@ _LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _ALPHABETS = {
     "hex": "0123456789abcdef",
     "base32": _LETTERS + "234567",
+    "lower32": _LETTERS.lower() + "234567",
+    "base36": _LETTERS.lower() + "0123456789",
     "base62": _LETTERS + _LETTERS.lower() + "0123456789",
     "base64": _LETTERS + _LETTERS.lower() + "0123456789+/",
 }
+# The encodings that are written in each alphabet.
+_WRITTEN_IN = {
+    "hex": ("hex", "dashed"), "base32": ("base32",), "lower32": ("lower32",),
+    "base36": ("lower36", "upper36"), "base62": ("base62",), "base64": ("base64",),
+}
 
 
 def _digits(token: Column, encoding: str) -> Column:
-    """The token's characters as digits of its alphabet; padding is left out."""
-    plain = F.lower(token) if encoding == "hex" else F.translate(token, "-_", "+/")
+    """The token's characters as digits of its alphabet; padding is left out, and so are
+    the dashes of hex."""
+    plain = F.lower(token) if encoding in ("hex", "base36") else F.translate(token, "-_", "+/")
     places = F.transform(F.split(plain, ""), lambda c: F.when(c != "", F.position(c, F.lit(_ALPHABETS[encoding])) - 1))
     return F.filter(places, lambda x: x >= 0)
 
@@ -175,15 +189,35 @@ def _serial(digits: Column, n: Column) -> Column:
     return let(mean, lambda m: let(F.transform(digits, lambda x: x - m), of))
 
 
+def _mixing(digits: Column, n: Column, size: int) -> Column:
+    """One-sided p of the number of changes between letters and digits, which come last in
+    the alphabet. Words with a number behind them have few."""
+    q = (size - 26) / size
+    change, both = 2 * q * (1 - q), q * (1 - q)
+    changes = F.size(F.filter(
+        indices(F.size(digits) - 1), lambda i: (F.get(digits, i) >= 26) != (F.get(digits, i + 1) >= 26)
+    ))
+    spread = F.sqrt((n - 1) * change * (1 - change) + 2 * (n - 2) * (both - change * change))
+    return _above(((n - 1) * change - changes) / spread)
+
+
+# Alphabets of letters of one case, which words with digits are written in too.
+_ONE_CASE = ("lower32", "base36")
+
+
 def randomness(token: Column, encoding: str) -> Column:
-    """Combined p of the three tests: even for random tokens, near zero for structure."""
+    """Combined p of the tests: even for random tokens, near zero for structure. Letters
+    of one case have a fourth test, of how digits mix with them."""
     size = len(_ALPHABETS[encoding])
 
     def battery(digits: Column) -> Column:
         n = F.size(digits).cast("double")
         tests = [_uniformity(digits, n, size), _runs(digits, n, size), _serial(digits, n)]
+        if encoding in _ONE_CASE:
+            tests.append(_mixing(digits, n, size))
         half = -sum(F.log(F.greatest(F.lit(1e-15), p)) for p in tests)
-        return let(half, lambda x: F.exp(-x) * (1 + x + x * x / 2))
+        more = (lambda x: x * x * x / 6) if encoding in _ONE_CASE else (lambda x: 0)
+        return let(half, lambda x: F.exp(-x) * (1 + x + x * x / 2 + more(x)))
 
     return let(_digits(token, encoding), battery)
 
@@ -199,7 +233,8 @@ def _candidates(text: Column) -> Column:
             p = None
             for name in _ALPHABETS:
                 value = randomness(token["token"], name)
-                p = F.when(encoding == name, value) if p is None else p.when(encoding == name, value)
+                fits = encoding.isin(*_WRITTEN_IN[name])
+                p = F.when(fits, value) if p is None else p.when(fits, value)
             return F.struct(
                 token["start"].alias("start"), token["end"].alias("end"),
                 F.concat_ws("-", encoding, class_no.cast("string")).alias("class"), p.alias("p"),
@@ -217,7 +252,7 @@ def cutoffs(scanned: DataFrame) -> dict[str, float]:
     every = scanned.select(F.explode("candidates").alias("c")).select("c.class", "c.hash", at.alias("bin"))
     found = every.groupBy("class", "hash").agg(F.min("bin").alias("bin"))  # a token once
     counts: dict[str, list[int]] = {}
-    for name, at, n in found.groupBy("class", "bin").count().collect():  # at most 16 x BINS rows
+    for name, at, n in found.groupBy("class", "bin").count().collect():  # at most 32 x BINS rows
         counts.setdefault(name, [0] * BINS)[at] = n
     return {name: cutoff(bins) for name, bins in counts.items()}
 

@@ -43,3 +43,20 @@ def test_copies_of_a_structured_token_let_none_through(spark):
     lucky = max(p, key=p.get)
     assert p[lucky] > 0.5
     assert not found(spark, [*flat, *[lucky] * 3000]) & set(flat)
+
+
+def test_tokens_of_one_case(spark):
+    lower, upper = string.ascii_lowercase, string.ascii_uppercase
+    keys = {
+        "lower36": tokens(lower + string.digits, 40, 80, 1),
+        "upper36": ["ASIA" + t for t in tokens(upper + string.digits, 36, 80, 2)],
+        "lower32": tokens(lower + "234567", 32, 80, 3),
+        "dashed": ["-".join((t[:8], t[8:12], t[12:16], t[16:20], t[20:])) for t in tokens("0123456789abcdef", 32, 80, 4)],
+    }
+    rng = random.Random(5)
+    words = ["".join(rng.choice(("chapter", "section", "edition", "appendix")) for _ in range(4)) + str(i) for i in range(80)]
+    words += [w.upper() for w in words] + [f"part-{i}-of-the-old-book" for i in range(80)] + ["internationalisation"]
+    got = found(spark, [t for group in keys.values() for t in group] + words)
+    for name, group in keys.items():
+        assert len(got & set(group)) > 0.8 * len(group), name
+    assert len(got & set(words)) <= 0.05 * len(got)  # the scan's FALSE_SHARE
