@@ -18,8 +18,11 @@ from cyclelens.llm import (
     secrets_scan,
     sharding,
     simhash,
+    spelling,
     sql,
+    subword_quality,
     suffixes,
+    whitening,
 )
 
 
@@ -120,6 +123,27 @@ def secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def spellings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(_table(spark, sf_dir, "documents"))
+
+
+def whitened(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = whitening.whiten(_table(spark, sf_dir, "embeddings"))
+    return rows.select(
+        F.col("row_id").alias("vec_id"), "n", "deviation", "identity_error", F.inline("components")
+    )
+
+
+def quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents")
+    learned = documents.where(~language_id.held_out())
+    model = subword_quality.fit(learned, _table(spark, sf_dir, "labels"))
+    return subword_quality.score(documents, model).select(
+        F.col("row_id").alias("doc_id"), language_id.held_out("row_id").alias("held_out"), "score",
+        (F.col("score") >= subword_quality.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_karmarkar_karp_shards": shards,
@@ -132,6 +156,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_phrase_automata": repeated_phrases,
         "op9_language_id": language,
         "op10_randomness_secret_scan": secrets,
+        "op11_spelling_variants": spellings,
+        "op12_embedding_whitening": whitened,
+        "op13_quality_classifier": quality_scores,
         "pipeline": corpus_pipeline.run,
     }
 
@@ -143,4 +170,5 @@ def oracle_sql() -> dict[str, str]:
         "op4_benchmark_decontamination": sql.DECONTAMINATION,
         "op6_suffix_bucket_pointers": sql.REPEATED_STRINGS,
         "op8_phrase_automata": sql.REPEATED_PHRASES,
+        "op11_spelling_variants": sql.SPELLING,
     }

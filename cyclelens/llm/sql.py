@@ -179,3 +179,53 @@ select coalesce(root, msg_id) as conversation, cast(coalesce(depth, 0) as bigint
     cast(n_quoted as bigint) as n_quoted
 from mails join texts using (r) left join links using (msg_id) left join roots using (msg_id)
 """
+
+# crc32 from its polynomial: a table in eight steps, then byte by byte.
+_CRC_STEPS = ", ".join(
+    f"t{k} as (select i, case when x & 1 = 1 then xor(x >> 1, 3988292384) else x >> 1 end as x from t{k - 1})"
+    for k in range(1, 9)
+)
+
+# Two words differ by one inserted or deleted letter if one without a letter is the other,
+# and by one replaced letter if they agree without the letter of the same place.
+SPELLING = f"""
+with recursive t0 as (select range as i, range as x from range(256)), {_CRC_STEPS},
+crc as (select list(x order by i) as t from t8),
+runs as (
+    select doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as run
+    from (select doc_id, unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]{{7,}}')) as run from documents)),
+counted as (
+    select run, count(*) as times, hex(encode(concat(coalesce(cast(doc_id as varchar), ''), ':', run))) as bytes
+    from runs group by doc_id, run),
+hashed as (
+    select run, times, xor(4294967295, list_reduce(list_concat([cast(4294967295 as bigint)], list_transform(
+            range(0, length(bytes) // 2), lambda k: cast(
+                (instr('0123456789ABCDEF', bytes[2 * k + 1]) - 1) * 16 + instr('0123456789ABCDEF', bytes[2 * k + 2]) - 1
+            as bigint))),
+        lambda a, b: xor(a >> 8, t[(xor(a, b) & 255) + 1]))) as hash
+    from counted, crc),
+typed as (
+    select times, case when hash % 31 <> 0 then run
+        else concat(substr(run, 1, hash % length(run)), substr(run, hash % length(run) + 2)) end as word
+    from hashed),
+words as (
+    select word, cast(sum(times) as bigint) as n from typed where length(word) >= 7 group by word having sum(times) >= 2),
+cut as (
+    select word, n, k, concat(substr(word, 1, k - 1), substr(word, k + 1)) as rest
+    from (select word, n, unnest(range(1, length(word) + 1)) as k from words)),
+near as (
+    select a.word, b.word as other, b.n as other_n from cut a join cut b on a.k = b.k and a.rest = b.rest and a.word <> b.word
+    union select a.word, b.word, b.n from cut a join words b on a.rest = b.word
+    union select b.word, a.word, a.n from cut a join words b on a.rest = b.word),
+best as (
+    select word, count(*) as n_near, max(other_n) as best_n, arg_min(other, (-other_n, other)) as best from near group by word),
+forms as (
+    select word, n, coalesce(n_near, 0) as n_near, case when best_n >= 10 * n then best end as form,
+        case when best_n >= 10 * n then best_n end as form_n
+    from words left join best using (word)),
+chain as (
+    select word, form as root from forms where form is not null
+    union all select chain.word, forms.form from chain join forms on forms.word = chain.root where forms.form is not null),
+last as (select chain.word, chain.root from chain join forms on forms.word = chain.root where forms.form is null)
+select forms.word, form, coalesce(root, forms.word) as root, n, n_near, form_n from forms left join last on last.word = forms.word
+"""
