@@ -2,9 +2,10 @@
 
 Filters of several widths slide over fixed-length windows of the UTF-8 bytes, each filter
 keeps its largest response, and a softmax layer turns these into languages. Training is
-plain numpy on the driver, on a bounded sample (`SAMPLE_PER_LANGUAGE` documents of each
-language, chosen by a hash of the id, at most `WINDOWS_PER_DOCUMENT` windows from each,
-spread over the whole text). Prediction runs over every window of every text in one
+plain numpy on the driver, on a bounded sample (`SAMPLE_PER_LANGUAGE` distinct texts of each
+language, chosen by a hash of the text, at most `WINDOWS_PER_DOCUMENT` windows from each,
+spread over the whole text; languages beyond the `MAX_LANGUAGES` most frequent and texts
+beyond a hundredth of `MAX_CHARS` are not learned from). Prediction runs over every window of every text in one
 narrow stage and averages the windows' probabilities, weighted by their length.
 
 For prediction the byte embedding is folded into each filter, and neighbouring bytes
@@ -18,7 +19,6 @@ are read, so further columns of any name do no harm.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -27,9 +27,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cyclelens.llm.batches import id_and_text, output_schema, text_groups
+from cyclelens.llm import samples
+from cyclelens.llm.batches import id_and_text, output_schema, small_batches, text_groups
 
 SAMPLE_PER_LANGUAGE = 1000
+MAX_LANGUAGES, MAX_CHARS = 1000, 100_000_000  # of the sample
 WINDOWS_PER_DOCUMENT = 4
 WINDOW = 192
 WIDTHS = (2, 3, 4)
@@ -38,9 +40,7 @@ EMBEDDING = 8
 STEPS, BATCH, RATE, SEED = 700, 64, 0.01, 9
 UNKNOWN = "und"
 
-_LETTER = re.compile(r"[^\W\d_]")
 _CHUNK = 512  # windows worked on at once
-_MAX_LANGUAGES = 1000
 
 
 @dataclass
@@ -154,7 +154,7 @@ def held_out(id_col: str = "doc_id") -> Column:
 def _training_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for rows, texts in text_groups(batches):
         langs, cut = [], []
-        for lang, text in zip(rows.column("lang").to_pylist(), texts):
+        for lang, text in zip(rows.column("label").to_pylist(), texts):
             last = max(0, len(text) - WINDOW)
             for k in sorted({last * i // max(1, WINDOWS_PER_DOCUMENT - 1) for i in range(WINDOWS_PER_DOCUMENT)}):
                 langs.append(lang)
@@ -163,36 +163,41 @@ def _training_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
 
 
 def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-        per_language: int = SAMPLE_PER_LANGUAGE) -> Network | None:
+        per_language: int = SAMPLE_PER_LANGUAGE, max_languages: int = MAX_LANGUAGES,
+        max_chars: int = MAX_CHARS) -> Network | None:
     """The network for a table of labelled texts, or None if it has no labelled text.
 
-    The driver receives at most about `per_language` x `WINDOWS_PER_DOCUMENT` windows of
-    each language, and labels are limited to the 1,000 most frequent ones."""
+    The driver receives at most `per_language` x `WINDOWS_PER_DOCUMENT` windows of each of
+    the `max_languages` most frequent languages."""
+    text = F.col(text_col).cast("string")
     rows = labelled.select(
-        F.col(id_col).alias("row_id"), F.col(text_col).cast("string").alias("text"),
-        F.col(lang_col).cast("string").alias("lang"),
-    ).where(F.col("lang").isNotNull() & F.col("text").isNotNull() & (F.col("text") != ""))
-    counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(_MAX_LANGUAGES).collect()
-    if not counts:
-        return None
-    shares = F.create_map(*[x for lang, n in counts for x in (F.lit(lang), F.lit(min(1.0, per_language / n)))])
-    place = F.pmod(F.xxhash64("row_id"), F.lit(1 << 30)) / float(1 << 30)
-    sample = rows.where(place < F.try_element_at(shares, F.col("lang")))
+        F.col(lang_col).cast("string").alias("label"), F.xxhash64(text).alias("place"),
+        F.length(text).alias("chars"), text.alias("text"),
+    )
+    sample = samples.draw(rows, per_language, max_languages, max_chars)
+    small_batches(sample)
     cut = sorted(
         (r["lang"], bytes(r["window"]))
         for r in sample.mapInArrow(_training_windows, "lang string, window binary").collect()
     )
+    if not cut:
+        return None
     languages = sorted({lang for lang, _ in cut})
     index = {lang: k for k, lang in enumerate(languages)}
     windows = np.concatenate([windows_of(w) for _, w in cut])
     return train(windows, np.array([index[lang] for lang, _ in cut]), languages)
 
 
+def has_letter(text: str) -> bool:
+    """Whether any character is alphabetic; a fraction or a circled digit is not."""
+    return any(map(str.isalpha, text))
+
+
 def _predictor(network: Network | None):
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, texts in text_groups(batches):
             langs, scores = [UNKNOWN] * len(texts), np.zeros(len(texts))
-            known = [i for i, t in enumerate(texts) if network and t and _LETTER.search(t.decode())]
+            known = [i for i, t in enumerate(texts) if network and t and has_letter(t.decode())]
             if known:
                 cut = [windows_of(texts[i]) for i in known]
                 lengths = np.concatenate([
