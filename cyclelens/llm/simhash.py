@@ -19,18 +19,13 @@ like any other. Repeated rows share a fingerprint. A null id never becomes a com
 id, unless all ids of the component are null. An empty table gives an empty result. Only
 the named columns are read, so further columns of any name do no harm.
 
-`keep_one` has a similarity of its own: documents are near copies if the sets of their
-five-word shingles have a Jaccard similarity of at least 0.8. At that similarity about
-ten of 64 bits differ, which no ball reaches. So its candidates meet in MinHash bands
-(25 bands of 5 rows find a pair at 0.8 with probability 0.9999), and within each bucket of
-a band whole sets are compared: a link is a true one, and again only a spanning forest of
-the links is emitted. Sets are sent only for texts that share a bucket, once for buckets
-of the same members. Shingles are compared by 64-bit hashes, equal sets are one row.
+`keep_one` keeps one row of each component. A document is its id and its text, so different
+texts under one id are different documents, and the smallest id of a component stays.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -48,13 +43,6 @@ _BLOCKS = (range(0, 21), range(21, 42), range(42, 64))
 _AT_ONCE = 1 << 16
 _FRONT = 256
 
-# Near copies of documents: words in a shingle, least Jaccard similarity, MinHash bands.
-COPY_SHINGLE = 5
-SIMILARITY = 0.8
-BANDS, ROWS = 25, 5
-_MIX, _SHIFT = np.uint64(0x9E3779B97F4A7C15), np.uint64(29)
-_FACTORS = np.random.default_rng(SEED).integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-
 
 def fingerprint(text: bytes | None, shingle: int = SHINGLE) -> int:
     """64 bits; a bit is one where it is set in over half of the shingles' hashes."""
@@ -189,167 +177,41 @@ def components(edges: DataFrame) -> DataFrame:
         edges = written(_star(_star(edges, large=True), large=False), "simhash-stars")
 
 
-def _named(prints: DataFrame, edges: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """`row_id`, `print`, `root` and `component_id` of rows with a `print`, by the edges
-    between the distinct prints."""
+def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """`row_id`, `print`, `root` (the component by its smallest fingerprint) and
+    `component_id`, the smallest id in the component."""
+    prints = written(fingerprints(df, id_col, text_col), "simhash-prints")
     nodes = written(prints.groupBy("print").agg(F.min("row_id").alias("first_id")), "simhash-nodes")
-    roots = components(edges(nodes)).withColumnRenamed("node", "print")
+    roots = components(links(nodes)).withColumnRenamed("node", "print")
     rooted = nodes.join(roots, "print", "left").withColumn("root", F.coalesce("root", "print"))
     smallest = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
     named = written(rooted.join(smallest, "root").select("print", "root", "component_id"), "simhash-components")
     return prints.join(named, "print").select("row_id", "print", "root", "component_id")
 
 
-def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """`row_id`, `print`, `root` (the component by its smallest fingerprint) and
-    `component_id`, the smallest id in the component."""
-    return _named(written(fingerprints(df, id_col, text_col), "simhash-prints"), links)
-
-
-def shingle_set(text: bytes | None, shingle: int = COPY_SHINGLE) -> np.ndarray:
-    """The distinct shingles of a text as sorted 64-bit hashes; none without words."""
-    words = (text or b"").lower().split()
-    if not words:
-        return np.zeros(0, np.uint64)
-    hashes = np.array([xxhash.xxh64_intdigest(w, SEED) for w in words], dtype=np.uint64)
-    width = min(shingle, len(words))
-    n = len(words) - width + 1
-    mixed = np.zeros(n, np.uint64)
-    for i in range(width):
-        mixed = (mixed ^ hashes[i : i + n]) * _MIX
-        mixed ^= mixed >> _SHIFT
-    return np.unique(mixed)
-
-
-def set_print(hashes: np.ndarray) -> int:
-    """One hash for a whole set of shingles."""
-    return xxhash.xxh64_intdigest(hashes.tobytes(), SEED)
-
-
-def band_keys(hashes: np.ndarray) -> np.ndarray:
-    """The MinHash bands of a set: one key for each."""
-    least = np.full(BANDS * ROWS, 2**64 - 1, np.uint64)
-    for i in range(0, len(hashes), 1024):
-        np.minimum(least, (hashes[i : i + 1024, None] * _FACTORS).min(axis=0), out=least)
-    keys = np.arange(BANDS, dtype=np.uint64)
-    for row in least.reshape(BANDS, ROWS).T:
-        keys = (keys ^ row) * _MIX
-        keys ^= keys >> _SHIFT
-    return keys
-
-
-def _lists(arrays: list[np.ndarray]) -> pa.ListArray:
-    ends = np.cumsum([0, *map(len, arrays)], dtype=np.int32)
-    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(arrays).view(np.int64)))
-
-
-def _sketcher(with_keys: bool):
-    def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, texts in text_groups(batches):
-            sets = [shingle_set(t) for t in texts]
-            prints = np.array([set_print(s) for s in sets], dtype=np.uint64).view(np.int64)
-            columns = {"row_id": rows.column("row_id"), "print": pa.array(prints)}
-            if with_keys:
-                columns["keys"] = _lists([band_keys(s) for s in sets])
-            yield pa.RecordBatch.from_pydict(columns)
-
-    return sketch
-
-
-def set_prints(df: DataFrame, id_col: str, text_col: str, with_keys: bool = False) -> DataFrame:
-    """`row_id`, `print` (of the set of shingles) and, on request, the keys of its bands."""
-    schema = output_schema(df, id_col, "print long" + ", keys array<long>" * with_keys)
-    return id_and_text(df, id_col, text_col).mapInArrow(_sketcher(with_keys), schema)
-
-
-def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for _, texts in text_groups(batches):
-        sets = [shingle_set(t) for t in texts]
-        prints = np.array([set_print(s) for s in sets], dtype=np.uint64).view(np.int64)
-        yield pa.RecordBatch.from_pydict({"print": pa.array(prints), "shingles": _lists(sets)})
-
-
-def _similar_forest(prints: list[int], sets: list[np.ndarray]) -> list[tuple[int, int]]:
-    """Edges that connect whatever similar sets connect, by a search that compares each
-    reached set with all that are not reached yet."""
-    if len(sets) == 2:
-        both = len(np.intersect1d(*sets, assume_unique=True))
-        return [(prints[0], prints[1])] if both >= SIMILARITY * (len(sets[0]) + len(sets[1]) - both) else []
-    size = np.array([len(s) for s in sets])
-    ends = np.concatenate(([0], np.cumsum(size)))
-    _, word = np.unique(np.concatenate(sets), return_inverse=True)
-    owners = np.repeat(np.arange(len(sets)), size)[np.argsort(word, kind="stable")]
-    first = np.concatenate(([0], np.cumsum(np.bincount(word))))
-    left, edges = np.ones(len(sets), bool), []
-    for seed in range(len(sets)):
-        front = [seed] if left[seed] else []
-        left[seed] = False
-        while front:
-            x = front.pop()
-            both = np.zeros(len(sets), np.int64)
-            for w in word[ends[x] : ends[x + 1]].tolist():
-                both[owners[first[w] : first[w + 1]]] += 1
-            found = np.flatnonzero(left & (both >= SIMILARITY * (size[x] + size - both)))
-            edges += [(prints[x], prints[y]) for y in found.tolist()]
-            left[found] = False
-            front += found.tolist()
-    return edges
-
-
-def _similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Links within each run of equal keys of a sorted partition."""
-    key, prints, sets = None, [], []
-
-    def edges_of() -> pa.RecordBatch:
-        edges = np.array(_similar_forest(prints, sets), dtype=np.int64).reshape(-1, 2)
-        return pa.RecordBatch.from_pydict({"a": pa.array(edges[:, 0]), "b": pa.array(edges[:, 1])})
-
-    for batch in batches:
-        column = batch.column("shingles")
-        ends, values = column.offsets.to_numpy(), column.values.to_numpy().view(np.uint64)
-        for i, (k, p) in enumerate(zip(batch.column("key").to_pylist(), batch.column("print").to_pylist())):
-            if k != key and len(sets) > 1:
-                yield edges_of()
-            if k != key:
-                key, prints, sets = k, [], []
-            prints.append(p)
-            sets.append(values[ends[i] : ends[i + 1]].copy())
-    if len(sets) > 1:
-        yield edges_of()
-
-
-def similar(sketches: DataFrame, df: DataFrame, text_col: str = "text") -> DataFrame:
-    """Edges (`a`, `b`) between prints of sets that connect all that similar sets sharing
-    a band connect."""
-    met = written(sketches.select("print", F.explode("keys").alias("key")).distinct(), "simhash-bands")
-    members = [F.count("*").alias("n"), F.bit_xor(F.xxhash64("print")).alias("mixed"), F.min("print").alias("least")]
-    buckets = met.groupBy("key").agg(*members).where("n > 1")
-    chosen = buckets.groupBy("n", "mixed", "least").agg(F.min("key").alias("key")).select("key")
-    shared = written(met.join(chosen, "key"), "simhash-buckets")
-    texts = df.select(F.lit(0).alias("row_id"), F.col(text_col).cast("string").alias("text"))
-    sets = texts.mapInArrow(_sets, "print long, shingles array<long>")
-    sets = sets.join(shared.select("print").distinct(), "print", "left_semi").dropDuplicates(["print"])
-    dealt = shared.join(sets, "print").select("key", "print", "shingles").repartition("key").sortWithinPartitions("key")
-    return dealt.mapInArrow(_similar, "a long, b long").distinct()
-
-
-def near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """As `near_duplicates`, with links between documents of similar sets of shingles;
-    `print` is that of the set."""
-    sketches = written(set_prints(df, id_col, text_col, with_keys=True), "simhash-sketches")
-    return _named(sketches, lambda nodes: similar(sketches, df, text_col))
-
-
 def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of `df` of which one stays for each component of near copies: the smallest
     id's.
 
-    Rows that share an id are one document, of which one row stays. A row with a null id
-    stays only if its component has no id at all, and then as the only one."""
-    found = near_copies(df, id_col, text_col)
-    first = found.where("row_id = component_id").select(F.col("row_id").alias("first id")).distinct()
-    named = df.join(first, F.col(id_col) == F.col("`first id`"), "left_semi").dropDuplicates([id_col])
-    unnamed = with_rows(df.where(F.col(id_col).isNull()))
-    alone = found.where("component_id is null").select("print", "root").distinct()
-    unnamed = set_prints(unnamed, "whole", text_col).join(alone, "print").dropDuplicates(["root"])
-    return named.unionByName(unnamed.select("row_id.*"))
+    Rows that agree in id and text are one document, of which one row stays. Different
+    texts under one id are different documents: they stay if they are in different
+    components. A row with a null id stays only if its component has no id at all, and then
+    as the only one."""
+    text = F.xxhash64(F.col(text_col).cast("string"))
+    named = F.struct(F.col(id_col).isNull().alias("unnamed"), F.col(id_col).alias("id"), text.alias("text_hash"))
+    keyed = df.select(named.alias("key"), F.col(text_col).alias("text"))
+    found = near_duplicates(keyed, "key", "text").where("row_id = component_id")
+    chosen = written(found.groupBy("row_id").agg(F.count(F.lit(1)).alias("times")), "simhash-chosen")
+    keys = chosen.select("row_id.*", "times").toDF("its unnamed", "its id", "its hash", "times")
+    same = (
+        (F.col(id_col).isNull() == F.col("`its unnamed`"))
+        & F.col(id_col).eqNullSafe(F.col("`its id`")) & (text == F.col("`its hash`"))
+    )
+    kept = df.join(keys.where("times = 1"), same, "left_semi")
+    repeated = keys.where("times > 1")
+    if repeated.isEmpty():
+        return kept
+    # Of rows that agree in id and text one is picked before they are shuffled.
+    again = with_rows(df.join(repeated, same, "left_semi"))
+    one = again.groupBy(F.col(id_col).alias("id"), text.alias("text_hash")).agg(F.first("whole").alias("whole"))
+    return kept.unionByName(one.select("whole.*"))
