@@ -19,6 +19,7 @@ from cyclelens.llm import (
     secrets_scan,
     sharding,
     simhash,
+    subword_quality,
     suffixes,
 )
 
@@ -62,6 +63,7 @@ OPERATORS = {
     "secrets": secrets_scan.scan,
     "benchmark": lambda df: decontaminate.contamination(df, benchmark(df.sparkSession, "p1 p2", None, "")),
     "quotes": lambda df: quotes.conversations(df, "doc_id", "n_chars", "text", "source"),
+    "quality": lambda df: subword_quality.score(df, subword_quality.fit(df, df, label_col="whole")),
 }
 
 
@@ -311,10 +313,34 @@ def test_tokenizer_takes_odd_texts():
     data = pieces.read_model()
     codec, other = pieces.Codec(data), sentencepiece.SentencePieceProcessor(model_proto=data)
     texts = ["", " ", "  two  spaces ", "▁marker", "a▁b", "日本語 🙂 \x00\x01", "<s> </s> <unk> <0x41>", "x" * 5000, "\n\n", "end "]
-    ids, parity, decoded = codec.encode(texts)
-    assert [np.frombuffer(x, np.int32).tolist() for x in ids] == other.encode(texts)
-    assert all(parity)
-    assert [d for d, t in zip(decoded, texts) if "▁" not in t] == [t for t in texts if "▁" not in t]
+    done = codec.encode(texts)
+    assert ids_of(done) == other.encode(texts) and done.parity.all()
+    assert [d.decode() == t for d, t in zip(done.decoded, texts)] == ["▁" not in t for t in texts]
+    assert done.round_trip.tolist() == ["▁" not in t for t in texts]
+
+
+def ids_of(done):
+    return [done.ids[a:b].tolist() for a, b in zip(done.ends[:-1], done.ends[1:])]
+
+
+def test_ids_are_really_decoded():
+    """A wrong memo shows in the decoded text, and the text is then encoded by itself."""
+    data = pieces.read_model()
+    codec, clean = pieces.Codec(data), pieces.Codec(data)
+    texts = ["some words here", "other words"]
+    right = codec.encode(texts)
+    codec.memo.ids = codec.memo.ids + 1
+    again = codec.encode(texts)
+    assert again.round_trip.all() and ids_of(again) == ids_of(right) == ids_of(clean.encode(texts))
+    wrong, ends = codec._bytes(right.ids + 1, right.ends)
+    assert wrong != b" some words here other words" and len(ends) == 3
+
+
+def test_words_are_learned_alike_together_and_singly():
+    codec = pieces.Codec(pieces.read_model())
+    units = [" one", " two", "  three", " ", " élan", "x", " 日本", " one,two"]
+    for a, b in zip(codec._joined(units), codec._singly(units)):
+        assert a.tolist() == b.tolist()
 
 
 @pytest.mark.parametrize("flags", [{}, {"remove_extra_whitespaces": True}])
@@ -337,8 +363,8 @@ def test_unigram_models_are_rebuilt(flags):
     data = model.SerializeToString()
     codec, other = pieces.Codec(data), sentencepiece.SentencePieceProcessor(model_proto=data)
     texts = ["abc ab a", "  b  c abcabc ", "éabc", "aa bb", ""]
-    ids, parity, _ = codec.encode(texts)
-    assert [np.frombuffer(x, np.int32).tolist() for x in ids] == other.encode(texts) and all(parity)
+    done = codec.encode(texts)
+    assert ids_of(done) == other.encode(texts) and done.parity.all() and done.round_trip.all()
 
 
 def test_language_windows_and_training_are_repeatable():
