@@ -237,6 +237,8 @@ class Cells:
     blocks: list[int]
 
     def __post_init__(self) -> None:
+        if not self.paths:
+            return
         padded = np.full((len(self.paths), GROUPS), _END)
         for i, path in enumerate(self.paths):
             padded[i, : len(path)] = path
@@ -346,7 +348,10 @@ def _finder(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def near_pairs(words: DataFrame, cell_words: int = CELL_WORDS) -> DataFrame:
     """Every pair of near words once: `a`, `a_n`, `b`, `b_n`."""
-    routed = words.mapInArrow(_router(cut_cells(words, cell_words)), _ROUTED)
+    cells = cut_cells(words, cell_words)
+    if not cells.paths:
+        return words.sparkSession.createDataFrame([], "a string, a_n long, b string, b_n long")
+    routed = words.mapInArrow(_router(cells), _ROUTED)
     dealt = routed.repartition("cell").sortWithinPartitions("cell")
     return dealt.mapInArrow(_finder, "a string, a_n long, b string, b_n long")
 

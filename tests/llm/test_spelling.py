@@ -1,0 +1,115 @@
+"""Spelling variants against brute force."""
+
+import random
+import zlib
+from collections import Counter
+
+import pytest
+
+from cyclelens.llm import spelling
+
+SCHEMA = "doc_id long, text string, word string, n long, root string"
+
+
+def table(spark, texts):
+    return spark.createDataFrame([(i, t, "w", 1, "r") for i, t in texts], SCHEMA)
+
+
+def one_edit(a, b):
+    if len(a) < len(b):
+        a, b = b, a
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b)) == 1
+    return len(a) == len(b) + 1 and any(a[:i] + a[i + 1 :] == b for i in range(len(a)))
+
+
+def brute(texts, drop=True):
+    counts = Counter()
+    for i, text in texts:
+        for run in spelling_runs(text or ""):
+            run = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in run)
+            h = zlib.crc32(f"{'' if i is None else i}:{run}".encode())
+            if drop and h % 31 == 0:
+                run = run[: h % len(run)] + run[h % len(run) + 1 :]
+            counts[run] += len(run) >= 7
+    words = {w: n for w, n in counts.items() if n >= 2}
+    form, near = {}, {}
+    for w, n in words.items():
+        close = [v for v in words if one_edit(w, v)]
+        near[w] = len(close)
+        best = min(close, key=lambda v: (-words[v], v), default=None)
+        form[w] = best if best and words[best] >= 10 * n else None
+
+    def root(w):
+        return root(form[w]) if form[w] else w
+
+    return sorted((w, form[w] or "", root(w), n, near[w], words[form[w]] if form[w] else 0) for w, n in words.items())
+
+
+def spelling_runs(text):
+    import re
+    return re.findall("[A-Za-zÀ-ÿ]+", text)
+
+
+def found(rows):
+    return sorted((r.word, r.form or "", r.root, r.n, r.n_near, r.form_n or 0) for r in rows)
+
+
+def noisy(seed, letters, n_words, n_texts):
+    rng = random.Random(seed)
+    words = ["".join(rng.choice(letters) for _ in range(rng.randint(7, 10))) for _ in range(n_words)]
+    texts = []
+    for i in range(n_texts):
+        line = []
+        for _ in range(40):
+            word = words[min(int(rng.expovariate(0.15)), n_words - 1)]
+            if rng.random() < 0.2:
+                at = rng.randrange(len(word))
+                word = word[:at] + rng.choice(["", rng.choice(letters), word[at] + rng.choice(letters)]) + word[at + 1 :]
+            line.append(rng.choice([word, word, word.upper(), word.capitalize()]))
+        texts.append((i, " ".join(line)))
+    return texts
+
+
+@pytest.mark.parametrize("cell_words", [5, 40, 20_000])
+def test_variants_against_brute_force(spark, cell_words):
+    texts = noisy(3, "abcdeé", 60, 60)
+    got = spelling.variants(table(spark, texts), cell_words=cell_words).collect()
+    want = brute(texts)
+    assert found(got) == want
+    assert any(w[1] for w in want) and len(want) > 100
+
+
+def test_forms_are_followed_to_the_last(spark):
+    texts = [(1, "abcdefgh " * 900 + "abcdefgi " * 60 + "abcdefii " * 5 + "zabcdefii zabcdefii")]
+    got = spelling.variants(table(spark, texts), drop_every=None).collect()
+    assert found(got) == brute(texts, drop=False)
+    assert {r.word: r.root for r in got}["abcdefii"] == "abcdefgh"
+
+
+def test_words_of_one_vector_are_dealt_into_blocks(spark):
+    """Anagrams share every letter count, so no further group divides their cell."""
+    rng = random.Random(5)
+    words = {"".join(rng.sample("abcdefgh", 8)) for _ in range(120)} | {"abcdefgh", "bacdefgh", "abcdefgz"}
+    texts = [(1, " ".join(sorted(words) * 2))]
+    df = table(spark, texts)
+    got = spelling.variants(df, drop_every=None, cell_words=7).collect()
+    assert found(got) == brute(texts, drop=False)
+
+
+def test_odd_texts(spark):
+    long = "x" * 300
+    texts = [(None, None), (1, ""), (2, "short words only"), (3, f"{long} {long} {long[:-1]}y {long[:-1]}y"),
+             (None, "Écolière ÉCOLIÈRE écolière"), (4, "퟿ wörterbuch wörterbuch × ÷")]
+    got = spelling.variants(table(spark, texts), drop_every=None).collect()
+    assert found(got) == brute(texts, drop=False)
+    assert spelling.variants(table(spark, [])).collect() == []
+
+
+def test_pairs_of_long_words():
+    words = [b"x" * 100, b"x" * 99 + b"y", b"x" * 101, b"x" * 98, b"y" + b"x" * 99, b"abcdefg", b"abcdefgh"]
+    import numpy as np
+    w = spelling.Words(words)
+    pairs = [(i, j) for i in range(len(words)) for j in range(len(words))]
+    a, b = map(np.array, zip(*pairs))
+    assert w.near(a, b).tolist() == [one_edit(words[i], words[j]) for i, j in pairs]
