@@ -65,8 +65,27 @@ def scratch(spark: SparkSession) -> Iterator[None]:
     finally:
         _open_scopes.remove(folders)
         for folder in folders:
-            path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+            delete_folder(spark, folder)
+
+
+def file_system(spark: SparkSession, path: str):
+    """Hadoop's handle on the file system that holds `path`, and the path itself."""
+    base = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return base.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), base
+
+
+def delete_folder(spark: SparkSession, folder: str) -> None:
+    """Remove a folder, if it is there."""
+    files, path = file_system(spark, folder)
+    files.delete(path, True)
+
+
+def folder_names(spark: SparkSession, pattern: str) -> list[str]:
+    """Names of the folders that match a pattern; for `…/_SUCCESS`, of those that hold this
+    mark of a complete write."""
+    files, found = file_system(spark, pattern)
+    paths = [s.getPath() for s in files.globStatus(found) or []]
+    return sorted((p.getParent() if p.getName() == "_SUCCESS" else p).getName() for p in paths)
 
 
 def written(df: DataFrame, label: str, partition_by: str | None = None) -> DataFrame:

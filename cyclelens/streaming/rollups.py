@@ -11,8 +11,8 @@ read by summing partials over its own, coarser keys.
 * A key that was not written for two days expires; if it is written again later, its
   totals start anew.
 * Lines are held to the rules of washing, for the fields that the rollups read: what is
-  not one JSON object, or holds an unreadable value, or has no event time, is written to
-  `<path>/rejected/batch_id=N` with its reason.
+  not one JSON object, or holds an unreadable value, or has no event time, is set aside
+  with its reason.
 * The job packs old partials by itself, so that the number of folders stays bounded.
 """
 
@@ -31,6 +31,7 @@ from cyclelens.functions.clock import utc_date, utc_hour
 from cyclelens.functions.coerce import to_epoch, to_type, unreadable
 from cyclelens.operators.wash import REASON, one_object
 from cyclelens.schemas import EPOCHS, EVENT_TIME, schema_of
+from cyclelens.session import delete_folder, folder_names
 
 # Batch interval and idle expiry.
 BATCH_INTERVAL = "5 seconds"
@@ -46,7 +47,7 @@ class Rollup:
     keys: tuple[str, ...]
 
 
-_MEASURES = {"unlock": ("distance", "ride_ms"), "order": ("amount",),
+MEASURES = {"unlock": ("distance", "ride_ms"), "order": ("amount",),
              "recharge": ("amount",), "repair": ()}
 _TEXTS = {"unlock": (), "order": ("rechargetype",), "recharge": ("rechargetype", "rechargesource"),
           "repair": ("repairtype",)}
@@ -83,7 +84,7 @@ def _partial_schema(log: str) -> T.StructType:
     return T.StructType([
         *[T.StructField(k, types[k]) for k in grain(log)],
         T.StructField("total", T.LongType()),
-        *[T.StructField(m, types[m]) for m in _MEASURES[log]],
+        *[T.StructField(m, types[m]) for m in MEASURES[log]],
         T.StructField("first_written", T.TimestampType()),
         T.StructField("last_written", T.TimestampType()),
     ])
@@ -96,7 +97,7 @@ def parsed(lines: DataFrame, log: str) -> DataFrame:
     types = {f.name: f.dataType for f in schema_of(log)}
     wanted = ["province", "city", *_TEXTS[log], time]
     wanted += ["etimestamp", "distance"] if log == "unlock" else []
-    wanted += ["amount"] if "amount" in _MEASURES[log] else []
+    wanted += ["amount"] if "amount" in MEASURES[log] else []
     text = T.StructType([T.StructField(name, T.StringType()) for name in wanted])
 
     def typed(line: Column) -> Column:
@@ -126,21 +127,25 @@ def events(lines: DataFrame, log: str) -> DataFrame:
 
 
 def partial(lines: DataFrame, log: str) -> DataFrame:
-    """Totals of one micro-batch of raw lines at the finest grain."""
-    return _totals(events(lines, log), log)
-
-
-def _totals(good: DataFrame, log: str) -> DataFrame:
-    return good.groupBy(*grain(log)).agg(
-        F.count(F.lit(1)).alias("total"), *[F.sum(m).alias(m) for m in _MEASURES[log]]
+    """One micro-batch of raw lines, summed up: totals at the finest grain for good lines
+    (`status` good), and for bad lines (`status` bad) each text and reason with its number.
+
+    Both come from one aggregation, so the lines are parsed once and kept nowhere."""
+    rows = parsed(lines, log)
+    bad = F.col(REASON).isNotNull()
+    of_good = [F.when(~bad, F.col(k)).alias(k) for k in (*grain(log), *MEASURES[log])]
+    of_bad = F.when(bad, F.col("value")).alias("value")
+    marked = rows.select(*of_good, of_bad, REASON, F.when(bad, "bad").otherwise("good").alias("status"))
+    return marked.groupBy("status", *grain(log), "value", REASON).agg(
+        F.count(F.lit(1)).alias("total"), *[F.sum(m).alias(m) for m in MEASURES[log]]
     )
 
 
-def _utc_now() -> datetime:
+def utc_now() -> datetime:
     return datetime.now(timezone.utc)
 
 
-def _micros(moment: datetime) -> Column:
+def micros(moment: datetime) -> Column:
     """An instant as a timestamp column that does not depend on any time zone."""
     return F.timestamp_micros(F.lit(round(moment.timestamp() * 1_000_000)).cast("bigint"))
 
@@ -151,35 +156,28 @@ def start_rollups(
     path: str,
     checkpoint: str,
     available_now: bool = False,
-    clock: Callable[[], datetime] = _utc_now,
+    clock: Callable[[], datetime] = utc_now,
     pack_every: int = PACK_EVERY,
 ) -> StreamingQuery:
     """Start the live job of one log: `lines` is a stream with raw lines in `value`.
 
-    Partials go to `<path>/live/batch_id=N`, bad lines to `<path>/rejected/batch_id=N`;
-    progress is kept in `checkpoint`. All must be folders that all executors share.
+    Partials and bad lines go to `<path>/live/batch_id=N`, by `status`; progress is kept in
+    `checkpoint`. Both must be folders that all executors share.
     `available_now` stops after the waiting data. Every `pack_every` batches the older
     ones, which can no longer be replayed, are packed. What a pack replaced is removed one
     pack later, so a reader has that long to finish.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        spark, now = batch.sparkSession, _micros(clock())
+        spark, now = batch.sparkSession, micros(clock())
         if batch_id and batch_id % pack_every == 0:
             replaced = packed_upto(spark, path)
             if replaced is None or replaced < batch_id - 1:
                 pack(spark, log, path, batch_id - 1, clock())
                 if replaced is not None:
                     drop_packed(spark, path, replaced)
-        lines = parsed(batch, log).persist()  # read once for both writes
-        good = lines.where(F.col(REASON).isNull())
-        stamped = _totals(good, log).select(
-            "*", now.alias("first_written"), now.alias("last_written")
-        )
-        stamped.write.mode("overwrite").parquet(f"{path}/live/batch_id={batch_id}")
-        bad = lines.where(F.col(REASON).isNotNull()).select("value", REASON)
-        bad.write.mode("overwrite").parquet(f"{path}/rejected/batch_id={batch_id}")
-        lines.unpersist()
+        stamped = partial(batch, log).select("*", now.alias("first_written"), now.alias("last_written"))
+        stamped.write.mode("overwrite").partitionBy("status").parquet(f"{path}/live/batch_id={batch_id}")
 
     trigger = {"availableNow": True} if available_now else {"processingTime": BATCH_INTERVAL}
     return (
@@ -199,28 +197,33 @@ def read_partials(spark: SparkSession, log: str, path: str) -> DataFrame:
     columns = [*schema.names, "batch_id"]
     with_batch = T.StructType([*schema.fields, T.StructField("batch_id", T.LongType())])
     upto = packed_upto(spark, path)
-    numbers = _folders(spark, f"{path}/live", "batch_id", finished=True)
+    numbers = _batches(spark, path, finished=True)
     folders = [f"{path}/live/batch_id={n}" for n in numbers if upto is None or n > upto]
-    live = _read_batches(spark, with_batch, f"{path}/live", folders).select(*columns)
+    live = _read_batches(spark, with_batch, f"{path}/live", folders, "good").select(*columns)
     if upto is None:
         return live
-    packed = spark.read.schema(with_batch).parquet(f"{path}/packed/upto={upto}").select(*columns)
+    packed = spark.read.schema(with_batch).parquet(f"{path}/packed/{_newest(spark, path)[2]}").select(*columns)
     return live.unionByName(packed)
 
 
-def _read_batches(spark: SparkSession, schema: T.StructType, base: str, folders: list[str]) -> DataFrame:
+def _read_batches(spark: SparkSession, schema: T.StructType, base: str, folders: list[str], status: str) -> DataFrame:
+    """The rows of one status of some batches."""
     if not folders:
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).option("basePath", base).parquet(*folders)
+    with_status = T.StructType([*schema.fields, T.StructField("status", T.StringType())])
+    rows = spark.read.schema(with_status).option("basePath", base).parquet(*folders)
+    return rows.where(F.col("status") == status)
 
 
 def read_rejects(spark: SparkSession, path: str) -> DataFrame:
     """The lines that the live job set aside: `value`, `reject_reason`, `batch_id`."""
-    fields = [("value", T.StringType()), (REASON, T.StringType()), ("batch_id", T.LongType())]
+    fields = [("value", T.StringType()), (REASON, T.StringType()), ("total", T.LongType()), ("batch_id", T.LongType())]
     schema = T.StructType([T.StructField(n, t) for n, t in fields])
-    numbers = _folders(spark, f"{path}/rejected", "batch_id", finished=True)
-    folders = [f"{path}/rejected/batch_id={n}" for n in numbers]
-    return _read_batches(spark, schema, f"{path}/rejected", folders).select(*schema.names)
+    numbers = _batches(spark, path, finished=True)
+    folders = [f"{path}/live/batch_id={n}" for n in numbers]
+    kept = _read_batches(spark, schema, f"{path}/live", folders, "bad")
+    times = F.sequence(F.lit(1).cast("long"), F.col("total"))
+    return kept.select("value", REASON, "batch_id", F.explode(times)).select("value", REASON, "batch_id")
 
 
 def read_rollup(
@@ -234,23 +237,24 @@ def read_rollup(
     rollup = ROLLUPS[name]
     alive = _sessions(read_partials(spark, rollup.log, path), rollup.log, rollup.keys)
     latest = alive.groupBy(*rollup.keys).agg(
-        F.max_by(F.struct("total", *_MEASURES[rollup.log]), "last_written").alias("t"),
+        F.max_by(F.struct("total", *MEASURES[rollup.log]), "last_written").alias("t"),
         F.max("last_written").alias("last_written"),
     )
     deadline = F.col("last_written") + F.expr(f"interval {IDLE_SECONDS} seconds")
-    return latest.where(deadline > _micros(as_of or _utc_now())).select(
+    return latest.where(deadline > micros(as_of or utc_now())).select(
         *rollup.keys, F.col("t.total").alias("total"), *_shown(rollup.log)
     )
 
 
+def shown_measure(measure: str, value: Column) -> Column:
+    """A measure as it is shown: ride time in hours."""
+    if measure == "ride_ms":
+        return (value / F.lit(3_600_000.0)).alias("time")
+    return value.alias(measure)
+
+
 def _shown(log: str) -> list[Column]:
-    shown = []
-    for measure in _MEASURES[log]:
-        if measure == "ride_ms":
-            shown.append((F.col("t.ride_ms") / F.lit(3_600_000.0)).alias("time"))
-        else:
-            shown.append(F.col(f"t.{measure}").alias(measure))
-    return shown
+    return [shown_measure(m, F.col(f"t.{m}")) for m in MEASURES[log]]
 
 
 def _sessions(partials: DataFrame, log: str, keys: tuple[str, ...]) -> DataFrame:
@@ -264,30 +268,35 @@ def _sessions(partials: DataFrame, log: str, keys: tuple[str, ...]) -> DataFrame
     )
     return partials.groupBy(*keys, F.session_window("first_written", alive_for)).agg(
         F.sum("total").alias("total"),
-        *[F.sum(m).alias(m) for m in _MEASURES[log]],
+        *[F.sum(m).alias(m) for m in MEASURES[log]],
         F.min("first_written").alias("first_written"),
         F.max("last_written").alias("last_written"),
     )
 
 
-def _file_system(spark: SparkSession, path: str):
-    """Hadoop's handle on the file system that holds `path`, and the path itself."""
-    base = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return base.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), base
+def _batches(spark: SparkSession, path: str, finished: bool = False) -> list[int]:
+    """Numbers of the batches under `path`; only completed writes if `finished`."""
+    names = folder_names(spark, f"{path}/live/batch_id=*" + "/_SUCCESS" * finished)
+    return sorted(int(name.split("=")[1]) for name in names)
 
 
-def _folders(spark: SparkSession, path: str, prefix: str, finished: bool = False) -> list[int]:
-    """Numbers N of the folders `<path>/<prefix>=N`; only completed writes if `finished`."""
-    files, found = _file_system(spark, f"{path}/{prefix}=*" + "/_SUCCESS" * finished)
-    statuses = files.globStatus(found) or []
-    paths = [s.getPath().getParent() if finished else s.getPath() for s in statuses]
-    return sorted(int(p.getName().split("=", 1)[1]) for p in paths)
+def _packs(spark: SparkSession, path: str, finished: bool) -> list[tuple[int, int, str]]:
+    """(last batch, run, folder name) of the packed tables `upto=N` and `upto=N.run`, the
+    oldest first."""
+    names = folder_names(spark, f"{path}/packed/upto=*" + "/_SUCCESS" * finished)
+    parts = [(name.removeprefix("upto=").partition("."), name) for name in names]
+    return sorted((int(n), int(run or 0), name) for (n, _, run), name in parts)
+
+
+def _newest(spark: SparkSession, path: str) -> tuple[int, int, str] | None:
+    done = _packs(spark, path, finished=True)
+    return done[-1] if done else None
 
 
 def packed_upto(spark: SparkSession, path: str) -> int | None:
     """Last batch held by the newest complete packed table."""
-    done = _folders(spark, f"{path}/packed", "upto", finished=True)
-    return done[-1] if done else None
+    newest = _newest(spark, path)
+    return newest[0] if newest else None
 
 
 def pack(
@@ -297,31 +306,41 @@ def pack(
 
     `upto` must be a batch that can no longer be replayed, that is, older than the last
     committed one. Rows of one key merge as long as the writes are unbroken, so no
-    rollup changes. A date whose every key ran out is left out. Readers switch over when
-    the packed table is complete; `drop_packed` then removes what it replaced.
+    rollup changes. A date whose every key ran out is left out. Each call writes a folder of
+    its own, also for an `upto` that was packed before, so a pack that fails loses nothing.
+    Readers switch over when the packed table is complete; `drop_packed` then removes what
+    it replaced. An `upto` older than the newest packed table changes nothing.
     """
+    newest = _newest(spark, path)
+    if newest and upto < newest[0]:
+        return
+    runs = [run for n, run, _ in _packs(spark, path, finished=False) if n == upto]
+    name = f"upto={upto}.{max(runs) + 1}" if runs else f"upto={upto}"
     partials = read_partials(spark, log, path).where(F.col("batch_id") <= upto)
     merged = _sessions(partials, log, grain(log))
     # The key (date) outlives every finer key of the date, so it decides for all.
     dates = partials.groupBy("date").agg(F.max("last_written").alias("date_written"))
     deadline = F.col("date_written") + F.expr(f"interval {IDLE_SECONDS} seconds")
-    kept = dates.where(deadline > _micros(as_of or _utc_now())).select("date")
+    kept = dates.where(deadline > micros(as_of or utc_now())).select("date")
     merged.join(kept, "date", "left_semi").select(
         *_partial_schema(log).names, F.lit(upto).cast("bigint").alias("batch_id")
-    ).write.mode("overwrite").parquet(f"{path}/packed/upto={upto}")
+    ).write.parquet(f"{path}/packed/{name}")
 
 
 def drop_packed(spark: SparkSession, path: str, upto: int | None = None) -> None:
     """Remove the batches up to `upto` and the packed tables up to it, all of which the
-    newest packed table replaced; without `upto`, everything that it replaced.
+    newest packed table replaced; without `upto`, everything that it replaced. Lines that
+    were set aside stay.
 
     Queries that still read the old files must have ended."""
-    newest = packed_upto(spark, path)
+    newest = _newest(spark, path)
     if newest is None:
         return
-    upto = newest if upto is None else min(upto, newest)
-    old = [f"{path}/live/batch_id={n}" for n in _folders(spark, f"{path}/live", "batch_id") if n <= upto]
-    old += [f"{path}/packed/upto={n}" for n in _folders(spark, f"{path}/packed", "upto") if n <= upto and n < newest]
+    upto = newest[0] if upto is None else min(upto, newest[0])
+    old = [f"{path}/packed/{name}" for n, run, name in _packs(spark, path, finished=False) if n <= upto and (n, run) < newest[:2]]
+    for number in _batches(spark, path):
+        if number <= upto:
+            batch = f"{path}/live/batch_id={number}"
+            old.append(f"{batch}/status=good" if folder_names(spark, f"{batch}/status=bad") else batch)
     for folder in old:
-        files, target = _file_system(spark, folder)
-        files.delete(target, True)
+        delete_folder(spark, folder)
