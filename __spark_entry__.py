@@ -6,7 +6,7 @@ import importlib
 import os
 import sys
 from collections.abc import Callable
-from functools import partial
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,13 +16,17 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from cyclelens import fixtures, oracle  # noqa: E402
 from cyclelens.functions.geo import geohash8  # noqa: E402
 from cyclelens.functions.tags import business_tags, client_tags, ride_tags  # noqa: E402
-from cyclelens.operators import geodict, usertags  # noqa: E402
-from cyclelens.operators.reports import ReportSpec, report, report_suite  # noqa: E402
+from cyclelens.operators import bitmaps, decay, geodict, tagindex, usertags  # noqa: E402
+from cyclelens.operators.reports import G3, ReportSpec, report, report_suite  # noqa: E402
 from cyclelens.operators.wash import mask, split_valid, wash  # noqa: E402
 from cyclelens.plans.catalog import REPORTS, reports_of  # noqa: E402
+from cyclelens.plans.jobs import all_reports, numbered_log  # noqa: E402
+from cyclelens.plans.standing import StandingTags  # noqa: E402
 from cyclelens.schemas import LOGS  # noqa: E402
 from cyclelens.session import work_folder, written  # noqa: E402
+from cyclelens.sinks import tables  # noqa: E402
 from cyclelens.sources.logs import stream_lines  # noqa: E402
+from cyclelens.streaming import state  # noqa: E402
 from cyclelens.streaming.rollups import ROLLUPS, read_rejects, read_rollup, start_rollups  # noqa: E402
 
 
@@ -138,8 +142,27 @@ def _document(spark: SparkSession, sf_dir: str) -> DataFrame:
     return documents.select("id", "timestamp", usertags.tag_text(text).alias("tags"))
 
 
-def _users_by_tag(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return usertags.users_by_tag(_user_tags(spark, sf_dir), ["LNiphone", "LS蓝牙", "BSd3"])
+_indexes: dict[tuple[str, str], str] = {}
+
+
+def _tag_index(spark: SparkSession, sf_dir: str) -> str:
+    """Folder of the stored posting lists and numbers. A session builds them once; searches
+    read them and not the rides."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _indexes:
+        folder = work_folder(spark, "tag-index")
+        tags = written(_user_tags(spark, sf_dir), "user-tags")
+        numbers = bitmaps.numbered(tags.select("userid"))
+        tables.write_numbers(numbers, f"{folder}/numbers")
+        tables.write_postings(tagindex.postings(tags, numbers), f"{folder}/postings")
+        _indexes[key] = folder
+    return _indexes[key]
+
+
+def _users_by_tag(spark: SparkSession, sf_dir: str, match: str = "all") -> DataFrame:
+    folder = _tag_index(spark, sf_dir)
+    index, numbers = (spark.read.parquet(f"{folder}/{part}") for part in ("postings", "numbers"))
+    return tagindex.users_by_tag(index, numbers, ["LNiphone", "LS蓝牙", "BSd3"], match)
 
 
 def _decayed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -148,6 +171,88 @@ def _decayed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return weights.withColumn("weight", F.round("weight", 6))
 
 
+def _forward_decay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two stores with landmarks of their own, merged, then asked for the same day."""
+    daily = written(_user_tags(spark, sf_dir, _DAILY), "daily-tags")
+    middle = "2024-01-15"
+    parts = [
+        written(decay.forward_weights(daily.where(days), landmark, _HALF_LIFE_DAYS), "tag-weights")
+        for days, landmark in ((F.col("date") < middle, "2023-12-01"), (F.col("date") >= middle, middle))
+    ]
+    store = decay.merged(parts, middle, _HALF_LIFE_DAYS)
+    weights = decay.weights_at(store, _AS_OF, _HALF_LIFE_DAYS)
+    return weights.withColumn("weight", F.round("weight", 6))
+
+
+def _standing_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three parts of the month merged in any order, one of them twice: first with half of
+    its rides, then with all."""
+    rides, words = fixtures.load(spark, sf_dir, "unlock"), _stored_dictionary(spark, sf_dir)
+    rides = written(rides.withColumn("part", F.expr("cast(right(date, 2) as int) div 10")), "rides")
+    standing = StandingTags(spark, work_folder(spark, "standing"), buckets=8)
+    half = F.pmod(F.xxhash64("sessionid"), F.lit(2)) == 0
+    for part, chosen in ((2, F.lit(True)), (0, half), (1, F.lit(True)), (0, F.lit(True))):
+        of_part = rides.where((F.col("part") == part) & chosen).drop("part")
+        standing.merge(f"part{part}", usertags.user_tags(of_part, words))
+    return standing.tags()
+
+
+def _stored_districts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """District tags of rides from rides and dictionary in buckets, joined where they lie."""
+    rides = fixtures.load(spark, sf_dir, "unlock").select("sessionid", "userid", "latitude", "longitude")
+    folder, buckets = work_folder(spark, "districts"), 8
+    usertags.write_cells(rides, f"{folder}/cells", buckets)
+    usertags.write_districts(_dictionary(spark, sf_dir), f"{folder}/words", buckets)
+    placed = usertags.with_stored_districts(spark, f"{folder}/cells", f"{folder}/words", rides.schema, buckets)
+    tags = F.array_join(F.array_sort(business_tags(F.col("business"))), ",")
+    return placed.select("sessionid", "userid", tags.alias("tags"))
+
+
+def _detail_of_users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored detail of some users, looked up by key."""
+    folder = work_folder(spark, "detail")
+    tables.write_detail(_detail(spark, sf_dir), folder)
+    return tables.detail_of(spark, folder, ["1", "7", "25", "nobody"])
+
+
+def _user_bitmaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Users by date, province and city as stored bitmaps, written in two runs."""
+    rides = fixtures.load(spark, sf_dir, "unlock").select(*G3, "userid")
+    numbers, folder = bitmaps.numbered(rides.select("userid")), work_folder(spark, "user-bitmaps")
+    sets = bitmaps.bitmaps(bitmaps.with_number(rides, "userid", numbers), G3, "userid")
+    for days in (F.col("date") < _MIDDLE, F.col("date") >= _MIDDLE):
+        tables.write_bitmaps(sets.where(days), folder)
+    schema = "province string, city string, bucket bigint, bits binary, date string"
+    return spark.read.schema(schema).parquet(folder)
+
+
+_MIDDLE = "2024-01-15"
+_CITY = ("province", "city")
+
+
+def _month_users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Different users of the whole month, merged from the days' bitmaps."""
+    return bitmaps.counted(bitmaps.any_of(_user_bitmaps(spark, sf_dir), _CITY), _CITY, "usersum")
+
+
+def _returning_users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Users of both halves of the month."""
+    half = F.col("date") < _MIDDLE
+    halves = bitmaps.any_of(_user_bitmaps(spark, sf_dir).withColumn("half", half), (*_CITY, "half"))
+    return bitmaps.counted(bitmaps.all_of(halves, _CITY, 2), _CITY, "usersum").where("usersum > 0")
+
+
+def _all_ride_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten ride reports from one scan, as one table: `report`, keys, `dims`, `value`."""
+    rides = numbered_log(fixtures.load(spark, sf_dir, "unlock"), ("userid", "bikeid"))
+    shown = []
+    for spec, rows in all_reports(rides, "unlock").items():
+        dims = F.concat_ws("|", *[F.col(d).cast("string") for d in spec.dims])
+        value = F.col(spec.metrics[0].name).cast("double").alias("value")
+        shown.append(rows.select(F.lit(spec.name).alias("report"), *G3, dims.alias("dims"), value))
+    return reduce(DataFrame.unionByName, shown)
+
+
 def _suite(log: str, spark: SparkSession, sf_dir: str) -> DataFrame:
     shared = [s for s in reports_of(log) if s.additive]
     return report_suite(fixtures.load(spark, sf_dir, log), shared)
@@ -172,6 +277,23 @@ def _live(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_rollup(spark, name, _streamed(lines, name, log))
 
 
+def _live_state(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The running totals of a rollup from the state store."""
+    lines = fixtures.raw_lines(fixtures.load(spark, sf_dir, ROLLUPS[name].log))
+    folder, before = work_folder(spark, name), {}
+    lines.select("value").repartition(2).write.text(f"{folder}/in")
+    for key, value in state.state_settings().items():
+        before[key] = spark.conf.get(key, None)
+        spark.conf.set(key, value)
+    try:
+        stream = stream_lines(spark, f"{folder}/in", 1)
+        state.start_state_rollup(stream, name, f"{folder}/state", available_now=True).awaitTermination()
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+    return state.read_state_rollup(spark, name, f"{folder}/state")
+
+
 def _live_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = fixtures.damaged_lines(fixtures.load(spark, sf_dir, "unlock"))
     rejects = read_rejects(spark, _streamed(lines, "live-rejects", "unlock"))
@@ -200,9 +322,18 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "user_tag_detail": _detail,
         "user_tag_document": _document,
         "users_by_tag": _users_by_tag,
+        "users_by_any_tag": partial(_users_by_tag, match="any"),
         "tag_decay": _decayed,
+        "tag_decay_forward": _forward_decay,
+        "user_tags_standing": _standing_tags,
+        "tags_business_stored": _stored_districts,
+        "user_tag_detail_of": _detail_of_users,
+        "month_peo_bike": _month_users,
+        "returning_peo_bike": _returning_users,
+        "all_ride_reports": _all_ride_reports,
         **{f"report_suite_{log}": partial(_suite, log) for log in ("unlock", "order", "recharge", "repair")},
         **{name: partial(_live, name) for name in ROLLUPS},
+        **{f"{name}_state": partial(_live_state, name) for name in ("live_ride_hour", "live_recharge_source")},
         "live_rejects": _live_rejects,
         **(_LLM.queries() if _LLM else {}),
     }

@@ -13,11 +13,11 @@ BROADCAST_BYTES = 64 << 20
 
 
 def text_bytes(df: DataFrame) -> int:
-    """Bytes of text in an all-string table, plus a fixed cost per row. One number
+    """Bytes of text in a table of texts and numbers, plus a fixed cost per row. One number
     reaches the driver."""
     per_row = F.lit(64)
     for name in df.columns:
-        per_row = per_row + F.coalesce(F.octet_length(name), F.lit(0))
+        per_row = per_row + F.coalesce(F.octet_length(F.col(name).cast("string")), F.lit(0))
     return df.agg(F.coalesce(F.sum(per_row.cast("bigint")), F.lit(0))).first()[0]
 
 

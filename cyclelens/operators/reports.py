@@ -1,8 +1,11 @@
 """Grouped reports declared as data.
 
 A report counts or sums one log by date, province and city plus its own dimensions.
-`report` is the plain aggregation. `report_suite` computes many count/sum reports of a
-log from a single scan by grouping sets.
+`report` is the plain aggregation. `report_suite` computes many reports of a log from a
+single scan by grouping sets. Distinct counts take part if their values are numbered
+(`bitmaps.with_number`): 64 numbers form a word, the word is one more grouping key, and the
+numbers seen are the bits of one long, which tasks merge by OR before the shuffle. (A 4 KB
+bitmap in every group of every report would be the larger buffer by far.)
 """
 
 from __future__ import annotations
@@ -52,6 +55,11 @@ class ReportSpec:
     def additive(self) -> bool:
         return all(m.kind != "distinct" for m in self.metrics)
 
+    @property
+    def counted_values(self) -> tuple[str, ...]:
+        """Columns whose distinct values this report counts."""
+        return tuple(m.column for m in self.metrics if m.kind == "distinct")
+
     def inputs(self, df: DataFrame) -> set[str]:
         """Columns of the log that this report reads."""
         read = {c for c in self.keys if c != "hour"}
@@ -96,21 +104,30 @@ def report(df: DataFrame, spec: ReportSpec, epoch_unit: str = "ms") -> DataFrame
 
 
 def report_suite(df: DataFrame, specs: list[ReportSpec], epoch_unit: str = "ms") -> DataFrame:
-    """All count/sum reports of one log from one scan and one shuffle.
-
-    Returns (report, every key, `n`, one sum per measure): one row per group of every
-    report. A report's filter column joins its grouping set and is filtered afterwards,
-    so filtered and unfiltered reports share the scan. Slice a report off with
-    `report_from_suite`. Partial aggregation keeps the shuffle at one row per group and
-    map task, however large a single group is.
+    """Many reports of one log from one scan and one shuffle.
+
+    Returns every key, `set_id`, `n`, one sum per measure and, where distinct values are
+    counted, `<column>_word` and `<column>_bits`: one row per group of every report. A
+    report's filter column joins its grouping set and is filtered afterwards, so filtered
+    and unfiltered reports share the scan. Slice a report off with `report_from_suite`.
+    Partial aggregation keeps the shuffle at one row per group and map task, however large
+    a single group is. Reports with distinct counts need the column `<column>_no`.
     """
     logs = {s.log for s in specs}
-    if len(logs) != 1 or not all(s.additive for s in specs):
-        raise ValueError("a suite takes count/sum reports of a single log")
+    if len(logs) != 1:
+        raise ValueError("a suite takes reports of a single log")
+    counted = sorted({c for s in specs for c in s.counted_values})
+    plain = [f"{c}_no" for c in counted if f"{c}_no" not in df.columns]
+    if plain:
+        raise ValueError(f"distinct counts in a suite need numbered values: {', '.join(plain)}")
     for spec in specs:
         _check(df, spec)
     if any("hour" in s.dims for s in specs):
         df = _with_hour(df, specs[0].log, epoch_unit)
+    for column in counted:
+        number = F.col(f"{column}_no")
+        bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), (number % 64).cast("int"))
+        df = df.withColumns({f"{column}_word": F.call_function("div", number, F.lit(64)), f"{column}_bit": bit})
 
     sets = {s.name: _suite_keys(s) for s in specs}
     keys = list(dict.fromkeys(k for ks in sets.values() for k in ks))
@@ -122,6 +139,7 @@ def report_suite(df: DataFrame, specs: list[ReportSpec], epoch_unit: str = "ms")
         F.grouping_id().alias("set_id"),
         F.count(F.lit(1)).alias("n"),
         *[F.sum(m).alias(f"sum_{m}") for m in measures],
+        *[F.bit_or(f"{c}_bit").alias(f"{c}_bits") for c in counted],
     )
 
 
@@ -134,7 +152,7 @@ def set_id(specs: list[ReportSpec], spec: ReportSpec) -> int:
 
 def _suite_keys(spec: ReportSpec) -> tuple[str, ...]:
     extra = (spec.where[0],) if spec.where and spec.where[0] not in spec.keys else ()
-    return (*spec.keys, *extra)
+    return (*spec.keys, *extra, *[f"{c}_word" for c in spec.counted_values])
 
 
 def report_from_suite(suite: DataFrame, specs: list[ReportSpec], spec: ReportSpec) -> DataFrame:
@@ -143,6 +161,10 @@ def report_from_suite(suite: DataFrame, specs: list[ReportSpec], spec: ReportSpe
     if spec.where:
         column, code = spec.where
         rows = rows.where(F.col(column) == code)
+    if not spec.additive:
+        return rows.groupBy(*spec.keys).agg(*[
+            F.coalesce(F.sum(F.bit_count(f"{m.column}_bits").cast("bigint")), F.lit(0)).alias(m.name) for m in spec.metrics
+        ])
     metrics = [
         F.col("n" if m.kind == "count" else f"sum_{m.column}").alias(m.name) for m in spec.metrics
     ]

@@ -7,12 +7,17 @@ multiplied by their tags before the shuffle. District tags come from the diction
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cyclelens.functions.geo import geohash8, in_bounds
 from cyclelens.functions.tags import business_tags, fixed_tag_rules
 from cyclelens.operators.lookup import BROADCAST_BYTES, lookup
+from cyclelens.sinks.buckets import read_bucketed, write_bucketed
+
+CELL_SALTS = 8
+_CELL = ("geohash8", "salt")
 
 
 def named_users(rides: DataFrame) -> DataFrame:
@@ -38,6 +43,38 @@ def with_districts(
     ).drop("geohash8")
 
 
+def write_cells(rides: DataFrame, path: str, buckets: int, salts: int = CELL_SALTS) -> None:
+    """Rides with their cell under `path`, in buckets by cell, for `with_stored_districts`.
+
+    A busy cell is dealt to `salts` buckets. Rides without a cell, which find no district,
+    lie apart and are not dealt at all."""
+    placed = rides.withColumn("geohash8", ride_cell())
+    salt = F.pmod(F.xxhash64("sessionid"), F.lit(salts)).cast("int")
+    dealt = placed.where(F.col("geohash8").isNotNull()).withColumn("salt", salt)
+    write_bucketed(dealt, f"{path}/placed", _CELL, buckets)
+    placed.where(F.col("geohash8").isNull()).write.parquet(f"{path}/unplaced")
+
+
+def write_districts(dictionary: DataFrame, path: str, buckets: int, salts: int = CELL_SALTS) -> None:
+    """The dictionary under `path`, in the same buckets: an entry for each salt."""
+    salt = F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt")
+    write_bucketed(dictionary.select("geohash8", "business", salt), path, _CELL, buckets)
+
+
+def with_stored_districts(
+    spark: SparkSession, cells: str, districts: str, ride_schema: T.StructType, buckets: int
+) -> DataFrame:
+    """As `with_districts`, from the tables that `write_cells` and `write_districts` stored:
+    a join of any size without an exchange."""
+    key = [T.StructField("geohash8", T.StringType()), T.StructField("salt", T.IntegerType())]
+    placed = read_bucketed(spark, f"{cells}/placed", T.StructType([*ride_schema.fields, *key]), _CELL, buckets)
+    words = T.StructType([T.StructField("geohash8", T.StringType()), T.StructField("business", T.StringType()), key[1]])
+    dictionary = read_bucketed(spark, districts, words, _CELL, buckets)
+    found = placed.join(dictionary.hint("merge"), list(_CELL), "left").select(*ride_schema.names, "business")
+    unplaced = spark.read.schema(ride_schema).parquet(f"{cells}/unplaced")
+    return found.unionByName(unplaced.withColumn("business", F.lit(None).cast("string")))
+
+
 def _fixed_counters(rides: DataFrame, keys: tuple[str, ...]) -> DataFrame:
     """One counter column per tag of the closed vocabulary, and one row per key."""
     return named_users(rides).groupBy(*keys).agg(

@@ -94,6 +94,27 @@ def _suites() -> dict[str, str]:
     return sql
 
 
+def _distinct_users() -> dict[str, str]:
+    """Users of more than one day, and all ride reports as one table."""
+    ten = []
+    for spec in reports_of("unlock"):
+        dims = [_hour("btimestamp") if d == "hour" else f'cast("{d}" as varchar)' for d in spec.dims]
+        shown = f"concat_ws('|', {', '.join(dims)})" if dims else "''"
+        metric = spec.metrics[0]
+        value = {"count": "count(*)", "distinct": f"count(distinct {metric.column})", "sum": f"sum({metric.column})"}[metric.kind]
+        ten.append(f"select '{spec.name}' as report, {_G3}, {shown} as dims, cast({value} as double) as value "
+                   f"from unlock_log group by {_G3}, {shown}")
+    return {
+        "all_ride_reports": _with("unlock", " union all ".join(ten)),
+        "month_peo_bike": _with("unlock", """select province, city, count(distinct userid) as usersum
+            from unlock_log group by province, city"""),
+        "returning_peo_bike": _with("unlock", """select province, city, count(*) as usersum from (
+            select province, city, userid from unlock_log where date < '2024-01-15'
+            intersect select province, city, userid from unlock_log where date >= '2024-01-15')
+            group by province, city"""),
+    }
+
+
 def _live() -> dict[str, str]:
     """Live rollups as the batch form of the same grouping."""
     hours = "sum(etimestamp - btimestamp) / 3600000.0"
@@ -223,6 +244,15 @@ def _tags() -> dict[str, str]:
         "users_by_tag": _geo("unlock replies", _ALL_TAGS,
             """select userid from all_tags where tag in ('LNiphone', 'LS蓝牙', 'BSd3')
             group by userid having count(distinct tag) = 3"""),
+        "users_by_any_tag": _geo("unlock replies", _ALL_TAGS,
+            "select distinct userid from all_tags where tag in ('LNiphone', 'LS蓝牙', 'BSd3')"),
+        "user_tag_detail_of": _geo("unlock replies", _ALL_TAGS,
+            """select userid, date as day,
+                string_agg(concat(tag, ':', cast(cnt as varchar)), ',' order by tag) as tags
+            from (select userid, date, tag, count(*) as cnt from all_tags
+                where userid in ('1', '7', '25', 'nobody') group by userid, date, tag)
+            group by userid, date"""),
+        "user_tags_standing": _geo("unlock replies", _ALL_TAGS, _PER_USER),
         "tag_decay": _geo("unlock replies", _ALL_TAGS,
             """select userid, tag, round(sum(pow(0.5,
                 (date '2024-02-01' - cast(date as date)) / 7.0)), 6) as weight
@@ -278,5 +308,8 @@ def _washing() -> dict[str, str]:
 
 def all_sql() -> dict[str, str]:
     tags = _tags()
-    tags["tags_business_shuffled"] = tags["tags_business"]
-    return {**_reports(), **_suites(), **_washing(), **_geography(), **tags, **_live()}
+    tags["tags_business_shuffled"] = tags["tags_business_stored"] = tags["tags_business"]
+    tags["tag_decay_forward"] = tags["tag_decay"]
+    live = _live()
+    live |= {f"{name}_state": live[name] for name in ("live_ride_hour", "live_recharge_source")}
+    return {**_reports(), **_suites(), **_distinct_users(), **_washing(), **_geography(), **tags, **live}

@@ -8,9 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from cyclelens.operators import geodict, usertags
-from cyclelens.operators.reports import ReportSpec, report, report_from_suite, report_suite
+from cyclelens.operators import bitmaps, geodict, tagindex, usertags
+from cyclelens.operators.reports import G3, ReportSpec, report, report_from_suite, report_suite
 from cyclelens.plans.catalog import reports_of
+from cyclelens.plans.standing import StandingTags
 from cyclelens.session import scratch, written
 from cyclelens.sinks import tables
 from cyclelens.sources.kafka import kafka_lines
@@ -20,20 +21,31 @@ from cyclelens.streaming.rollups import start_rollups
 
 def wash_job(
     spark: SparkSession, log: str, source: str, target: str, codec: str = "snappy",
-    salt: str | None = None,
+    salt: str | None = None, by_date: bool = True,
 ) -> None:
-    """Raw text logs to washed Parquet under `<target>/status=good`."""
-    tables.write_washed(read_lines(spark, source), log, target, codec=codec, salt=salt)
+    """Raw text logs to washed Parquet under `<target>/status=good`, by date, so that jobs
+    on some days read these days only."""
+    tables.write_washed(read_lines(spark, source), log, target, codec=codec, salt=salt, by_date=by_date)
+
+
+def numbered_log(df: DataFrame, columns: tuple[str, ...], known: dict[str, DataFrame] | None = None) -> DataFrame:
+    """A log with `<column>_no` for each of `columns`: numbers that `known` holds, and new
+    ones for other values."""
+    for column in columns:
+        numbers = bitmaps.numbered(df.select(column), (known or {}).get(column))
+        df = bitmaps.with_number(df, column, numbers)
+    return df
 
 
 def all_reports(df: DataFrame, log: str, epoch_unit: str = "ms") -> dict[ReportSpec, DataFrame]:
-    """Every report of one log. The count and sum reports share one scan, whose result
-    is stored; distinct counts need the rows themselves and scan two or so columns each."""
+    """Every report of one log. The count and sum reports share one scan, whose result is
+    stored. Distinct counts share it too if their values are numbered (`numbered_log`);
+    otherwise they need the rows themselves and scan two or so columns each."""
     specs = reports_of(log)
-    shared = [s for s in specs if s.additive]
+    shared = [s for s in specs if all(f"{c}_no" in df.columns for c in s.counted_values)]
     suite = written(report_suite(df, shared, epoch_unit), f"suite-{log}", partition_by="set_id")
     return {
-        s: report_from_suite(suite, shared, s) if s.additive else report(df, s, epoch_unit)
+        s: report_from_suite(suite, shared, s) if s in shared else report(df, s, epoch_unit)
         for s in specs
     }
 
@@ -67,20 +79,45 @@ def completion_job(
     tables.write_dictionary(geodict.completed_dictionary(points, known, replies), target)
 
 
+def rides_of(spark: SparkSession, source: str, day: str) -> DataFrame:
+    """One day's rides of a washed log; of a log by date, only this day's folder is read."""
+    return read_log(spark, source, "unlock").where(F.col("date") == day)
+
+
 def detail_job(spark: SparkSession, source: str, dictionary: DataFrame, target: str, day: str) -> None:
     """Tag detail of one day's rides."""
-    rides = read_log(spark, source, "unlock").where(F.col("date") == day)
-    lists = usertags.tag_lists(rides, dictionary, ("userid", "date"))
+    lists = usertags.tag_lists(rides_of(spark, source, day), dictionary, ("userid", "date"))
     tables.write_detail(usertags.tag_detail(lists, day), target)
 
 
+def standing_job(spark: SparkSession, source: str, dictionary: DataFrame, target: str, day: str) -> None:
+    """Merge one day's rides into the standing tags under `target`; again, if need be."""
+    tags = usertags.user_tags(rides_of(spark, source, day), dictionary)
+    standing = StandingTags(spark, target)
+    standing.merge(day, tags)
+
+
+def bitmap_job(
+    spark: SparkSession, log: str, source: str, target: str, column: str, numbers: DataFrame, day: str | None = None
+) -> None:
+    """The distinct values of a column by date, province and city as stored bitmaps, of one
+    day or of all. `numbers` must hold every value."""
+    rows = read_log(spark, source, log)
+    rows = rows if day is None else rows.where(F.col("date") == day)
+    sets = bitmaps.bitmaps(bitmaps.with_number(rows, column, numbers), G3, column)
+    tables.write_bitmaps(sets, target)
+
+
 def tag_search_job(
     spark: SparkSession, source: str, dictionary: DataFrame, target: str, now_ms: int
 ) -> None:
-    """Tag index and search documents of all rides, under `<target>`."""
+    """Tag index, posting lists and search documents of all rides, under `<target>`."""
     with scratch(spark):
         tags = written(usertags.user_tags(read_log(spark, source, "unlock"), dictionary), "user-tags")
         tables.write_tag_index(tags, f"{target}/index")
+        numbers = bitmaps.numbered(tags.select("userid"))
+        tables.write_numbers(numbers, f"{target}/numbers")
+        tables.write_postings(tagindex.postings(tags, numbers), f"{target}/postings")
         tables.write_documents(usertags.tag_document(tags, now_ms), f"{target}/documents")
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cyclelens.operators.wash import REASON, mask, parse_lines
@@ -32,12 +32,16 @@ def write_washed(
     codec: str = "snappy",
     mode: str = "errorifexists",
     salt: str | None = None,
+    by_date: bool = False,
 ) -> None:
     """Wash raw lines into `<path>/status=good` and `<path>/status=rejected` in one pass.
 
     Good rows have the log's columns and a null `value`; rejects keep the raw line there,
-    their reason, and what else `raw` tells about them (an offset, a file name). With a `salt` the columns are masked. Raw lines are not: guard the
-    rejects like the raw logs."""
+    their reason, and what else `raw` tells about them (an offset, a file name). With a
+    `salt` the columns are masked. Raw lines are not: guard the rejects like the raw logs.
+
+    `by_date` partitions both by date as well, and rebalances the rows for it: a small date
+    gets one file, a large one is split."""
     bad = F.col(REASON).isNotNull()
     lines = parse_lines(raw, log)
     if salt is not None:
@@ -49,14 +53,17 @@ def write_washed(
         REASON,
         F.when(bad, "rejected").otherwise("good").alias("status"),
     )
+    parts = ["status", "date"] if by_date else ["status"]
+    if by_date:
+        rows = rows.hint("rebalance", *parts)
     writer = rows.write.mode(mode).option("compression", codec).option("partitionOverwriteMode", "static")
-    writer.partitionBy("status").parquet(path)
+    writer.partitionBy(*parts).parquet(path)
 
 
-def _replace_days(df: DataFrame, path: str, day: str) -> None:
+def _replace_days(df: DataFrame, path: str, day: str, **options: str) -> None:
     (
-        df.hint("rebalance", day)
-        .write.mode("overwrite")
+        df.write.mode("overwrite")
+        .options(**options)
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(day)
         .parquet(path)
@@ -65,12 +72,36 @@ def _replace_days(df: DataFrame, path: str, day: str) -> None:
 
 def write_report(df: DataFrame, path: str) -> None:
     """A report, partitioned by date. Dates not in `df` stay as they are."""
-    _replace_days(df, path, "date")
+    _replace_days(df.hint("rebalance", "date"), path, "date")
+
+
+def write_bitmaps(sets: DataFrame, path: str) -> None:
+    """Bitmaps (date, …, bucket, bits), partitioned by date. Other dates stay."""
+    _replace_days(sets.hint("rebalance", "date"), path, "date", compression="zstd")
+
+
+# Rows of a row group of the tag detail, about: small ones, so that few rows are read for
+# a user.
+_DETAIL_GROUP_BYTES = 4 << 20
+
 
+def write_detail(detail: DataFrame, path: str, group_bytes: int = _DETAIL_GROUP_BYTES) -> None:
+    """Tag detail rows (userid, day, tags), partitioned by day. Other days stay.
 
-def write_detail(detail: DataFrame, path: str) -> None:
-    """Tag detail rows (userid, day, tags), partitioned by day. Other days stay."""
-    _replace_days(detail, path, "day")
+    Within a day files hold ranges of users, sorted, in small row groups with a Bloom filter
+    of their users. So the rows of a user are found from the files' statistics, and a user
+    who has none on a day is mostly found missing without reading."""
+    ordered = detail.repartitionByRange("day", "userid").sortWithinPartitions("day", "userid")
+    bloom = {"parquet.bloom.filter.enabled#userid": "true", "parquet.bloom.filter.adaptive.enabled#userid": "true"}
+    _replace_days(ordered, path, "day", **bloom, **{"parquet.block.size": str(group_bytes)})
+
+
+def detail_of(spark: SparkSession, path: str, users: list[str], days: list[str] | None = None) -> DataFrame:
+    """The stored detail (userid, day, tags) of some users, on some days or on all."""
+    stored = spark.read.schema("userid string, tags string, day string").parquet(path)
+    found = stored.where(F.col("userid").isin(users))
+    found = found if days is None else found.where(F.col("day").isin(days))
+    return found.select("userid", "day", "tags")
 
 
 def write_tag_index(tags: DataFrame, path: str) -> None:
@@ -82,6 +113,19 @@ def write_tag_index(tags: DataFrame, path: str) -> None:
     ordered.write.mode("overwrite").parquet(path)
 
 
+def write_postings(postings: DataFrame, path: str) -> None:
+    """Posting lists (tag, bucket, bits), laid out for search by tag as the tag index is."""
+    ordered = postings.repartitionByRange("tag", "bucket").sortWithinPartitions("tag", "bucket")
+    ordered.write.mode("overwrite").option("compression", "zstd").parquet(path)
+
+
+def write_numbers(numbers: DataFrame, path: str) -> None:
+    """Numbers of users (value, number), laid out for looking names up by number. Do not
+    overwrite the path they are read from."""
+    ordered = numbers.repartitionByRange("number").sortWithinPartitions("number")
+    ordered.write.mode("overwrite").parquet(path)
+
+
 def write_documents(documents: DataFrame, path: str) -> None:
     """Search documents (id, timestamp, tags)."""
     documents.write.mode("overwrite").parquet(path)
