@@ -25,13 +25,14 @@ def one_object(value: Column, schema: T.StructType) -> Column:
 
     Read as an array, a line with a second object or trailing text is malformed or has
     two elements. Only what follows a bracket that closes this array early goes unseen, so
-    lines with such a bracket are also read as the field of an object."""
+    lines with such a bracket are also read as the field of an object. Most lines have no
+    bracket at all, which is the cheapest test and comes first."""
     parsed = F.from_json(F.concat(F.lit("["), value, F.lit("]")), T.ArrayType(schema))
     field = T.StructType([T.StructField(n, T.StringType()) for n in ("line", "broken")])
     as_field = F.from_json(
         F.concat(F.lit('{"line":'), value, F.lit("}")), field, {"columnNameOfCorruptRecord": "broken"}
     )
-    unclear = value.rlike(r"\}\s*\]")
+    unclear = F.contains(value, F.lit("]")) & value.rlike(r"\}\s*\]")
     whole = F.startswith(F.trim(value), F.lit("{")) & (~unclear | as_field["broken"].isNull())
     return F.transform(F.array(parsed), lambda p: F.when(whole & (F.size(p) == 1), F.get(p, F.lit(0))))
 

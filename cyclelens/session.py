@@ -98,3 +98,19 @@ def written(df: DataFrame, label: str, partition_by: str | None = None) -> DataF
     writer = df.write.partitionBy(partition_by) if partition_by else df.write
     writer.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
+
+
+class Rounds:
+    """A table that is written anew round by round. Only the newest one is kept."""
+
+    def __init__(self, spark: SparkSession, label: str) -> None:
+        self.spark, self.label, self.folder = spark, label, None
+
+    def put(self, df: DataFrame) -> DataFrame:
+        """`df` written and read back. The table before it, which `df` may read, goes then."""
+        path = work_folder(self.spark, self.label)
+        df.write.parquet(path)
+        if self.folder is not None:
+            delete_folder(self.spark, self.folder)
+        self.folder = path
+        return self.spark.read.schema(df.schema).parquet(path).select(*df.columns)

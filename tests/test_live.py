@@ -155,6 +155,38 @@ def test_idle_keys_expire_and_start_anew(spark, tmp_path):
     assert read_partials(spark, "unlock", out).where("batch_id <= 2").isEmpty()
 
 
+def test_packing_the_same_batches_again_loses_nothing(spark, tmp_path):
+    folder, out = str(tmp_path), f"{tmp_path}/out"
+    for _ in range(3):
+        send(spark, folder, ride())
+        run(spark, "unlock", folder)
+    want = rows(read_rollup(spark, "live_ride_total", out, NOW))
+    pack(spark, "unlock", out, 1, NOW)
+    drop_packed(spark, out)  # what was packed is now in the packed table only
+    os.makedirs(f"{out}/packed/upto=1.1")  # a second pack that failed half way
+    assert packed_upto(spark, out) == 1
+    assert rows(read_rollup(spark, "live_ride_total", out, NOW)) == want
+    pack(spark, "unlock", out, 1, NOW)
+    assert sorted(os.listdir(f"{out}/packed")) == ["upto=1", "upto=1.1", "upto=1.2"]
+    assert rows(read_rollup(spark, "live_ride_total", out, NOW)) == want
+    drop_packed(spark, out)
+    assert os.listdir(f"{out}/packed") == ["upto=1.2"]
+    pack(spark, "unlock", out, 0, NOW)  # older than what is packed
+    assert os.listdir(f"{out}/packed") == ["upto=1.2"]
+    assert rows(read_rollup(spark, "live_ride_total", out, NOW)) == want
+
+
+def test_rejects_outlive_packing(spark, tmp_path):
+    folder, out = str(tmp_path), f"{tmp_path}/out"
+    for _ in range(2):
+        send(spark, folder, ride(), "{bad", "{bad")
+        run(spark, "unlock", folder)
+    pack(spark, "unlock", out, 1, NOW)
+    drop_packed(spark, out)
+    assert rows(read_rejects(spark, out)) == [("{bad", "malformed", 0)] * 2 + [("{bad", "malformed", 1)] * 2
+    assert rows(read_rollup(spark, "live_ride_total", out, NOW)) == [("2024-01-01", 2, 200.0, 1.0)]
+
+
 def test_money_rollups(spark, tmp_path):
     folder = str(tmp_path)
     line = '{"province":"p","city":"c","timestamp":1704067200000,"rechargetype":%s,"rechargesource":%s,"amount":%s}'
