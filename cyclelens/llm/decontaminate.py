@@ -1,11 +1,14 @@
 """Benchmark decontamination by a broadcast set of test n-grams.
 
-Every run of 13 words of a test item (the whole item if it is shorter) is a window. The
-windows' hashes are broadcast; each text is tokenised and hashed with numpy, hashes that
-hit are looked up by their words, and the words inside a confirmed window are marked.
-There is no shuffle: the scan is one narrow stage over the documents.
-
-The test set is measured before it is broadcast. Beyond `BLOCK_BYTES` it is dealt into
+Every run of 13 words of a test item (the whole item if it is shorter) is a window. Tasks
+hash the windows of the items; the driver sorts the hashes and broadcasts them, eight bytes
+each, with the places of their words in the items' text. Each document is tokenised and
+hashed with numpy, hashes that hit are verified by their words, and the words inside a
+confirmed window are marked. There is no shuffle: the scan is one narrow stage over the
+documents.
+
+The test set is measured before it is broadcast: its text is what `block_bytes` bounds, and
+a block is about five times as large as its text when built. Beyond that it is dealt into
 blocks by item, and each block is one further pass over all documents whose result is
 written before the next pass starts, so a worker holds one block at a time.
 
@@ -19,7 +22,7 @@ name do no harm.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -27,52 +30,39 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cyclelens.llm.batches import id_and_text, output_schema, text_groups
+from cyclelens.llm.hashing import SpanHasher, powers
 from cyclelens.session import written
 
 NGRAM = 13
-BLOCK_BYTES = 32 << 20  # of item text in one broadcast block
+BLOCK_BYTES = 16 << 20  # of item text in one broadcast block
 
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 _IS_WORD = np.zeros(256, dtype=bool)
 _IS_WORD[np.r_[48:58, 97:123, 128:256]] = True
-_BYTE_MIX = np.random.default_rng(13).integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BASE, _STEP = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
-_BASE_INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
 _SIEVE_BITS = 20
 
 _HITS = "n_words long, spans array<struct<start:long,end:long>>, items array<string>"
 
 
-def _powers(base: np.uint64, n: int) -> np.ndarray:
-    out = np.full(n + 1, base, dtype=np.uint64)
-    out[0] = 1
-    return np.multiply.accumulate(out)
-
-
 class _Hasher:
-    """Word bounds and hashes of a byte string; keeps its tables of powers."""
+    """Word bounds and hashes of a lower-cased byte string."""
 
     def __init__(self) -> None:
-        self.up = self.down = np.ones(1, dtype=np.uint64)
+        self.spans = SpanHasher()
 
     def words(self, text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         codes = np.frombuffer(text, dtype=np.uint8)
         inside = np.concatenate(([False], _IS_WORD[codes], [False]))
         edges = np.flatnonzero(inside[1:] != inside[:-1])
         starts, ends = edges[0::2], edges[1::2]
-        if len(codes) >= len(self.up):
-            self.up, self.down = _powers(_BASE, len(codes)), _powers(_BASE_INVERSE, len(codes))
-        sums = np.zeros(len(codes) + 1, dtype=np.uint64)
-        np.cumsum(_BYTE_MIX[codes] * self.up[: len(codes)], out=sums[1:])
-        hashes = (sums[ends] - sums[starts]) * self.down[starts]
-        hashes ^= hashes >> np.uint64(31)
-        return starts, ends, hashes * _STEP
+        return starts, ends, self.spans.hashes(codes, starts, ends)
 
 
 def _window_hashes(words: np.ndarray, lengths: set[int]) -> Iterator[tuple[int, np.ndarray]]:
     """(length, hash of the window that starts at each word) for each wanted length."""
     longest = max(lengths, default=0)
-    factor = _powers(_STEP, longest)
+    factor = powers(_STEP, longest)
     total = np.zeros(len(words), dtype=np.uint64)
     for k in range(min(longest, len(words))):
         total = total[: len(words) - k] + words[k:] * factor[k]
@@ -81,30 +71,82 @@ def _window_hashes(words: np.ndarray, lengths: set[int]) -> Iterator[tuple[int,
             yield k + 1, mixed * _BASE
 
 
+@dataclass
+class Windows:
+    """The windows of one length: sorted hashes, and for each the place of its words in the
+    items' text and its item."""
+
+    hashes: np.ndarray
+    starts: np.ndarray
+    ends: np.ndarray
+    items: np.ndarray
+    sieve: np.ndarray
+
+
 @dataclass
 class WindowSet:
-    """The windows of some test items: words of a window -> item ids, and their hashes."""
-
-    ngram: int
-    items_of: dict[bytes, set[str]] = field(default_factory=dict)
-    lengths: set[int] = field(default_factory=set)
-    sieve: np.ndarray | None = None
-
-    def add(self, item: str, text: bytes, hasher: _Hasher) -> None:
-        text = text.translate(_LOWER)
-        starts, ends, _ = hasher.words(text)
-        words = [text[a:b] for a, b in zip(starts, ends)]
-        length = min(self.ngram, len(words))
-        for i in range(len(words) - length + 1 if words else 0):
-            self.items_of.setdefault(b" ".join(words[i : i + length]), set()).add(item)
-            self.lengths.add(length)
-
-    def seal(self, hasher: _Hasher) -> None:
-        self.sieve = np.zeros(1 << _SIEVE_BITS, dtype=bool)
-        for window in self.items_of:
-            words = hasher.words(window)[2]
-            for length, hashes in _window_hashes(words, {len(words)}):
-                self.sieve[hashes >> np.uint64(64 - _SIEVE_BITS)] = True
+    """The windows of some test items. `text` holds the items' words, joined by a space."""
+
+    items: list[str]
+    text: bytes
+    by_length: dict[int, Windows]
+
+    def found(self, length: int, value: int, words: bytes) -> list[str]:
+        """Items with this window, judged by its words."""
+        windows = self.by_length[length]
+        low, high = (int(np.searchsorted(windows.hashes, np.uint64(value), side)) for side in ("left", "right"))
+        return [
+            self.items[windows.items[i]] for i in range(low, high)
+            if self.text[windows.starts[i] : windows.ends[i]] == words
+        ]
+
+
+_ITEM = "item string, words binary, length int, hashes binary, starts binary, ends binary"
+
+
+def _item_windows(ngram: int):
+    """One row for each item: its words joined by a space, and its windows as arrays."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher = _Hasher()
+        for rows, texts in text_groups(batches):
+            for item, text in zip(rows.column("item").to_pylist(), texts):
+                lower = text.translate(_LOWER)
+                starts, ends, _ = hasher.words(lower)
+                joined = b" ".join([lower[a:b] for a, b in zip(starts.tolist(), ends.tolist())])
+                starts, ends, hashes = hasher.words(joined)
+                length = min(ngram, len(starts))
+                if length:
+                    (_, sums), = _window_hashes(hashes, {length})
+                    yield pa.RecordBatch.from_pydict({
+                        "item": pa.array([item]), "words": pa.array([joined], pa.binary()),
+                        "length": pa.array([length], pa.int32()), "hashes": pa.array([sums.tobytes()], pa.binary()),
+                        "starts": pa.array([starts[: len(sums)].astype(np.int64).tobytes()], pa.binary()),
+                        "ends": pa.array([ends[length - 1 :].astype(np.int64).tobytes()], pa.binary()),
+                    })
+
+    return cut
+
+
+def _window_set(items: DataFrame, ngram: int, block: int, blocks: int) -> WindowSet:
+    """The windows of the items of one block."""
+    part = items if blocks == 1 else items.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == block)
+    rows = part.mapInArrow(_item_windows(ngram), _ITEM).collect()
+    offsets = np.cumsum([0, *(len(r["words"]) + 1 for r in rows)])
+    by_length = {}
+    for length in {r["length"] for r in rows}:
+        own = [k for k, r in enumerate(rows) if r["length"] == length]
+        hashes = [np.frombuffer(rows[k]["hashes"], np.uint64) for k in own]
+        places = [
+            np.concatenate([np.frombuffer(rows[k][side], np.int64) + offsets[k] for k in own]) for side in ("starts", "ends")
+        ]
+        item = np.repeat(np.array(own), [len(h) for h in hashes])
+        joined = np.concatenate(hashes)
+        order = np.argsort(joined, kind="stable")
+        sieve = np.zeros(1 << _SIEVE_BITS, dtype=bool)
+        sieve[joined >> np.uint64(64 - _SIEVE_BITS)] = True
+        by_length[length] = Windows(joined[order], places[0][order], places[1][order], item[order], sieve)
+    return WindowSet([r["item"] for r in rows], b" ".join(bytes(r["words"]) for r in rows), by_length)
 
 
 def _scan(text: bytes, bounds: np.ndarray, windows: WindowSet, hasher: _Hasher):
@@ -114,12 +156,15 @@ def _scan(text: bytes, bounds: np.ndarray, windows: WindowSet, hasher: _Hasher):
     owner = np.searchsorted(bounds, starts, side="right") - 1
     change = np.zeros(len(starts) + 1, dtype=np.int64)
     found: dict[int, set[str]] = {}
-    for length, sums in _window_hashes(hashes, windows.lengths):
-        likely = windows.sieve[sums >> np.uint64(64 - _SIEVE_BITS)]
+    for length, sums in _window_hashes(hashes, set(windows.by_length)):
+        known = windows.by_length[length]
+        likely = known.sieve[sums >> np.uint64(64 - _SIEVE_BITS)]
         likely &= owner[: len(sums)] == owner[length - 1 :]
-        for i in np.flatnonzero(likely):
-            window = b" ".join([text[a:b] for a, b in zip(starts[i : i + length], ends[i : i + length])])
-            items = windows.items_of.get(window)
+        places = np.flatnonzero(likely)
+        at = np.minimum(np.searchsorted(known.hashes, sums[places]), len(known.hashes) - 1)
+        for i in places[known.hashes[at] == sums[places]].tolist():
+            words = b" ".join([text[a:b] for a, b in zip(starts[i : i + length], ends[i : i + length])])
+            items = windows.found(length, sums[i], words)
             if items:
                 change[i] += 1
                 change[i + length] -= 1
@@ -186,16 +231,6 @@ def _without_spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         yield pa.RecordBatch.from_pydict(kept | {"clean_text": pa.array(clean, pa.binary()).cast(pa.string())})
 
 
-def _window_set(items: DataFrame, ngram: int, block: int, blocks: int) -> WindowSet:
-    """The windows of the items of one block, which the driver gathers row by row."""
-    windows, hasher = WindowSet(ngram), _Hasher()
-    part = items if blocks == 1 else items.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == block)
-    for item, text in part.toLocalIterator():
-        windows.add(item, text.encode(), hasher)
-    windows.seal(hasher)
-    return windows
-
-
 def contamination(
     documents: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     item_col: str = "item_id", item_text_col: str = "text", ngram: int = NGRAM,
