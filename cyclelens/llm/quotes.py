@@ -91,18 +91,18 @@ def conversations(df: DataFrame, id_col: str, order_col: str, text_col: str, sco
     """`conversation` (the id of its first message), `depth` (replies from it), `sent`,
     `msg_id`, `parent`, `text` without quotes and `n_quoted` (quoted lines), in reply order."""
     scope = F.coalesce(F.col(scope_col).cast("string"), F.lit("")) if scope_col else F.lit("")
-    messages = df.select(
+    messages = written(df.select(
         F.col(id_col).alias("msg_id"), F.col(order_col).alias("sent"), scope.alias("scope"),
         lines_of(F.col(text_col).cast("string")).alias("lines"),
-    )
+    ), "quote-texts")
     line = F.col("line")
     lines = messages.where("msg_id is not null and sent is not null").select(
         "msg_id", "sent", "scope", F.explode("lines").alias("line")
     ).select("msg_id", "sent", "scope", line["level"].alias("level"), normalised(line["content"]).alias("plain"))
-    lines = lines.where("plain <> ''").select(
+    lines = written(lines.where("plain <> ''").select(
         "msg_id", "sent", "scope", "level", F.length("plain").cast("long").alias("weight"),
         F.unhex(F.md5("plain")).alias("passage"),
-    )
+    ), "quote-lines")
     links = written(_links(lines), "quote-links")
     placed = links.join(_roots(links), "msg_id")
     clean = messages.select(
