@@ -2,10 +2,12 @@
 
 Each stage takes what its predecessor kept, decides on all of it, and is written as
 Parquet to the shared work folder before the next one reads it, so a lost executor costs
-a part of one stage. All but the last return the columns they were given.
+a part of one stage. All but the last return the columns they were given. Tables of earlier
+stages are removed when the next one is written.
 
 Rows are only dropped by a decision: documents whose language is not known, all but one
-of a group of near copies, and documents that hold benchmark text. Secrets are replaced
+of a group whose fingerprints differ in at most three bits, and documents that hold
+benchmark text. Secrets are replaced
 inside the text. Empty tables pass through as empty ones; nulls are handled as the
 operators say; further columns, of any name, are carried along.
 """
@@ -17,7 +19,7 @@ from pyspark.sql import functions as F
 
 from cyclelens.llm import decontaminate, language_id, pieces, secrets_scan, simhash
 from cyclelens.llm.batches import with_rows
-from cyclelens.session import written
+from cyclelens.session import delete_folder, scratch, work_folder
 
 MIN_LANGUAGE_SCORE = 0.5
 
@@ -78,7 +80,13 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents table."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for number, (_, stage) in enumerate(STAGES):
-        docs = written(stage(spark, docs, sf_dir), f"corpus-{number}")
+        path = work_folder(spark, f"corpus-{number}")
+        with scratch(spark):  # what the stage's operators wrote goes when its result is there
+            kept = stage(spark, docs, sf_dir)
+            kept.write.parquet(path)
+        if before is not None:
+            delete_folder(spark, before)
+        docs, before = spark.read.schema(kept.schema).parquet(path), path
     return docs

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cyclelens.llm.batches import id_and_text, output_schema, text_groups, with_rows
-from cyclelens.session import written
+from cyclelens.session import Rounds, written
 
 SHINGLE = 3
 SEED = 42
@@ -168,13 +168,14 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
 def components(edges: DataFrame) -> DataFrame:
     """`node` and `root` (the smallest node reachable) of every node that has an edge."""
     edges = edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    edges, before = written(edges.distinct(), "simhash-edges"), None
+    rounds = Rounds(edges.sparkSession, "simhash-edges")
+    edges, before = rounds.put(edges.distinct()), None
     while True:
         state = edges.agg(F.count("*"), F.coalesce(F.bit_xor(F.xxhash64("a", "b")), F.lit(0))).first()
         if state == before:
             return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
         before = state
-        edges = written(_star(_star(edges, large=True), large=False), "simhash-stars")
+        edges = rounds.put(_star(_star(edges, large=True), large=False))
 
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
