@@ -11,7 +11,7 @@ places, and neighbouring windows mostly share one. Only the anchors are shuffled
 2. `stretches`: a text sends, for each such anchor, the stretch of text that all its
    windows with this anchor cover, to the task of the anchor. Equal windows of different
    documents meet there. What happens there is the operator's method.
-3. `spans_removed`: the token ranges found are gathered for each document.
+3. `with_spans`: the token ranges found are gathered and joined to each document.
 
 Hot passages (a window in a thousandth of all documents) never meet in one task: they
 are found on a bounded sample of documents, the first document of each is found by a
@@ -36,24 +36,25 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cyclelens.llm.batches import small_batches, text_groups
+from cyclelens.llm.hashing import SpanHasher
 from cyclelens.session import written
 
 SAMPLE_DOCUMENTS = 20_000
 HOT_SHARE = 0.001  # of the sampled documents, but at least HOT_LEAST of them
 HOT_LEAST = 20
-GROUP_BYTES = 1 << 20
-CHUNK_BYTES = 4 << 20
+GROUP_BYTES = 1 << 17  # of texts worked on at once: their arrays stay in the cache
+CHUNK_BYTES = 1 << 20
 
 _U = np.uint64
 _BASE = _U(0x9E3779B97F4A7C15)
-_LOW = _U(0xFFFFFFFF)
+_LOW, _RANK = _U(0xFFFFFFFF), _U(0x7FFFFFFF00000000)
 
 
 @dataclass
 class Tokens:
     """Several texts laid end to end, cut into tokens."""
 
-    hashes: np.ndarray  # of each token
+    hashes: np.ndarray  # of each token; bytes stand for themselves
     owner: np.ndarray  # which text it is in
     first: np.ndarray  # of each text, its first token
     starts: np.ndarray | None  # byte bounds in `joined`; None where tokens are bytes
@@ -67,7 +68,7 @@ class Tokens:
         return b" ".join([self.joined[x:y] for x, y in zip(self.starts[a:b], self.ends[a:b])])
 
 
-_BYTE_MIX = np.random.default_rng(6).integers(1, 2**63, 256, dtype=np.uint64) * _U(2) + _U(1)
+_HASHER = SpanHasher()
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 
@@ -75,8 +76,8 @@ _SPACE[[9, 10, 11, 12, 13, 32]] = True
 def byte_tokens(texts: list[bytes]) -> Tokens:
     joined = b"".join(texts)
     lengths = np.array([len(t) for t in texts])
-    owner = np.repeat(np.arange(len(texts)), lengths)
-    return Tokens(_BYTE_MIX[np.frombuffer(joined, np.uint8)], owner, np.cumsum(lengths) - lengths, None, None, joined)
+    owner = np.repeat(np.arange(len(texts), dtype=np.int32), lengths)
+    return Tokens(np.frombuffer(joined, np.uint8), owner, np.cumsum(lengths) - lengths, None, None, joined)
 
 
 def word_tokens(texts: list[bytes]) -> Tokens:
@@ -86,15 +87,8 @@ def word_tokens(texts: list[bytes]) -> Tokens:
     edges = np.flatnonzero(inside[1:] != inside[:-1])
     starts, ends = edges[0::2], edges[1::2]
     bounds = np.cumsum([0, *(len(t) + 1 for t in texts)])
-    owner = np.searchsorted(bounds, starts, side="right") - 1
-    powers = np.full(len(codes) + 1, _BASE, dtype=np.uint64)
-    powers[0] = 1
-    powers = np.multiply.accumulate(powers)
-    # The hash of a word is a sum of its bytes by their distance from the word's end.
-    length_left = np.repeat(ends, ends - starts) - np.flatnonzero(inside[1:-1]) - 1
-    values = _BYTE_MIX[codes[inside[1:-1]]] * powers[length_left]
-    at = np.cumsum(ends - starts) - (ends - starts)
-    hashes = np.add.reduceat(values, at) if len(starts) else np.zeros(0, np.uint64)
+    owner = np.searchsorted(bounds, starts, side="right").astype(np.int32) - np.int32(1)
+    hashes = _HASHER.hashes(codes, starts, ends)
     return Tokens(_mixed(hashes), owner, np.searchsorted(owner, np.arange(len(texts))), starts, ends, joined)
 
 
@@ -111,11 +105,13 @@ def _power(k: int) -> np.uint64:
 
 
 def gram_hashes(tokens: np.ndarray, q: int) -> np.ndarray:
-    """Hash of the q tokens from each place, by doubling."""
+    """Hash of the q tokens from each place."""
     if len(tokens) < q:
         return np.zeros(0, np.uint64)
+    if tokens.dtype == np.uint8:
+        return _byte_grams(tokens, q)
     done, total, part, width = 0, np.zeros(len(tokens), np.uint64), tokens, 1
-    while True:
+    while True:  # by doubling
         if q & width:
             n = min(len(total), len(part) - done)
             total = total[:n] * _power(width) + part[done : done + n]
@@ -126,6 +122,21 @@ def gram_hashes(tokens: np.ndarray, q: int) -> np.ndarray:
         width *= 2
 
 
+_FACTORS = np.random.default_rng(8).integers(1, 2**63, 64, dtype=np.uint64) * _U(2) + _U(1)
+
+
+def _byte_grams(codes: np.ndarray, q: int) -> np.ndarray:
+    """The same for bytes, eight at a time: a sum of the words that cover a q-gram, each
+    with a factor of its own. Its high bits depend on every byte."""
+    n, codes = len(codes) - q + 1, np.ascontiguousarray(codes)
+    words = np.ascontiguousarray(np.ndarray((len(codes) - 7,), "<u8", codes.data, 0, (1,)))
+    offsets = [*range(0, q - 8, 8), q - 8]
+    total = words[:n] * _FACTORS[0]
+    for at, factor in zip(offsets[1:], _FACTORS[1:]):
+        total += words[at : at + n] * factor
+    return total
+
+
 def _sliding_min(values: np.ndarray, w: int) -> np.ndarray:
     width = 1
     while 2 * width <= w:
@@ -151,29 +162,56 @@ class Scheme:
         n = max(0, len(tokens.hashes) - self.size + 1)
         return np.flatnonzero(tokens.owner[:n] == tokens.owner[len(tokens.owner) - n :])
 
-    def windows(self, tokens: Tokens) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Places of the windows, and for each the place and hash of its anchor."""
+    def windows(self, tokens: Tokens) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Places of the windows, for each the place of its anchor and its row in the table
+        of hot windows or -1, and the hashes of all q-grams."""
         n = len(tokens.hashes) - self.size + 1
         if n <= 0:
             empty = np.zeros(0, np.int64)
-            return empty, empty, np.zeros(0, np.uint64)
+            return empty, empty, empty, np.zeros(0, np.uint64)
         grams = gram_hashes(tokens.hashes, self.q)
-        rank = (grams >> _U(33)) << _U(32)
+        rank = grams & _RANK
         if len(self.hot_grams):
             rank[_is_in(grams, self.hot_grams)] |= _U(1 << 63)
-        least = _sliding_min(rank | np.arange(len(grams), dtype=np.uint64), self.size - self.q + 1)
+        rank |= np.arange(len(grams), dtype=np.uint64)
         places = self.places(tokens)
-        anchors = (least[places] & _LOW).astype(np.int64)
-        return places, anchors, grams[anchors]
-
-    def hot_at(self, tokens: Tokens, places: np.ndarray) -> np.ndarray:
-        """For each window, its row in the table of hot windows, or -1."""
-        at = np.full(len(places), -1)
-        if len(self.hot_windows) and len(places):
-            sums = gram_hashes(tokens.hashes, self.size)[places]
+        least = _sliding_min(rank, self.size - self.q + 1)[places]
+        anchors = (least & _LOW).astype(np.int64)
+        # Every q-gram of a hot window is hot, so its anchor is.
+        hot = np.full(len(places), -1)
+        likely = np.flatnonzero(least >> _U(63)) if len(self.hot_windows) else ()
+        if len(likely):
+            hot[likely] = self._rows_of(tokens, places[likely])
+        return places, anchors, hot, grams
+
+    def hot_places(self, tokens: Tokens) -> tuple[np.ndarray, np.ndarray]:
+        """Places of the hot windows, and their rows in the table."""
+        if len(self.hot_windows) and len(tokens.hashes) >= self.size:
+            marks = _is_in(gram_hashes(tokens.hashes, self.q), self.hot_grams)
+            if marks.any():
+                seen = np.concatenate(([0], np.cumsum(marks)))
+                wide = self.size - self.q + 1
+                full = seen[wide:] - seen[:-wide] == wide
+                places = self.places(tokens)
+                places = places[full[places]]
+                rows = self._rows_of(tokens, places)
+                return places[rows >= 0], rows[rows >= 0]
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def _rows_of(self, tokens: Tokens, places: np.ndarray) -> np.ndarray:
+        """Rows in the table of hot windows of the windows at increasing places, or -1."""
+        rows = np.full(len(places), -1)
+        if len(places):
+            begin = np.flatnonzero(np.concatenate(([True], places[1:] != places[:-1] + 1)))
+            runs = np.diff(np.append(begin, len(places)))
+            wide = runs + self.size - 1
+            first = np.cumsum(wide) - wide
+            taken = np.repeat(places[begin] - first, wide) + np.arange(wide.sum())
+            sums = gram_hashes(tokens.hashes[taken], self.size)
+            sums = sums[np.repeat(first - begin, runs) + np.arange(len(places))]
             hit = np.flatnonzero(_is_in(sums, self.hot_windows))
-            at[hit] = np.searchsorted(self.hot_windows, sums[hit])
-        return at
+            rows[hit] = np.searchsorted(self.hot_windows, sums[hit])
+        return rows
 
 
 def _is_in(values: np.ndarray, table: np.ndarray) -> np.ndarray:
@@ -203,13 +241,12 @@ def _signed(values: np.ndarray) -> pa.Array:
 def _anchor_rows(scheme: Scheme):
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, _, tokens in _groups(batches, scheme):
-            places, anchors, hashes = scheme.windows(tokens)
-            free = scheme.hot_at(tokens, places) < 0
-            anchors, hashes = anchors[free], hashes[free]
+            _, anchors, hot, grams = scheme.windows(tokens)
+            anchors = anchors[hot < 0]
             new = np.flatnonzero(np.concatenate(([True], anchors[1:] != anchors[:-1]))[: len(anchors)])
             owner = tokens.owner[anchors[new]]
             texts = rows.column("text_hash").to_numpy()
-            yield pa.RecordBatch.from_pydict({"anchor": _signed(hashes[new]), "text_hash": pa.array(texts[owner])})
+            yield pa.RecordBatch.from_pydict({"anchor": _signed(grams[anchors[new]]), "text_hash": pa.array(texts[owner])})
 
     return emit
 
@@ -219,10 +256,10 @@ def _document_anchors(scheme: Scheme):
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, ids, tokens in _groups(batches, scheme):
-            _, anchors, hashes = scheme.windows(tokens)
+            _, anchors, _, grams = scheme.windows(tokens)
             new = np.flatnonzero(np.concatenate(([True], anchors[1:] != anchors[:-1]))[: len(anchors)])
             owner = tokens.owner[anchors[new]]
-            yield pa.RecordBatch.from_pydict({"anchor": _signed(hashes[new]), "document": pa.array(ids[owner])})
+            yield pa.RecordBatch.from_pydict({"anchor": _signed(grams[anchors[new]]), "document": pa.array(ids[owner])})
 
     return emit
 
@@ -232,10 +269,9 @@ def _hot_rows(scheme: Scheme, anchors: np.ndarray):
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, _, tokens in _groups(batches, scheme):
-            places, _, hashes = scheme.windows(tokens)
-            places = places[_is_in(hashes, anchors)]
+            places, at, _, grams = scheme.windows(tokens)
+            places = places[_is_in(grams[at], anchors)]
             sums = gram_hashes(tokens.hashes, scheme.size)
-            grams = gram_hashes(tokens.hashes, scheme.q)
             inside = np.unique((places[:, None] + np.arange(scheme.size - scheme.q + 1)).ravel())
             for kind, values, at in (("window", sums, places), ("gram", grams, inside)):
                 if len(at):
@@ -248,13 +284,11 @@ def _hot_rows(scheme: Scheme, anchors: np.ndarray):
 def _first_rows(scheme: Scheme):
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, ids, tokens in _groups(batches, scheme):
-            places = scheme.places(tokens)
-            at = scheme.hot_at(tokens, places)
-            hit = at >= 0
-            if hit.any():
+            places, at = scheme.hot_places(tokens)
+            if len(places):
                 first = np.full(len(scheme.hot_windows), np.iinfo(np.int64).max)
-                np.minimum.at(first, at[hit], ids[tokens.owner[places[hit]]])
-                seen = np.unique(at[hit])
+                np.minimum.at(first, at, ids[tokens.owner[places]])
+                seen = np.unique(at)
                 yield pa.RecordBatch.from_pydict({"hash": _signed(scheme.hot_windows[seen]), "first": pa.array(first[seen])})
 
     return emit
@@ -282,12 +316,11 @@ def find_hot(rows: DataFrame, scheme: Scheme) -> None:
         kind: np.sort(np.array([h for k, h in found if k == kind], dtype=np.int64).view(np.uint64))
         for kind in ("window", "gram")
     }
-    scheme.hot_windows = by_kind["window"]
+    scheme.hot_windows, scheme.hot_grams = by_kind["window"], by_kind["gram"]
     if len(scheme.hot_windows):
         firsts = rows.mapInArrow(_first_rows(scheme), "hash long, first long").groupBy("hash").agg(F.min("first")).collect()
         first = {h: f for h, f in firsts}
         scheme.hot_first = np.array([first[int(h)] for h in scheme.hot_windows.view(np.int64)])
-    scheme.hot_grams = by_kind["gram"]
 
 
 def sorted_runs(batches, column: str, chunk_bytes: int = CHUNK_BYTES) -> Iterator[pa.Table]:
@@ -345,12 +378,17 @@ def repeated(rows: DataFrame, scheme: Scheme) -> DataFrame:
 _STRETCH = "anchor long, row_id long, text_hash long, place int, n_windows int, body binary"
 
 
+def _flagged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows that have a repeated anchor."""
+    for batch in batches:
+        yield batch.filter(batch.column("anchors").is_valid())
+
+
 def _stretch_rows(scheme: Scheme):
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, ids, tokens in _groups(batches, scheme):
-            places, anchors, hashes = scheme.windows(tokens)
-            free = scheme.hot_at(tokens, places) < 0
-            places, anchors, hashes = places[free], anchors[free], hashes[free]
+        for rows, ids, tokens in _groups(_flagged(batches), scheme):
+            places, anchors, hot, grams = scheme.windows(tokens)
+            places, anchors = places[hot < 0], anchors[hot < 0]
             if not len(places):
                 continue
             first = np.flatnonzero(np.concatenate(([True], anchors[1:] != anchors[:-1])))
@@ -360,12 +398,13 @@ def _stretch_rows(scheme: Scheme):
             flat = lists.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
             of = np.repeat(np.arange(len(rows)), lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
             wanted = np.unique(_mixed(flat + of.astype(np.uint64) * _BASE))
-            mine = _mixed(hashes[first] + owner.astype(np.uint64) * _BASE)
+            hashes = grams[anchors[first]]
+            mine = _mixed(hashes + owner.astype(np.uint64) * _BASE)
             pick = np.flatnonzero(_is_in(mine, wanted)) if len(wanted) else np.zeros(0, np.int64)
-            first, last, owner = first[pick], last[pick], owner[pick]
+            first, last, owner, hashes = first[pick], last[pick], owner[pick], hashes[pick]
             low, high = places[first], places[last] + scheme.size
             yield pa.RecordBatch.from_pydict({
-                "anchor": _signed(hashes[first]), "row_id": pa.array(ids[owner]),
+                "anchor": _signed(hashes), "row_id": pa.array(ids[owner]),
                 "text_hash": pa.array(rows.column("text_hash").to_numpy()[owner]),
                 "place": pa.array((low - tokens.first[owner]).astype(np.int32)),
                 "n_windows": pa.array((high - low - scheme.size + 1).astype(np.int32)),
@@ -375,10 +414,10 @@ def _stretch_rows(scheme: Scheme):
     return emit
 
 
-def stretches(rows: DataFrame, flagged: DataFrame, scheme: Scheme) -> DataFrame:
+def stretches(texts: DataFrame, flagged: DataFrame, scheme: Scheme) -> DataFrame:
     """The stretches of text around repeated anchors, sorted by anchor in partitions."""
-    texts = rows.join(flagged, ["row_id", "text_hash"])
-    sent = texts.select("row_id", "text_hash", "text", "anchors").mapInArrow(_stretch_rows(scheme), _STRETCH)
+    met = texts.join(flagged, ["row_id", "text_hash"], "left")
+    sent = met.select("row_id", "text_hash", "text", "anchors").mapInArrow(_stretch_rows(scheme), _STRETCH)
     return sent.repartition("anchor").sortWithinPartitions("anchor")
 
 
@@ -407,20 +446,25 @@ def later_spans(table: pa.Table, window_row: np.ndarray, window_at: np.ndarray,
     })
 
 
-def spans_removed(rows: DataFrame, scheme: Scheme, method: Callable, label: str) -> DataFrame:
-    """`row_id`, `text_hash`, `is_copy` (a smaller id has the same text, so every window
-    goes) and `found`: token ranges covered by windows that a smaller id has too. Rows that
-    lose nothing may be missing. `method` turns sorted stretches into such ranges."""
+def with_spans(rows: DataFrame, scheme: Scheme, method: Callable, label: str) -> DataFrame:
+    """Every row with `is_copy` (a smaller id has the same text, so every window goes) and
+    `found`: token ranges covered by windows that a smaller id has too. `method` turns sorted
+    stretches into such ranges.
+
+    The texts are dealt by (row_id, text_hash) for two joins: with their repeated anchors,
+    and with the ranges found. Both name the same table in one query, so Spark shuffles the
+    texts once and reads that shuffle twice."""
     known = rows.where("row_id is not null")
     find_hot(known, scheme)
     firsts = written(originals(known), f"{label}-originals")
     own = firsts.where("row_id = first_id").select("row_id", "text_hash")
     flagged = written(own.join(repeated(known, scheme), "text_hash"), f"{label}-anchors")
-    found = stretches(known, flagged, scheme).mapInArrow(method, SPANS)
-    ranges = F.struct("first", "last")
-    found = found.groupBy("row_id", "text_hash").agg(F.collect_list(ranges).alias("found"))
+    texts = rows.select("row_id", "text_hash", "text")
+    found = stretches(texts, flagged, scheme).mapInArrow(method, SPANS)
+    found = found.groupBy("row_id", "text_hash").agg(F.collect_list(F.struct("first", "last")).alias("found"))
     copies = firsts.where("row_id > first_id").select("row_id", "text_hash", F.lit(True).alias("is_copy"))
-    return written(found.withColumn("is_copy", F.lit(False)).unionByName(copies, allowMissingColumns=True), f"{label}-spans")
+    found = found.withColumn("is_copy", F.lit(False)).unionByName(copies, allowMissingColumns=True)
+    return texts.join(found, ["row_id", "text_hash"], "left").select("row_id", "text", "found", "is_copy")
 
 
 def hashed_rows(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -429,26 +473,35 @@ def hashed_rows(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return df.select(F.col(id_col).cast("long").alias("row_id"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
 
 
-def cover(tokens: Tokens, scheme: Scheme, rows: pa.RecordBatch) -> np.ndarray:
-    """Which tokens go: those in a range found, in a hot window of an earlier document, or
-    in any window of a copy."""
-    known = rows.column("row_id").is_valid().to_numpy(zero_copy_only=False)
-    ids = rows.column("row_id").fill_null(0).to_numpy()
-    change = np.zeros(len(tokens.hashes) + 1, dtype=np.int32)
-    ends = np.append(tokens.first[1:], len(tokens.hashes))
-    copies = rows.column("is_copy").to_pylist()
-    for k, ranges in enumerate(rows.column("found").to_pylist()):
-        if copies[k] and ends[k] - tokens.first[k] >= scheme.size:
-            change[tokens.first[k]] += 1
-            change[ends[k]] -= 1
-        for r in ranges or ():
-            change[tokens.first[k] + r["first"]] += 1
-            change[tokens.first[k] + r["last"]] -= 1
+def cover(texts: list[bytes], counts: np.ndarray, scheme: Scheme, rows: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """Which tokens of texts with `counts` tokens go: those in a range found, in a hot window
+    of an earlier document, or in any window of a copy. And where each text's tokens begin."""
+    ends = np.cumsum(counts)
+    first = ends - counts
+    change = np.zeros(int(counts.sum()) + 1, dtype=np.int32)
+    copies = rows.column("is_copy").fill_null(False).to_numpy(zero_copy_only=False) & (counts >= scheme.size)
+    np.add.at(change, first[copies], 1)
+    np.add.at(change, ends[copies], -1)
+    lists = rows.column("found")
+    flat = lists.flatten()
+    if len(flat):
+        base = np.repeat(first, lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
+        np.add.at(change, base + flat.field("first").to_numpy(), 1)
+        np.add.at(change, base + flat.field("last").to_numpy(), -1)
     if len(scheme.hot_windows):
-        places = scheme.places(tokens)
-        at = scheme.hot_at(tokens, places)
-        hit = (at >= 0) & known[tokens.owner[places]]
-        hit[hit] = scheme.hot_first[at[hit]] < ids[tokens.owner[places[hit]]]
-        np.add.at(change, places[hit], 1)
-        np.add.at(change, places[hit] + scheme.size, -1)
-    return np.cumsum(change[:-1]) > 0
+        known = rows.column("row_id").is_valid().to_numpy(zero_copy_only=False)
+        ids = rows.column("row_id").fill_null(0).to_numpy()
+        tokens = scheme.tokenise(texts)
+        places, at = scheme.hot_places(tokens)
+        owner = tokens.owner[places]
+        places = places[known[owner] & (scheme.hot_first[at] < ids[owner])]
+        np.add.at(change, places, 1)
+        np.add.at(change, places + scheme.size, -1)
+    return np.cumsum(change[:-1]) > 0, first
+
+
+def runs(marked: np.ndarray) -> list[list[int]]:
+    """[first, last + 1) of the runs of marked tokens."""
+    if not marked.any():
+        return []
+    return np.flatnonzero(np.diff(np.concatenate(([0], marked.view(np.int8), [0])))).reshape(-1, 2).tolist()

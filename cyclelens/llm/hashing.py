@@ -27,7 +27,7 @@ class SpanHasher:
         if len(codes) >= len(self.up):
             self.up, self.down = powers(_BASE, 2 * len(codes)), powers(_BASE_INVERSE, 2 * len(codes))
         sums = np.zeros(len(codes) + 1, dtype=np.uint64)
-        np.cumsum(_BYTE_MIX[codes] * self.up[: len(codes)], out=sums[1:])
+        np.cumsum(_BYTE_MIX.take(codes, mode="clip") * self.up[: len(codes)], out=sums[1:])
         found = (sums[ends] - sums[starts]) * self.down[starts]
         found ^= found >> np.uint64(31)
         return found * _STEP

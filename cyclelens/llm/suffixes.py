@@ -102,16 +102,16 @@ def _refiner(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _cutter(scheme: anchors.Scheme):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, texts in text_groups(batches):
+        for rows, texts in text_groups(batches, anchors.GROUP_BYTES):
             plain = [t or b"" for t in texts]
-            tokens = anchors.byte_tokens(plain)
-            gone = anchors.cover(tokens, scheme, rows)
+            counts = np.array([len(t) for t in plain])
+            gone, first = anchors.cover(plain, counts, scheme, rows)
             kept, spans = [], []
             for k, text in enumerate(plain):
-                mine = gone[tokens.first[k] : tokens.first[k] + len(text)]
-                edges = np.flatnonzero(np.diff(np.concatenate(([0], mine.view(np.int8), [0])))).reshape(-1, 2)
-                spans.append([{"start": a, "end": b} for a, b in edges.tolist()])
-                kept.append(np.frombuffer(text, np.uint8)[~mine].tobytes())
+                edges = anchors.runs(gone[first[k] : first[k] + len(text)])
+                spans.append([{"start": a, "end": b} for a, b in edges])
+                at = [0, *(x for edge in edges for x in edge), len(text)]
+                kept.append(b"".join([text[a:b] for a, b in zip(at[0::2], at[1::2])]) if edges else text)
             yield pa.RecordBatch.from_pydict({
                 "row_id": rows.column("row_id"), "n_bytes": pa.array([len(t) for t in plain], pa.int64()),
                 "spans": pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
@@ -127,7 +127,6 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     and their `kept_sha256`, for every row."""
     scheme = anchors.Scheme(anchors.byte_tokens, SIZE, ANCHOR)
     rows = anchors.hashed_rows(df, id_col, text_col)
-    found = anchors.spans_removed(rows, scheme, _refiner, "suffixes")
-    met = rows.join(found, ["row_id", "text_hash"], "left").select("row_id", "text", "found", "is_copy")
+    met = anchors.with_spans(rows, scheme, _refiner, "suffixes")
     schema = "row_id long, n_bytes long, spans array<struct<start:long,end:long>>, kept binary, kept_sha256 string"
     return met.mapInArrow(_cutter(scheme), schema)
