@@ -29,6 +29,7 @@ from cyclelens.llm import anchors
 from cyclelens.llm.batches import text_groups
 
 SIZE = 13
+SHARD_BYTES = 1 << 17  # of stretches for one automaton; a node with few children is fast
 ANCHOR = 5
 
 
@@ -70,7 +71,7 @@ def automaton_of(phrases: list[str]) -> ahocorasick.Automaton:
 
 
 def _locator(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for table in anchors.sorted_runs(batches, "anchor"):
+    for table in anchors.sorted_runs(batches, "anchor", SHARD_BYTES):
         ids = table.column("row_id").to_numpy()
         code, bodies = pd.factorize(np.array([*table.column("body").to_pylist(), None], dtype=object)[:-1])
         least, most = np.full(len(bodies), np.iinfo(np.int64).max), np.full(len(bodies), np.iinfo(np.int64).min)
