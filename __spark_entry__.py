@@ -23,7 +23,7 @@ from cyclelens.plans.catalog import REPORTS, reports_of  # noqa: E402
 from cyclelens.plans.jobs import all_reports, numbered_log  # noqa: E402
 from cyclelens.plans.standing import StandingTags  # noqa: E402
 from cyclelens.schemas import LOGS  # noqa: E402
-from cyclelens.session import work_folder, written  # noqa: E402
+from cyclelens.session import settings, work_folder, written  # noqa: E402
 from cyclelens.sinks import tables  # noqa: E402
 from cyclelens.sources.logs import stream_lines  # noqa: E402
 from cyclelens.streaming import state  # noqa: E402
@@ -280,17 +280,11 @@ def _live(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
 def _live_state(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
     """The running totals of a rollup from the state store."""
     lines = fixtures.raw_lines(fixtures.load(spark, sf_dir, ROLLUPS[name].log))
-    folder, before = work_folder(spark, name), {}
-    lines.select("value").repartition(2).write.text(f"{folder}/in")
-    for key, value in state.state_settings().items():
-        before[key] = spark.conf.get(key, None)
-        spark.conf.set(key, value)
-    try:
-        stream = stream_lines(spark, f"{folder}/in", 1)
+    folder = work_folder(spark, name)
+    files = tables.write_lines(lines, f"{folder}/in", batches=2)
+    with settings(spark, state.state_settings()):
+        stream = stream_lines(spark, f"{folder}/in", files)
         state.start_state_rollup(stream, name, f"{folder}/state", available_now=True).awaitTermination()
-    finally:
-        for key, value in before.items():
-            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
     return state.read_state_rollup(spark, name, f"{folder}/state")
 
 

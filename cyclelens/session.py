@@ -68,6 +68,19 @@ def scratch(spark: SparkSession) -> Iterator[None]:
             delete_folder(spark, folder)
 
 
+@contextmanager
+def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    """Session settings that hold inside the block."""
+    before = {key: spark.conf.get(key, None) for key in values}
+    for key, value in values.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
 def file_system(spark: SparkSession, path: str):
     """Hadoop's handle on the file system that holds `path`, and the path itself."""
     base = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

@@ -1,0 +1,41 @@
+"""Raw lines as files for a stream in few batches."""
+
+import os
+
+from cyclelens.sinks.tables import write_lines
+from cyclelens.sources.logs import stream_lines
+
+
+def test_lines_are_dealt_by_the_tasks_that_have_them(spark, tmp_path):
+    lines = spark.range(0, 1000, 1, 6).selectExpr("cast(id as string) as value")
+    folder, context = str(tmp_path / "in"), spark.sparkContext
+    context.setJobGroup("deal", "deal")
+    files = write_lines(lines, folder, 2)
+    jobs = context.statusTracker().getJobIdsForGroup("deal")
+    context.setLocalProperty("spark.jobGroup.id", None)
+    stages = [s for j in jobs for s in context.statusTracker().getJobInfo(j).stageIds]
+    assert [context.statusTracker().getStageInfo(s).numTasks for s in stages] == [6]  # no shuffle to two tasks
+    assert files == 6
+    assert sorted(int(r["value"]) for r in spark.read.text(folder).collect()) == list(range(1000))
+    for part in (0, 1):
+        assert len([n for n in os.listdir(f"{folder}/part={part}") if n.endswith(".txt")]) == 6
+
+
+def test_the_stream_has_the_wanted_batches(spark, tmp_path):
+    lines = spark.range(0, 100, 1, 3).selectExpr("cast(id as string) as value")
+    folder, seen = str(tmp_path), []
+    files = write_lines(lines, f"{folder}/in", 4)
+
+    def look(batch, number):
+        seen.append(batch.count())
+
+    job = (
+        stream_lines(spark, f"{folder}/in", files).writeStream.foreachBatch(look)
+        .option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start()
+    )
+    assert job.awaitTermination(120)
+    assert len(seen) == 4 and sum(seen) == 100
+
+
+def test_no_lines(spark, tmp_path):
+    assert write_lines(spark.createDataFrame([], "value string"), str(tmp_path / "in"), 4) == 1
