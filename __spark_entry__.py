@@ -263,9 +263,9 @@ def _streamed(lines: DataFrame, label: str, log: str) -> str:
     first two batches on its way."""
     spark = lines.sparkSession
     folder = work_folder(spark, label)
-    lines.select("value").repartition(4).write.text(f"{folder}/in")
+    files = tables.write_lines(lines, f"{folder}/in", batches=4)
     start_rollups(
-        stream_lines(spark, f"{folder}/in", 1), log, f"{folder}/totals", f"{folder}/checkpoint",
+        stream_lines(spark, f"{folder}/in", files), log, f"{folder}/totals", f"{folder}/checkpoint",
         available_now=True, pack_every=2,
     ).awaitTermination()
     return f"{folder}/totals"
