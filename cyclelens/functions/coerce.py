@@ -34,8 +34,10 @@ def to_type(text: Column, dtype: T.DataType) -> Column:
 
 
 def _finite(text: Column) -> Column:
-    """A double; NaN and infinities are no numbers here, they would spoil every sum."""
-    number = text.try_cast("double")
+    """A double; NaN and infinities are no numbers here, they would spoil every sum.
+
+    Blanks are kept from the cast, which throws and catches an exception for each."""
+    number = F.when(~text.isin(*_BLANKS), text).try_cast("double")
     return F.when(F.abs(number) < F.lit(float("inf")), number)
 
 
@@ -47,4 +49,4 @@ def to_epoch(text: Column) -> Column:
 
 def unreadable(text: Column, typed: Column) -> Column:
     """True where a value was given but could not be read."""
-    return text.isNotNull() & ~text.isin(*_BLANKS) & typed.isNull()
+    return typed.isNull() & text.isNotNull() & ~text.isin(*_BLANKS)

@@ -49,34 +49,44 @@ def _text_of(line: Column, name: str) -> Column:
 
 
 def _typed(line: Column, log: str) -> Column:
-    """Struct of the log's columns and the line's first fault."""
-    reason = F.when(line.isNull(), "malformed").when(line["location"].isNull(), "missing_location")
-    columns = []
+    """Struct of a line and of its values in the log's types."""
+    values = []
     for field in schema_of(log):
         text = _text_of(line, field.name)
         epoch = field.name in EPOCHS and isinstance(field.dataType, T.LongType)
         value = to_epoch(text) if epoch else to_type(text, field.dataType)
-        columns.append(value.alias(field.name))
+        values.append(value.alias(field.name))
+    return F.struct(line.alias("line"), F.struct(*values).alias("typed"))
+
+
+def _judged(read: Column, log: str) -> Column:
+    """Struct of the log's columns and the line's first fault, from what `_typed` made."""
+    line, typed = read["line"], read["typed"]
+    reason = F.when(line.isNull(), "malformed").when(line["location"].isNull(), "missing_location")
+    for field in schema_of(log):
         if not isinstance(field.dataType, T.StringType):
-            reason = reason.when(unreadable(text, value), f"bad_value:{field.name}")
-    return F.struct(*columns, reason.alias(REASON))
+            bad = unreadable(_text_of(line, field.name), typed[field.name])
+            reason = reason.when(bad, f"bad_value:{field.name}")
+    return F.struct(*[typed[name].alias(name) for name in schema_of(log).names], reason.alias(REASON))
 
 
 def parse_lines(raw: DataFrame, log: str) -> DataFrame:
     """Every line as typed columns plus `reject_reason`: its first fault, null if good.
 
     `raw` has the line in `value`; `value` and any other columns (an offset, a file
-    name) are kept in front. Parsing and typing happen inside a generator: filters on
-    the result stay above it, so each line is parsed once, and the long list of
-    conversions stays out of the generated method, which would grow past the size that
-    the JVM compiles (measured: 3.8 s instead of 2.7 s for 600,000 lines).
+    name) are kept in front. Parsing happens inside a generator, which takes its functions as
+    they are; the conversions follow in a projection, which is compiled and computes a value
+    that is named twice once. A second generator keeps filters on the result above both, so
+    each line is parsed and converted once.
     """
     clash = sorted(set(raw.columns) & {*schema_of(log).names, REASON})
     if clash:
         raise ValueError(f"raw columns clash with the {log} log: {', '.join(clash)}")
-    parsed = one_object(F.col("value"), _line_schema(log))
-    typed = F.transform(parsed, lambda line: _typed(line, log))
-    return raw.select(*raw.columns, F.inline(typed))
+    name = "_" * (1 + max(map(len, raw.columns)))  # no other column's
+    kept = [F.col(f"`{c}`") for c in raw.columns]
+    lines = raw.select(*kept, F.explode(one_object(F.col("value"), _line_schema(log))).alias(name))
+    typed = lines.select(*kept, _typed(F.col(name), log).alias(name))
+    return typed.select(*kept, F.inline(F.array(_judged(F.col(name), log))))
 
 
 def split_valid(raw: DataFrame, log: str) -> tuple[DataFrame, DataFrame]:

@@ -86,6 +86,20 @@ def test_each_line_is_parsed_once(spark):
     assert plan_of(rejects).count("from_json(ArrayType") == 1
 
 
+def test_values_are_converted_in_compiled_code(spark):
+    raw = spark.createDataFrame([("{}",)], "value string").repartition(1)
+    steps = plan_of(wash(raw, "repair")).split("\n")
+    parsing = [s for s in steps if "Generate" in s and "from_json(ArrayType" in s]
+    assert len(parsing) == 1 and "try_cast" not in parsing[0]
+    converting = [s.strip(" +-:") for s in steps if "try_cast" in s]
+    assert len(converting) == 1 and converting[0].startswith("Project")
+
+
+def test_other_columns_of_any_name_stay(spark):
+    raw = spark.createDataFrame([("{%s}" % HERE, 1, 2)], "value string, `_____` int, `a.b` int")
+    assert parse_lines(raw, "repair").select("_____", "`a.b`").first()[:] == (1, 2)
+
+
 def test_column_clash_is_refused(spark):
     raw = spark.createDataFrame([("{}", 1)], "value string, client int")
     with pytest.raises(ValueError, match="client"):
