@@ -8,7 +8,7 @@ import sys
 from collections.abc import Callable
 from functools import partial, reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -123,16 +123,21 @@ def _district_tags(spark: SparkSession, sf_dir: str, **how) -> DataFrame:
     return placed.select("sessionid", "userid", tags.alias("tags"))
 
 
+def _stored_rides(spark: SparkSession, sf_dir: str, *columns: str | Column) -> tuple[DataFrame, DataFrame]:
+    """What tags read of the rides, with `columns`, and the dictionary of their points. Both
+    are stored: the tables are joined to rides once, however often the rides are read."""
+    rides = fixtures.load(spark, sf_dir, "unlock").select(*columns, *usertags.TAGGED)
+    rides = written(rides, "rides")
+    points = written(geodict.distinct_points(rides), "points")
+    return rides, written(geodict.geo_dictionary(points, fixtures.replies_to(spark, points)), "dictionary")
+
+
 def _user_tags(spark: SparkSession, sf_dir: str, keys: tuple[str, ...] = ("userid",), **how) -> DataFrame:
-    rides = fixtures.load(spark, sf_dir, "unlock")
-    return usertags.user_tags(rides, _stored_dictionary(spark, sf_dir), keys, **how)
+    return usertags.user_tags(*_stored_rides(spark, sf_dir, *keys), keys, **how)
 
 
 def _detail(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rides = fixtures.load(spark, sf_dir, "unlock")
-    return usertags.tag_detail(
-        usertags.tag_lists(rides, _stored_dictionary(spark, sf_dir), _DAILY)
-    )
+    return usertags.tag_detail(usertags.tag_lists(*_stored_rides(spark, sf_dir, *_DAILY), _DAILY))
 
 
 def _document(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -15,7 +15,16 @@ DISTRICTS_PATH, FIRST_POI_TAG_PATH = "$.result.business", "$.result.pois[0].tag"
 
 _BITS = 20  # per axis; 8 characters of 5 bits hold 40 bits
 _CELLS = 1 << _BITS
-_BASE32_DIGITS = "0123456789ABCDEFGHIJKLMNOPQRSTUV"
+
+
+def _two_characters(index: int) -> str:
+    """The characters for five bits of longitude, then five of latitude, interleaved."""
+    lon, lat = divmod(index, 32)
+    mixed = sum((lon >> bit & 1) << 2 * bit + 1 | (lat >> bit & 1) << 2 * bit for bit in range(5))
+    return GEOHASH_ALPHABET[mixed >> 5] + GEOHASH_ALPHABET[mixed & 31]
+
+
+_PAIRS = ",".join(_two_characters(index) for index in range(1024))
 
 
 def in_bounds(lat: Column, lon: Column) -> Column:
@@ -41,19 +50,17 @@ def _cell(value: Column, span: float) -> Column:
 def geohash8(lat: Column, lon: Column) -> Column:
     """Eight-character geohash; null when a coordinate is null or off the globe.
 
-    Reading a binary numeral in base 4 leaves a gap after every bit, so two such
-    readings interleave longitude and latitude without naming the 40 bits one by one.
+    Five bits of each axis make two characters, which one table of constants holds.
     """
     on_globe = (F.abs(lat) <= 90) & (F.abs(lon) <= 180)
     x = F.when(on_globe, _cell(lon, 360.0))
     y = F.when(on_globe, _cell(lat, 180.0))
-    mixed = _spread(x) * 2 + _spread(y)
-    digits = F.lpad(F.conv(mixed.cast("string"), 10, 32), 8, "0")
-    return F.translate(digits, _BASE32_DIGITS, GEOHASH_ALPHABET)
+    return F.concat(*[_characters(x, y, shift) for shift in (15, 10, 5, 0)])
 
 
-def _spread(cell: Column) -> Column:
-    return F.conv(F.bin(cell), 4, 10).cast("bigint")
+def _characters(x: Column, y: Column, shift: int) -> Column:
+    lon, lat = (F.shiftright(cell, shift).bitwiseAND(F.lit(31)) for cell in (x, y))
+    return F.get(F.split(F.lit(_PAIRS), ","), (lon * 32 + lat).cast("int"))
 
 
 def decode_reply(reply: Column) -> Column:

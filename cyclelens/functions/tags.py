@@ -58,6 +58,16 @@ def ride_tags() -> Column:
     return F.array_compact(F.array(_pick(*_CODED[3]), trip))
 
 
+def district_names(districts: Column) -> Column:
+    """The different entries of a comma-separated district list, an empty one included."""
+    return F.array_distinct(F.split(districts, ","))
+
+
+def district_tag(name: Column) -> Column:
+    """BS tag of one district name."""
+    return F.concat(F.lit(C.DISTRICT_PREFIX), name)
+
+
 def business_tags(districts: Column) -> Column:
     """BS tags from a comma-separated district list.
 
@@ -65,5 +75,5 @@ def business_tags(districts: Column) -> Column:
     per ride. Null gives an empty array.
     """
     names = F.filter(F.split(districts, ","), lambda name: name != "")
-    tagged = F.transform(F.array_distinct(names), lambda name: F.concat(F.lit(C.DISTRICT_PREFIX), name))
+    tagged = F.transform(F.array_distinct(names), district_tag)
     return F.coalesce(tagged, F.array().cast("array<string>"))

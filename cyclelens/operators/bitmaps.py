@@ -38,15 +38,20 @@ def with_number(
     return lookup(df, names, column, broadcast_bytes)
 
 
-def bitmaps(df: DataFrame, keys: tuple[str, ...], column: str) -> DataFrame:
+def bitmaps(df: DataFrame, keys: tuple[str, ...], column: str, gathered: bool = False) -> DataFrame:
     """(keys…, bucket, bits): the set of `<column>_no` of each key, a bitmap for each bucket
-    of numbers. Tasks make their part of a bitmap first, so no key is hot."""
+    of numbers. Tasks make their part of a bitmap first, so no key is hot.
+
+    With few rows for a bitmap in each task that is 4 KB for a row or two, and tasks times
+    bitmaps grow with the square of the input. `gathered`, for rows that do not repeat a
+    number of a key, brings the rows of a bitmap together first: 32,768 at most."""
     number = F.col(f"{column}_no")
-    return (
-        df.where(number.isNotNull())
-        .groupBy(*keys, F.bitmap_bucket_number(number).alias("bucket"))
-        .agg(F.bitmap_construct_agg(F.bitmap_bit_position(number)).alias("bits"))
+    bits = df.where(number.isNotNull()).select(
+        *keys, F.bitmap_bucket_number(number).alias("bucket"), F.bitmap_bit_position(number).alias("bit")
     )
+    if gathered:
+        bits = bits.repartition(*keys, "bucket")
+    return bits.groupBy(*keys, "bucket").agg(F.bitmap_construct_agg("bit").alias("bits"))
 
 
 def any_of(sets: DataFrame, keys: tuple[str, ...]) -> DataFrame:

@@ -15,8 +15,10 @@ from cyclelens.operators.lookup import BROADCAST_BYTES
 
 
 def postings(tags: DataFrame, numbers: DataFrame, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """(tag, bucket, bits) from (userid, tag, …) and the users' numbers."""
-    return bitmaps.bitmaps(bitmaps.with_number(tags, "userid", numbers, broadcast_bytes), ("tag",), "userid")
+    """(tag, bucket, bits) from (userid, tag, …), a row for each user and tag, and the users'
+    numbers."""
+    numbered = bitmaps.with_number(tags, "userid", numbers, broadcast_bytes)
+    return bitmaps.bitmaps(numbered, ("tag",), "userid", gathered=True)
 
 
 def search(index: DataFrame, wanted: list[str], match: str = "all") -> DataFrame:

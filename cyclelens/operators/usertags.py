@@ -12,10 +12,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cyclelens.functions.geo import geohash8, in_bounds
-from cyclelens.functions.tags import business_tags, fixed_tag_rules
+from cyclelens.functions.tags import district_names, district_tag, fixed_tag_rules
 from cyclelens.operators.lookup import BROADCAST_BYTES, lookup
 from cyclelens.sinks.buckets import read_bucketed, write_bucketed
 
+# Columns of a ride that its tags are read from.
+TAGGED = ("latitude", "longitude", "client", "deviceType", "networkingmannerid", "unlock", "distance")
 CELL_SALTS = 8
 _CELL = ("geohash8", "salt")
 
@@ -107,7 +109,9 @@ def district_tag_counts(
         .agg(F.count(F.lit(1)).alias("rides"))
     )
     found = lookup(visits, dictionary, "geohash8", broadcast_bytes)
-    tagged = found.select(*keys, "rides", F.explode(business_tags(F.col("business"))).alias("tag"))
+    # The tags of `business_tags`, made after the list is rows, where no lambda is interpreted.
+    named = found.select(*keys, "rides", F.explode(district_names(F.col("business"))).alias("name"))
+    tagged = named.where(F.col("name") != "").select(*keys, "rides", district_tag(F.col("name")).alias("tag"))
     return tagged.groupBy(*keys, "tag").agg(F.sum("rides").alias("cnt"))
 
 
