@@ -20,7 +20,7 @@ from cyclelens.operators import bitmaps, decay, geodict, tagindex, usertags  # n
 from cyclelens.operators.reports import G3, ReportSpec, report, report_suite  # noqa: E402
 from cyclelens.operators.wash import mask, split_valid, wash  # noqa: E402
 from cyclelens.plans.catalog import REPORTS, reports_of  # noqa: E402
-from cyclelens.plans.jobs import all_reports, numbered_log  # noqa: E402
+from cyclelens.plans.jobs import all_reports  # noqa: E402
 from cyclelens.plans.standing import StandingTags  # noqa: E402
 from cyclelens.schemas import LOGS  # noqa: E402
 from cyclelens.session import settings, work_folder, written  # noqa: E402
@@ -248,8 +248,12 @@ def _returning_users(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _all_ride_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The ten ride reports from one scan, as one table: `report`, keys, `dims`, `value`."""
-    rides = numbered_log(fixtures.load(spark, sf_dir, "unlock"), ("userid", "bikeid"))
+    """The ten ride reports from one stored log, as one table: `report`, keys, `dims`, `value`.
+
+    Users and bikes are counted from their own columns: numbers made for this one use would
+    cost a join of all rides for each."""
+    log = fixtures.load(spark, sf_dir, "unlock")
+    rides = written(log.select(*sorted(set().union(*[s.inputs(log) for s in reports_of("unlock")]))), "rides")
     shown = []
     for spec, rows in all_reports(rides, "unlock").items():
         dims = F.concat_ws("|", *[F.col(d).cast("string") for d in spec.dims])

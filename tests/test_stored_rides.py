@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_module
-from cyclelens import fixtures
+from cyclelens import fixtures, session
 from cyclelens.functions.tags import business_tags
 from cyclelens.operators import bitmaps, tagindex, usertags
 from tests.conftest import plan_of, rows
@@ -31,6 +31,13 @@ def test_rides_are_joined_once(spark, sf_dir, monkeypatch, name):
     assert len(lookups) == 1
 
 
+def test_ride_reports_number_nothing(spark, sf_dir, monkeypatch):
+    labels = counted(monkeypatch, session, "work_folder")
+    got = entry_module.queries()["all_ride_reports"](spark, sf_dir)
+    assert [label for _, label in labels] == ["rides", "suite-unlock"]
+    assert got.select("report").distinct().count() == 10
+
+
 def test_postings_make_each_bitmap_once(spark):
     tags = spark.createDataFrame([(f"u{i}", f"t{i % 3}", 1) for i in range(50)], "userid string, tag string, cnt long")
     postings = tagindex.postings(tags, bitmaps.numbered(tags.select("userid")))
