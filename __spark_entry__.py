@@ -192,13 +192,16 @@ def _forward_decay(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _standing_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three parts of the month merged in any order, one of them twice: first with half of
     its rides, then with all."""
-    rides, words = fixtures.load(spark, sf_dir, "unlock"), _stored_dictionary(spark, sf_dir)
-    rides = written(rides.withColumn("part", F.expr("cast(right(date, 2) as int) div 10")), "rides")
+    part = F.expr("cast(right(date, 2) as int) div 10").alias("part")
+    half = (F.pmod(F.xxhash64("sessionid"), F.lit(2)) == 0).alias("half")
+    rides, words = _stored_rides(spark, sf_dir, "userid", part, half)
+    # Parts and halves are kept apart as days are, so the districts are looked up once.
+    tags = written(usertags.user_tags(rides, words, ("userid", "part", "half")), "part-tags")
     standing = StandingTags(spark, work_folder(spark, "standing"), buckets=8)
-    half = F.pmod(F.xxhash64("sessionid"), F.lit(2)) == 0
-    for part, chosen in ((2, F.lit(True)), (0, half), (1, F.lit(True)), (0, F.lit(True))):
-        of_part = rides.where((F.col("part") == part) & chosen).drop("part")
-        standing.merge(f"part{part}", usertags.user_tags(of_part, words))
+    for number, chosen in ((2, F.lit(True)), (0, F.col("half")), (1, F.lit(True)), (0, F.lit(True))):
+        # By user, a row or two for each tag: what follows needs no other exchange.
+        of_part = tags.where((F.col("part") == number) & chosen).repartition("userid")
+        standing.merge(f"part{number}", of_part.groupBy("userid", "tag").agg(F.sum("cnt").alias("cnt")))
     return standing.tags()
 
 
