@@ -22,7 +22,7 @@ def counted(monkeypatch, module, name):
     return calls
 
 
-@pytest.mark.parametrize("name", ["users_by_tag", "user_tags_standing"])
+@pytest.mark.parametrize("name", ["users_by_tag", "user_tag_detail_of", "user_tags_standing", "user_tag_detail", "tag_decay_forward"])
 def test_rides_are_joined_once(spark, sf_dir, monkeypatch, name):
     monkeypatch.setattr(entry_module, "_indexes", {})
     loads, lookups = counted(monkeypatch, fixtures, "load"), counted(monkeypatch, usertags, "lookup")
