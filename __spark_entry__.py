@@ -219,7 +219,8 @@ def _stored_districts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _detail_of_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stored detail of some users, looked up by key."""
     folder = work_folder(spark, "detail")
-    tables.write_detail(_detail(spark, sf_dir), folder)
+    # Ranges are found in a pass of their own, which would compute the detail once more.
+    tables.write_detail(written(_detail(spark, sf_dir), "detail-rows"), folder)
     return tables.detail_of(spark, folder, ["1", "7", "25", "nobody"])
 
 

@@ -31,6 +31,13 @@ def test_rides_are_joined_once(spark, sf_dir, monkeypatch, name):
     assert len(lookups) == 1
 
 
+def test_detail_is_computed_before_its_ranges(spark, sf_dir, monkeypatch):
+    writes = counted(monkeypatch, entry_module.tables, "write_detail")
+    entry_module.queries()["user_tag_detail_of"](spark, sf_dir)
+    plan = plan_of(writes[0][0])
+    assert "FileScan" in plan and "Join" not in plan and "Aggregate" not in plan
+
+
 def test_ride_reports_number_nothing(spark, sf_dir, monkeypatch):
     labels = counted(monkeypatch, session, "work_folder")
     got = entry_module.queries()["all_ride_reports"](spark, sf_dir)
