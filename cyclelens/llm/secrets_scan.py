@@ -145,33 +145,49 @@ def _total(values: Column) -> Column:
 
 def _above(z: Column) -> Column:
     """Upper tail of the normal distribution, by a logistic approximation (to 0.0002)."""
-    z = F.greatest(F.lit(-8.0), F.least(F.lit(8.0), z))
-    return 1 / (1 + F.exp(1.5976 * z + 0.07056 * z * z * z))
+    near = F.greatest(F.lit(-8.0), F.least(F.lit(8.0), z))
+    return let(near, lambda z: 1 / (1 + F.exp(1.5976 * z + 0.07056 * z * z * z)))
 
 
-def _uniformity(digits: Column, n: Column, size: int) -> Column:
+def _by_size(size: Column, values: dict[int, float | list[float]]) -> Column:
+    """The constant for an alphabet's size."""
+    chosen = None
+    for at, value in values.items():
+        chosen = F.when(size == at, F.lit(value)) if chosen is None else chosen.when(size == at, F.lit(value))
+    return chosen
+
+
+def _uniformity(digits: Column, n: Column, size: Column) -> Column:
     """p of chi-squared over eight cells (cube-root approximation of its tail)."""
     counts = F.transform(
         F.sequence(F.lit(0), F.lit(CELLS - 1)),
         lambda cell: F.size(F.filter(digits, lambda x: F.floor(x * CELLS / size) == cell)).cast("double"),
     )
     # Cells of an alphabet whose size eight does not divide expect unequal shares.
-    shares = [len([x for x in range(size) if x * CELLS // size == c]) / size for c in range(CELLS)]
-    parts = F.transform(counts, lambda c, i: (c - n * F.get(F.lit(shares), i)) * (c - n * F.get(F.lit(shares), i)) / (n * F.get(F.lit(shares), i)))
+    shares = _by_size(size, {
+        k: [len([x for x in range(k) if x * CELLS // k == c]) / k for c in range(CELLS)] for k in _SIZES
+    })
+    parts = let(shares, lambda of: F.transform(counts, lambda c, i: let(
+        n * F.get(of, i), lambda expected: (c - expected) * (c - expected) / expected
+    )))
     freedom, spread = CELLS - 1, 2 / (9 * (CELLS - 1))
     return _above((F.pow(_total(parts) / freedom, F.lit(1 / 3)) - (1 - spread)) / spread**0.5)
 
 
-def _runs(digits: Column, n: Column, size: int) -> Column:
+def _runs(digits: Column, n: Column, size: Column) -> Column:
     """Two-sided p of the number of runs above and below the middle of the alphabet."""
 
     def of(high: Column) -> Column:
-        ones = F.size(F.filter(high, lambda h: h)).cast("double")
         changes = F.size(F.filter(indices(F.size(high) - 1), lambda i: F.get(high, i) != F.get(high, i + 1)))
-        mean = 2 * ones * (n - ones) / n + 1
-        spread = (mean - 1) * (mean - 2) / (n - 1)
-        z = F.abs(changes + 1 - mean) / F.sqrt(spread)
-        return F.when((ones > 0) & (ones < n) & (spread > 0), F.least(F.lit(1.0), 2 * _above(z))).otherwise(0.0)
+
+        def against(mean: Column) -> Column:
+            return let((mean - 1) * (mean - 2) / (n - 1), lambda spread: F.when(
+                spread > 0, F.least(F.lit(1.0), 2 * _above(F.abs(changes + 1 - mean) / F.sqrt(spread)))
+            ).otherwise(0.0))
+
+        return let(F.size(F.filter(high, lambda h: h)).cast("double"), lambda ones: F.when(
+            (ones > 0) & (ones < n), let(2 * ones * (n - ones) / n + 1, against)
+        ).otherwise(0.0))
 
     return let(F.transform(digits, lambda x: x >= size / 2), of)
 
@@ -180,46 +196,68 @@ def _serial(digits: Column, n: Column) -> Column:
     """Two-sided p of the correlation of neighbours."""
 
     def of(off: Column) -> Column:
-        power = _total(F.transform(off, lambda x: x * x))
         product = _total(F.transform(indices(F.size(off) - 1), lambda i: F.get(off, i) * F.get(off, i + 1)))
-        z = F.abs((product / power + 1 / n) * F.sqrt(n))
-        return F.when(power > 0, F.least(F.lit(1.0), 2 * _above(z))).otherwise(0.0)
+        return let(_total(F.transform(off, lambda x: x * x)), lambda power: F.when(
+            power > 0, F.least(F.lit(1.0), 2 * _above(F.abs((product / power + 1 / n) * F.sqrt(n))))
+        ).otherwise(0.0))
 
     mean = _total(F.transform(digits, lambda x: x.cast("double"))) / n
     return let(mean, lambda m: let(F.transform(digits, lambda x: x - m), of))
 
 
-def _mixing(digits: Column, n: Column, size: int) -> Column:
+# Alphabets of letters of one case, which words with digits are written in too.
+_ONE_CASE = ("lower32", "base36")
+_SIZES = sorted({len(letters) for letters in _ALPHABETS.values()})
+
+
+def _mixing(digits: Column, n: Column, size: Column) -> Column:
     """One-sided p of the number of changes between letters and digits, which come last in
     the alphabet. Words with a number behind them have few."""
-    q = (size - 26) / size
-    change, both = 2 * q * (1 - q), q * (1 - q)
+    shares = {k: (k - 26) / k for k in sorted(len(_ALPHABETS[name]) for name in _ONE_CASE)}
+    change, both = {k: 2 * q * (1 - q) for k, q in shares.items()}, {k: q * (1 - q) for k, q in shares.items()}
+    stays, after = {k: 1 - c for k, c in change.items()}, {k: both[k] - c * c for k, c in change.items()}
     changes = F.size(F.filter(
         indices(F.size(digits) - 1), lambda i: (F.get(digits, i) >= 26) != (F.get(digits, i + 1) >= 26)
     ))
-    spread = F.sqrt((n - 1) * change * (1 - change) + 2 * (n - 2) * (both - change * change))
-    return _above(((n - 1) * change - changes) / spread)
+    return let((n - 1) * _by_size(size, change), lambda expected: _above(
+        (expected - changes) / F.sqrt(expected * _by_size(size, stays) + 2 * (n - 2) * _by_size(size, after))
+    ))
 
 
-# Alphabets of letters of one case, which words with digits are written in too.
-_ONE_CASE = ("lower32", "base36")
+def _battery(digits: Column, size: Column, one_case: Column) -> Column:
+    """Combined p of the tests on the digits of an alphabet of that size.
+
+    One expression serves all alphabets, and what a test uses more than once is bound: each
+    task builds the expressions anew, so with a copy for every alphabet and use that took
+    more time and memory than the texts, the more partitions the more."""
+
+    def of(digits: Column, n: Column) -> Column:
+        tests = [_uniformity(digits, n, size), _runs(digits, n, size), _serial(digits, n)]
+        three = sum(F.log(F.greatest(F.lit(1e-15), p)) for p in tests)
+        fourth = F.log(F.greatest(F.lit(1e-15), _mixing(digits, n, size)))
+        half = let(three, lambda x: -F.when(one_case, x + fourth).otherwise(x))
+        more = lambda x: F.when(one_case, x * x * x / 6).otherwise(0.0)
+        return let(half, lambda x: F.exp(-x) * (1 + x + x * x / 2 + more(x)))
+
+    return let(digits, lambda d: let(F.size(d).cast("double"), lambda n: of(d, n)))
 
 
 def randomness(token: Column, encoding: str) -> Column:
     """Combined p of the tests: even for random tokens, near zero for structure. Letters
     of one case have a fourth test, of how digits mix with them."""
-    size = len(_ALPHABETS[encoding])
+    size = F.lit(len(_ALPHABETS[encoding]))
+    return _battery(_digits(token, encoding), size, F.lit(encoding in _ONE_CASE))
 
-    def battery(digits: Column) -> Column:
-        n = F.size(digits).cast("double")
-        tests = [_uniformity(digits, n, size), _runs(digits, n, size), _serial(digits, n)]
-        if encoding in _ONE_CASE:
-            tests.append(_mixing(digits, n, size))
-        half = -sum(F.log(F.greatest(F.lit(1e-15), p)) for p in tests)
-        more = (lambda x: x * x * x / 6) if encoding in _ONE_CASE else (lambda x: 0)
-        return let(half, lambda x: F.exp(-x) * (1 + x + x * x / 2 + more(x)))
 
-    return let(_digits(token, encoding), battery)
+def _randomness_in(token: Column, encoding: Column) -> Column:
+    """`randomness` in the encoding that a column names; null for none."""
+    digits = size = F.lit(None)
+    for name, letters in _ALPHABETS.items():
+        fits = encoding.isin(*_WRITTEN_IN[name])
+        digits = F.when(fits, _digits(token, name)).otherwise(digits)
+        size = F.when(fits, F.lit(len(letters))).otherwise(size)
+    one_case = encoding.isin(*[written for name in _ONE_CASE for written in _WRITTEN_IN[name]])
+    return F.when(encoding.isNotNull(), let(size, lambda s: _battery(digits, s, one_case)))
 
 
 def _candidates(text: Column) -> Column:
@@ -230,14 +268,10 @@ def _candidates(text: Column) -> Column:
         class_no = sum((length >= at).cast("int") for at in LENGTH_CLASSES)
 
         def of(encoding: Column) -> Column:
-            p = None
-            for name in _ALPHABETS:
-                value = randomness(token["token"], name)
-                fits = encoding.isin(*_WRITTEN_IN[name])
-                p = F.when(fits, value) if p is None else p.when(fits, value)
             return F.struct(
                 token["start"].alias("start"), token["end"].alias("end"),
-                F.concat_ws("-", encoding, class_no.cast("string")).alias("class"), p.alias("p"),
+                F.concat_ws("-", encoding, class_no.cast("string")).alias("class"),
+                _randomness_in(token["token"], encoding).alias("p"),
                 F.xxhash64(token["token"]).alias("hash"),
             )
 
