@@ -5,7 +5,7 @@ from __future__ import annotations
 import importlib
 import os
 import sys
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -23,7 +23,7 @@ from cyclelens.plans.catalog import REPORTS, reports_of  # noqa: E402
 from cyclelens.plans.jobs import all_reports  # noqa: E402
 from cyclelens.plans.standing import StandingTags  # noqa: E402
 from cyclelens.schemas import LOGS  # noqa: E402
-from cyclelens.session import settings, work_folder, written  # noqa: E402
+from cyclelens.session import delete_folder, settings, work_folder, written  # noqa: E402
 from cyclelens.sinks import tables  # noqa: E402
 from cyclelens.sources.logs import stream_lines  # noqa: E402
 from cyclelens.streaming import state  # noqa: E402
@@ -271,39 +271,55 @@ def _suite(log: str, spark: SparkSession, sf_dir: str) -> DataFrame:
     return report_suite(fixtures.load(spark, sf_dir, log), shared)
 
 
-def _streamed(lines: DataFrame, label: str, log: str) -> str:
+# Turns in which a log is sent to a live job.
+_TURNS = 2
+
+
+def _sent(log: DataFrame, to_lines: Callable[[DataFrame], DataFrame], folder: str, batches: int) -> Iterator[int]:
+    """Sends a log to `folder` as raw lines, for a stream in `batches` batches: stores a turn of
+    them, yields how many files make a batch, and removes them when the caller is done.
+
+    Raw lines take a multiple of the disk of the tables they come from, and the join that
+    makes them shuffles these tables; so only one turn of both is on disk at a time."""
+    for turn in range(_TURNS):
+        part = log.where(F.pmod(F.xxhash64("sessionid"), F.lit(_TURNS)) == turn)
+        yield tables.write_lines(to_lines(part), f"{folder}/turn={turn}", batches // _TURNS, kind="parquet")
+        delete_folder(log.sparkSession, f"{folder}/turn={turn}")
+
+
+def _streamed(log_df: DataFrame, to_lines: Callable[[DataFrame], DataFrame], label: str, log: str) -> str:
     """Raw lines streamed in four batches; the folder with the totals. The job packs the
     first two batches on its way."""
-    spark = lines.sparkSession
+    spark = log_df.sparkSession
     folder = work_folder(spark, label)
-    files = tables.write_lines(lines, f"{folder}/in", batches=4)
-    start_rollups(
-        stream_lines(spark, f"{folder}/in", files), log, f"{folder}/totals", f"{folder}/checkpoint",
-        available_now=True, pack_every=2,
-    ).awaitTermination()
+    for files in _sent(log_df, to_lines, f"{folder}/in", batches=4):
+        start_rollups(
+            stream_lines(spark, f"{folder}/in", files, kind="parquet"), log, f"{folder}/totals",
+            f"{folder}/checkpoint", available_now=True, pack_every=2,
+        ).awaitTermination()
     return f"{folder}/totals"
 
 
 def _live(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
     log = ROLLUPS[name].log
-    lines = fixtures.raw_lines(fixtures.load(spark, sf_dir, log))
-    return read_rollup(spark, name, _streamed(lines, name, log))
+    rows = fixtures.load(spark, sf_dir, log)
+    return read_rollup(spark, name, _streamed(rows, fixtures.raw_lines, name, log))
 
 
 def _live_state(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
     """The running totals of a rollup from the state store."""
-    lines = fixtures.raw_lines(fixtures.load(spark, sf_dir, ROLLUPS[name].log))
+    rows = fixtures.load(spark, sf_dir, ROLLUPS[name].log)
     folder = work_folder(spark, name)
-    files = tables.write_lines(lines, f"{folder}/in", batches=2)
-    with settings(spark, state.state_settings()):
-        stream = stream_lines(spark, f"{folder}/in", files)
-        state.start_state_rollup(stream, name, f"{folder}/state", available_now=True).awaitTermination()
+    for files in _sent(rows, fixtures.raw_lines, f"{folder}/in", batches=2):
+        with settings(spark, state.state_settings()):
+            stream = stream_lines(spark, f"{folder}/in", files, kind="parquet")
+            state.start_state_rollup(stream, name, f"{folder}/state", available_now=True).awaitTermination()
     return state.read_state_rollup(spark, name, f"{folder}/state")
 
 
 def _live_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = fixtures.damaged_lines(fixtures.load(spark, sf_dir, "unlock"))
-    rejects = read_rejects(spark, _streamed(lines, "live-rejects", "unlock"))
+    rides = fixtures.load(spark, sf_dir, "unlock")
+    rejects = read_rejects(spark, _streamed(rides, fixtures.damaged_lines, "live-rejects", "unlock"))
     line_id = F.regexp_extract("value", '"sessionid":"([^"]*)"', 1).alias("line_id")
     return rejects.select(line_id, "reject_reason")
 

@@ -81,6 +81,11 @@ def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
             spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
+# Settings that remove a shuffle's files as soon as the query that made them has ended, and not
+# when the driver happens to collect its garbage. For queries whose result is stored.
+FREE_SHUFFLES = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
+
+
 def file_system(spark: SparkSession, path: str):
     """Hadoop's handle on the file system that holds `path`, and the path itself."""
     base = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

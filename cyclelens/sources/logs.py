@@ -23,9 +23,12 @@ def read_log(spark: SparkSession, path: str, log: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path).select(*schema.names)
 
 
-def stream_lines(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
-    """A stream of raw lines from files that arrive in a folder."""
-    reader = spark.readStream.format("text")
+def stream_lines(spark: SparkSession, path: str, files_per_batch: int | None = None, kind: str = "text") -> DataFrame:
+    """A stream of raw lines from files that arrive in a folder, `kind` being how `write_lines`
+    stored them."""
+    reader = spark.readStream.format(kind)
+    if kind == "parquet":
+        reader = reader.schema("value string")
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     return reader.load(path)
